@@ -1,0 +1,21 @@
+"""Offset ranges that split a read into tasks of similar size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidelog.schema import KEY
+
+
+def scan_tasks(partitions: DataFrame, starts: DataFrame, rows_per_task: int) -> DataFrame:
+    """``_topic, _partition, start_offset, end_offset`` (half open), at most
+    ``rows_per_task`` offsets each, so that a hot partition gets many tasks."""
+    unread = partitions.join(starts, KEY).where("next_offset < latest")
+    step = F.lit(rows_per_task).cast("bigint")
+    split = unread.withColumn(
+        "start_offset", F.explode(F.sequence("next_offset", F.col("latest") - 1, step))
+    )
+    return split.select(
+        *KEY, "start_offset", F.least(F.col("start_offset") + step, F.col("latest")).alias("end_offset")
+    )
