@@ -6,20 +6,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _as_map(key: str, value: str) -> Column:
-    # collect_list has no order, so the entries are sorted before they become a map.
-    return F.map_from_entries(F.sort_array(F.collect_list(F.struct(key, value))))
+def _entries(key: str, value: str) -> Column:
+    # collect_list has no order of its own, so the entries are sorted.
+    return F.sort_array(F.collect_list(F.struct(key, value)))
 
 
 def encode_topics(offsets: DataFrame, value: str = "last_offset") -> DataFrame:
     """One row per topic: ``_topic``, ``offsets`` (JSON of its partitions, in order)."""
-    return offsets.groupBy("_topic").agg(F.to_json(_as_map("_partition", value)).alias("offsets"))
+    partitions = F.map_from_entries(_entries("_partition", value))
+    return offsets.groupBy("_topic").agg(F.to_json(partitions).alias("offsets"))
 
 
 def encode_offsets(offsets: DataFrame, value: str = "last_offset") -> DataFrame:
     """One row, one column ``offsets``: the whole position as JSON (``{}`` when empty)."""
-    topics = offsets.groupBy("_topic").agg(_as_map("_partition", value).alias("partitions"))
-    return topics.agg(F.to_json(_as_map("_topic", "partitions")).alias("offsets"))
+    topics = offsets.groupBy("_topic").agg(_entries("_partition", value).alias("entries"))
+    nested = F.transform(
+        _entries("_topic", "entries"),
+        lambda topic: F.struct(topic["_topic"], F.map_from_entries(topic["entries"])),
+    )
+    return topics.agg(F.to_json(F.map_from_entries(nested)).alias("offsets"))
 
 
 def decode_offsets(documents: DataFrame, column: str = "offsets") -> DataFrame:

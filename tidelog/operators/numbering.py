@@ -17,6 +17,12 @@ from tidelog.schema import KEY
 CHUNK_BITS = 21
 
 
+def _chunk(column: str, bits: int) -> Column:
+    # Never null, so Spark adds no null filter on one side of the join below and
+    # both levels of counts share one scan.
+    return F.coalesce(F.shiftright(column, bits), F.lit(0))
+
+
 def _rows_before(keys: list[str], order: str) -> Column:
     window = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum("n").over(window), F.lit(0))
@@ -24,10 +30,10 @@ def _rows_before(keys: list[str], order: str) -> Column:
 
 def _chunk_starts(rows: DataFrame, order: str, heads: DataFrame, bits: int) -> DataFrame:
     """First offset of every (topic, partition, chunk)."""
-    chunks = rows.groupBy(*KEY, F.shiftright(order, bits).alias("_chunk")).agg(
+    chunks = rows.groupBy(*KEY, _chunk(order, bits).alias("_chunk")).agg(
         F.count("*").alias("n")
     )
-    chunks = chunks.withColumn("_block", F.shiftright("_chunk", bits))
+    chunks = chunks.withColumn("_block", _chunk("_chunk", bits))
     blocks = chunks.groupBy(*KEY, "_block").agg(F.sum("n").alias("n"))
     block_starts = (
         blocks.join(heads.select(*KEY, F.col("next_offset")), KEY, "left")
@@ -56,13 +62,12 @@ def number_offsets(
     joining the rows with a table that grows with them.
     """
     starts = _chunk_starts(rows, order, heads, bits)
-    marked = rows.withColumn("_chunk", F.shiftright(order, bits)).withColumn(
+    marked = rows.withColumn("_chunk", _chunk(order, bits)).withColumn(
         "_start", F.lit(None).cast("bigint")
     )
     together = marked.unionByName(starts, allowMissingColumns=True)
     spread = together.repartitionByRange(tasks, *KEY, "_chunk")
     in_chunk = Window.partitionBy(*KEY, "_chunk").orderBy(F.col(order).asc_nulls_first())
-    numbered = spread.withColumn(
-        "_offset", F.first("_start").over(in_chunk) + F.row_number().over(in_chunk) - 2
-    )
+    start = F.first("_start").over(in_chunk.rowsBetween(Window.unboundedPreceding, 0))
+    numbered = spread.withColumn("_offset", start + F.row_number().over(in_chunk) - 2)
     return numbered.where(F.col("_start").isNull()).drop("_chunk", "_start")

@@ -9,15 +9,20 @@ from urllib.parse import urlsplit
 SMALLEST, LARGEST = "smallest", "largest"
 
 
+def lowered(options: Mapping[str, str]) -> dict[str, str]:
+    """Option names are case-insensitive, as in Spark."""
+    return {key.lower(): value for key, value in options.items()}
+
+
 def required(options: Mapping[str, str], key: str) -> str:
-    value = options.get(key)
+    value = lowered(options).get(key.lower())
     if value is None or not value.strip():
         raise ValueError(f"option '{key}' is required")
     return value.strip()
 
 
 def int_option(options: Mapping[str, str], key: str, default: int) -> int:
-    value = options.get(key)
+    value = lowered(options).get(key.lower())
     if value is None:
         return default
     try:
@@ -29,7 +34,7 @@ def int_option(options: Mapping[str, str], key: str, default: int) -> int:
 
 
 def bool_option(options: Mapping[str, str], key: str, default: bool) -> bool:
-    value = options.get(key)
+    value = lowered(options).get(key.lower())
     if value is None:
         return default
     if value.strip().lower() not in ("true", "false"):
@@ -38,7 +43,7 @@ def bool_option(options: Mapping[str, str], key: str, default: bool) -> bool:
 
 
 def choice(options: Mapping[str, str], key: str, allowed: tuple[str, ...], default: str) -> str:
-    value = options.get(key, default).strip().lower()
+    value = lowered(options).get(key.lower(), default).strip().lower()
     if value not in allowed:
         raise ValueError(f"option '{key}' must be one of {', '.join(allowed)}")
     return value
@@ -87,18 +92,17 @@ class ReadOptions:
 
     @classmethod
     def parse(cls, options: Mapping[str, str]) -> ReadOptions:
-        given = {key.lower(): value for key, value in options.items()}
-        rows_per_task = int_option(given, "rowspertask", cls.rows_per_task)
+        rows_per_task = int_option(options, "rowsPerTask", cls.rows_per_task)
         if rows_per_task < 1:
             raise ValueError("option 'rowsPerTask' must be positive")
         # Accepted so that existing option sets load; `commit` is what decides.
-        int_option(given, "auto.commit.interval.ms", 90_000)
+        int_option(options, "auto.commit.interval.ms", 90_000)
         return cls(
-            path=required(given, "path").rstrip("/"),
-            topics=parse_topics(required(given, "topics")),
-            group_id=required(given, "group.id"),
-            reset=choice(given, "auto.offset.reset", (SMALLEST, LARGEST), LARGEST),
-            on_new_partition=choice(given, "onnewpartition", ("fail", "earliest"), "fail"),
-            commit=bool_option(given, "commit", True),
+            path=required(options, "path").rstrip("/"),
+            topics=parse_topics(required(options, "topics")),
+            group_id=required(options, "group.id"),
+            reset=choice(options, "auto.offset.reset", (SMALLEST, LARGEST), LARGEST),
+            on_new_partition=choice(options, "onNewPartition", ("fail", "earliest"), "fail"),
+            commit=bool_option(options, "commit", True),
             rows_per_task=rows_per_task,
         )

@@ -30,13 +30,12 @@ def broker_options(options: Mapping[str, str], starting_offsets: str | None = No
     ``starting_offsets`` is JSON of *next* offsets, see :func:`starting_offsets`;
     without it the reset policy decides. A restored checkpoint overrules both.
     """
-    given = {key.lower(): value for key, value in options.items()}
-    int_option(given, "auto.commit.interval.ms", 90_000)
-    reset = choice(given, "auto.offset.reset", (SMALLEST, LARGEST), LARGEST)
+    int_option(options, "auto.commit.interval.ms", 90_000)
+    reset = choice(options, "auto.offset.reset", (SMALLEST, LARGEST), LARGEST)
     return {
-        "subscribe": ",".join(parse_topics(required(given, "topics"))),
-        "kafka.bootstrap.servers": ",".join(parse_brokers(required(given, "bootstrap.servers"))),
-        "kafka.group.id": required(given, "group.id"),
+        "subscribe": ",".join(parse_topics(required(options, "topics"))),
+        "kafka.bootstrap.servers": ",".join(parse_brokers(required(options, "bootstrap.servers"))),
+        "kafka.group.id": required(options, "group.id"),
         "startingOffsets": starting_offsets or ("earliest" if reset == SMALLEST else "latest"),
     }
 

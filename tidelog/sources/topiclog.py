@@ -17,10 +17,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.dataset as ds
 import pyarrow.parquet as pq
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
+import tidelog
 from tidelog.options import SMALLEST, ReadOptions
 from tidelog.schema import ENVELOPE
 from tidelog.sources.files import is_complete, numbered_children, open_fs
@@ -205,8 +207,17 @@ class TopicLogStreamReader(DataSourceStreamReader):
         data = ds.dataset(
             [f"{base}/data/{name}" for name in task.files], filesystem=filesystem, format="parquet"
         )
-        # The filter skips row groups by their statistics before rows are decoded.
-        for batch in data.to_batches(columns=["_key", "_message", "_offset"], filter=wanted):
+        # The filter skips row groups by their statistics before rows are decoded. Small
+        # batches and little read-ahead keep a task's memory low when payloads are large.
+        batches = data.to_batches(
+            columns=["_key", "_message", "_offset"],
+            filter=wanted,
+            batch_size=8192,
+            batch_readahead=2,
+            fragment_readahead=1,
+            use_threads=False,
+        )
+        for batch in batches:
             if batch.num_rows:
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -221,5 +232,12 @@ class TopicLogStreamReader(DataSourceStreamReader):
 
 
 def register(spark: SparkSession) -> None:
-    """Make ``format("topiclog")`` known to the session."""
-    spark.dataSource.register(TopicLogSource)
+    """Make ``format("topiclog")`` known to the session.
+
+    The source travels to the workers by value, so they need not have the package.
+    """
+    cloudpickle.register_pickle_by_value(tidelog)
+    try:
+        spark.dataSource.register(TopicLogSource)
+    finally:
+        cloudpickle.unregister_pickle_by_value(tidelog)
