@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import as_dict, offsets_of, records, write_log
-from tidelog.operators import add_new_partitions, after_starts, discover_topics, offset_range, subscribe
+from tidelog.operators import add_new_partitions, after_starts, discover_topics, offset_range, pin, subscribe
 from tidelog.schema import ENVELOPE, KEY, STARTS
 from tidelog.sources import TopicLog
 
@@ -104,7 +104,9 @@ def test_large_starts_table_uses_salted_join(spark, log, new_partitions):
     begin = starts(spark, ("hot", 0, 120), ("cold", 0, 10))
     options = {"new_partitions": new_partitions, "salts": 8}
     small = after_starts(log.rows(), begin, **options)
-    large = after_starts(log.rows(), begin, broadcast_rows=1, **options)
+    pinned = pin(begin, rows=1)
+    assert not pinned.small
+    large = after_starts(log.rows(), pinned, **options)
     assert offsets_of(small) == offsets_of(large)
     assert (("cold", 1) in offsets_of(small)) is new_partitions
     assert "_salt" in large._jdf.queryExecution().optimizedPlan().toString()

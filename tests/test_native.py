@@ -4,9 +4,9 @@ import pytest
 
 from tests.conftest import as_dict, offsets_of, records, write_log
 from tidelog.operators import resolve_starts
-from tidelog.schema import STARTS
+from tidelog.schema import PENDING, STARTS
 from tidelog.sources import GroupTable, TopicLog
-from tidelog.streaming import contiguous_offsets, freeze_starts, start_committing
+from tidelog.streaming import BatchState, contiguous_offsets, freeze_starts, start_committing
 
 ROWS = [(i, "hot" if i % 3 else "cold", i % 2 if i % 3 == 0 else 0) for i in range(300)]
 TOPICS = ["hot", "cold"]
@@ -67,6 +67,31 @@ def test_position_stops_before_an_unseen_file(spark, root):
     assert reached([3], begin=files[2].min_offset + 1) == {("hot", 0): files[2].min_offset}
 
 
+def test_out_of_order_batches_need_only_the_state_before(spark, root):
+    log = write_log(spark, root, [(i, "hot", 0) for i in range(200)], rows_per_file=40)
+    files = sorted(log.manifest().collect(), key=lambda row: row.min_offset)
+    state = BatchState(spark, log, "query")
+    first = starts(spark, ("hot", 0, 0))
+    batches = [[2], [3, 0], [1], range(4, len(files))]
+    expected = [-1, files[0].max_offset, files[3].max_offset, 199]
+    for batch_id, (batch, last) in enumerate(zip(batches, expected)):
+        before, pending = state.load(batch_id, first)
+        rows = [("hot", 0, files[i].file, files[i].max_offset) for i in batch]
+        seen = pending.unionByName(spark.createDataFrame(rows, PENDING))
+        offsets = contiguous_offsets(log, ["hot"], before, seen)
+        assert as_dict(offsets, "last_offset") == {("hot", 0): last}
+        state.save(batch_id, offsets, seen)
+    assert state.load(len(batches), first)[1].isEmpty()
+
+
+def test_commits_cannot_be_switched_on_later(spark, root, tmp_path):
+    log = write_log(spark, root, ROWS)
+    run(log, starts(spark, *ALL), tmp_path, commit=False)
+    log.append(records(spark, [(1000, "hot", 0)]), "id")
+    with pytest.raises(Exception, match="from the start"):
+        run(log, starts(spark, *ALL), tmp_path)
+
+
 def test_starts_are_resolved_once(spark, root, tmp_path):
     log = write_log(spark, root, ROWS)
     groups = GroupTable(spark, log.groups_path)

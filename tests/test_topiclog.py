@@ -140,6 +140,12 @@ def test_batches_concatenate_to_one_scan(log, data):
     assert found == expected
 
 
+def test_consumed_files_can_be_planned_again(log):
+    source = reader(log)
+    assert read(source, {**ENDS, "hot": {"0": 190}}, ENDS) == {("hot", 0): list(range(190, 200))}
+    assert sum(map(len, read(source, ZERO, ENDS).values())) == 300
+
+
 # --- commits by the source ---
 
 

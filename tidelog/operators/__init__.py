@@ -1,6 +1,7 @@
 from tidelog.operators.discovery import discover, discover_from_manifest, discover_topics
 from tidelog.operators.envelope import offset_range, subscribe, to_envelope
 from tidelog.operators.numbering import number_offsets
+from tidelog.operators.pin import Pinned, pin
 from tidelog.operators.progress import compare_offsets, merge_offsets, offsets_equal, progress
 from tidelog.operators.scan import after_starts
 from tidelog.operators.starts import (
@@ -13,6 +14,7 @@ from tidelog.operators.starts import (
 from tidelog.operators.tasks import scan_tasks
 
 __all__ = [
+    "Pinned",
     "add_new_partitions",
     "after_starts",
     "compare_offsets",
@@ -23,6 +25,7 @@ __all__ = [
     "number_offsets",
     "offset_range",
     "offsets_equal",
+    "pin",
     "progress",
     "require_starts",
     "resolve_starts",

@@ -5,41 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.operators.pin import Pinned, pin
 from tidelog.schema import ENVELOPE, KEY
 
-#: Largest starts table that is broadcast (rows of about 50 bytes).
-BROADCAST_ROWS = 100_000
-#: Number of ways a partition is spread once the starts table is larger.
+#: Number of ways a partition is spread when the starts table is too large to broadcast.
 SALTS = 64
 
 
 def after_starts(
     records: DataFrame,
-    starts: DataFrame,
+    starts: DataFrame | Pinned,
     *,
     new_partitions: bool = False,
-    broadcast_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
     """Records at or past the start of their partition, as envelopes plus extra columns.
 
-    Works on batch and streaming records. ``starts`` is metadata with one row per
-    partition; its size is checked before it is broadcast, which leaves the log
-    unshuffled. Beyond the limit the join shuffles on partition and a salt taken
-    from the offset, so one hot partition still spreads over ``salts`` tasks. With
-    ``new_partitions`` a partition without a start is read from its beginning.
+    Works on batch and streaming records. ``starts`` holds one row per partition; it
+    is pinned, and broadcast while it is small, which leaves the log unshuffled.
+    Otherwise the join shuffles on partition and a salt taken from the offset, so
+    one hot partition still spreads over ``salts`` tasks. With ``new_partitions`` a
+    partition without a start is read from its beginning.
     """
-    size = starts.agg(F.count("*").alias("n"), F.min("next_offset").alias("low")).first()
-    if not new_partitions and size.low is not None:
-        records = records.where(F.col("_offset") >= size.low)  # reaches the parquet scan
+    pinned = starts if isinstance(starts, Pinned) else pin(starts)
+    if not new_partitions:
+        low = pinned.frame.agg(F.min("next_offset")).first()[0]
+        if low is not None:
+            records = records.where(F.col("_offset") >= low)  # reaches the parquet scan
     how = "left" if new_partitions else "inner"
     columns = records.columns
-    if size.n <= broadcast_rows:
-        joined = records.join(F.broadcast(starts), KEY, how)
+    if pinned.small:
+        joined = records.join(F.broadcast(pinned.frame), KEY, how)
     else:
-        salted = starts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
         records = records.withColumn("_salt", F.pmod("_offset", F.lit(salts)).cast("int"))
-        joined = records.join(salted, [*KEY, "_salt"], how)
+        joined = records.join(pinned.frame.withColumn("_salt", salt), [*KEY, "_salt"], how)
     return joined.where(F.col("_offset") >= F.coalesce("next_offset", F.lit(0))).select(
         *ENVELOPE.names, *(c for c in columns if c not in ENVELOPE.names)
     )

@@ -88,7 +88,7 @@ class ReadOptions:
     reset: str = LARGEST
     on_new_partition: str = "fail"
     commit: bool = True
-    rows_per_task: int = 1_000_000
+    rows_per_task: int = 4_000_000
 
     @classmethod
     def parse(cls, options: Mapping[str, str]) -> ReadOptions:

@@ -6,10 +6,7 @@ It is written once per session and input directory, below the shared folder that
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import threading
-import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +16,7 @@ from tidelog.operators.envelope import subscribe
 from tidelog.operators.scan import after_starts
 from tidelog.options import parse_topics
 from tidelog.schema import KEY
+from tidelog.scratch import scratch
 from tidelog.sources.group_table import GroupTable
 from tidelog.sources.log_table import TopicLog
 
@@ -34,21 +32,6 @@ FIRST_COMMIT = datetime(2024, 2, 1, 0, 0, 0)
 SECOND_COMMIT = datetime(2024, 2, 1, 0, 1, 30)
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder path for written tables, shared by all executors."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = _local_scratch()
-    return f"{shared.rstrip('/')}/tidelog-{uuid.uuid4().hex}"
-
-
-@functools.cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="tidelog-")
-
-
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as unnumbered records: five topics, four partitions each."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")

@@ -14,6 +14,7 @@ from tidelog.operators import (
     discover_topics,
     merge_offsets,
     offset_range,
+    pin,
     progress,
     resolve_starts,
     scan_tasks,
@@ -31,10 +32,10 @@ from tidelog.plans.inputs import (
     full_group_starts,
     groups_of,
     halfway,
-    scratch,
     subscribed,
 )
 from tidelog.schema import KEY
+from tidelog.scratch import scratch
 from tidelog.sources import GroupTable, TopicLog, from_broker, register
 from tidelog.streaming import freeze_starts, start_committing
 
@@ -140,7 +141,7 @@ def read_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merge_offsets_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = event_log(spark, sf_dir)
-    starts = _starts(log, "g_full", "smallest")
+    starts = pin(_starts(log, "g_full", "smallest")).frame
     return merge_offsets(starts, progress(batch_with_idle_partition(log, starts)))
 
 
@@ -175,7 +176,7 @@ def commit_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def group_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions of a group after a batch of one topic and a repeated batch of all."""
     log = event_log(spark, sf_dir)
-    starts = _starts(log, "g_none", "smallest")
+    starts = pin(_starts(log, "g_none", "smallest")).frame
     groups = GroupTable(spark, f"{scratch(spark)}/groups")
     unread = log.rows_after(starts)
     groups.commit_read("readers", "q1", 0, starts, subscribe(unread, ["click"]))

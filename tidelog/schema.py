@@ -69,6 +69,16 @@ GROUP_OFFSETS = StructType(
     ]
 )
 
+#: Files a stream has read beyond its contiguous position.
+PENDING = StructType(
+    [
+        StructField("_topic", StringType()),
+        StructField("_partition", IntegerType()),
+        StructField("file", StringType()),
+        StructField("max_offset", LongType()),
+    ]
+)
+
 #: Where a scan begins in every topic-partition.
 STARTS = StructType(
     [

@@ -12,6 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.operators.pin import pin
 from tidelog.operators.progress import merge_offsets, progress
 from tidelog.schema import GROUP_OFFSETS, KEY
 from tidelog.sources.files import open_fs
@@ -50,10 +51,18 @@ class GroupTable:
         batch_id: int,
         offsets: DataFrame,
         committed_at: datetime | None = None,
+        known: DataFrame | None = None,
     ) -> bool:
-        """Store ``_topic, _partition, last_offset``; False if the group is already there."""
-        known = self.latest(group_id).select(*KEY, "last_offset")
-        if offsets.select(*KEY, "last_offset").join(known, [*KEY, "last_offset"], "left_anti").isEmpty():
+        """Store ``_topic, _partition, last_offset``; False if the group is already there.
+
+        A caller that has the position of its last commit passes it as ``known``,
+        which saves reading the group's history.
+        """
+        # Pinned, so that the records behind the offsets are read once.
+        offsets = pin(offsets.select(*KEY, "last_offset")).frame
+        if known is None:
+            known = self.latest(group_id)
+        if offsets.join(known, [*KEY, "last_offset"], "left_anti").isEmpty():
             return False
         when = F.current_timestamp() if committed_at is None else F.lit(committed_at)
         rows = offsets.select(

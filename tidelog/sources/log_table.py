@@ -4,7 +4,7 @@ Layout below ``root``::
 
     data/_append=<n>/_topic=<t>/_partition=<p>/*.parquet   _key, _message, _offset
     manifest/_append=<n>/*.parquet                         one row per data file
-    groups/, seen/                                         consumer positions
+    groups/, progress/                                     consumer positions
 
 Each data file covers one contiguous offset range, sorted. An append is visible
 once its manifest is complete; a failed one is overwritten by its retry. Appends
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tidelog.operators.discovery import discover_from_manifest
 from tidelog.operators.envelope import to_envelope
 from tidelog.operators.numbering import CHUNK_BITS, number_offsets
+from tidelog.operators.pin import Pinned, pin
 from tidelog.operators.scan import after_starts
 from tidelog.schema import DATA_FILES, ENVELOPE, KEY, MANIFEST
 from tidelog.sources.files import is_complete, numbered_children
@@ -44,7 +45,6 @@ class TopicLog:
         self.data_path = f"{self.root}/data"
         self.manifest_path = f"{self.root}/manifest"
         self.groups_path = f"{self.root}/groups"
-        self.seen_path = f"{self.root}/seen"
 
     def last_append(self) -> int:
         """Number of the newest complete append, -1 for an empty log."""
@@ -72,24 +72,24 @@ class TopicLog:
         files = self.spark.read.schema(DATA_FILES).parquet(self.data_path)
         return to_envelope(files.where(F.col("_append") <= last))
 
-    def rows_after(self, starts: DataFrame, prune_files: int = PRUNE_FILES) -> DataFrame:
+    def rows_after(self, starts: DataFrame | Pinned, prune_files: int = PRUNE_FILES) -> DataFrame:
         """Records from each partition's start on, opening only files that hold some.
 
         The manifest tells which files end before their start. Their names go to
         the scan while they are at most ``prune_files``; a longer list stays in
         the cluster and the scan prunes by directory and row group alone.
         """
-        live = (
-            self.manifest().join(starts, KEY).where("max_offset >= next_offset").select("file")
-        )
+        pinned = starts if isinstance(starts, Pinned) else pin(starts)
+        unread = self.manifest().join(pinned.frame, KEY).where("max_offset >= next_offset")
+        live = unread.select("file")
         names = [row.file for row in live.limit(prune_files + 1).collect()]
         if len(names) > prune_files:
-            return after_starts(self.rows(), starts)
+            return after_starts(self.rows(), pinned)
         if not names:
             return self.spark.createDataFrame([], ENVELOPE)
         reader = self.spark.read.schema(DATA_FILES).option("basePath", self.data_path)
         files = reader.parquet(*(f"{self.data_path}/{name}" for name in names))
-        return after_starts(to_envelope(files), starts)
+        return after_starts(to_envelope(files), pinned)
 
     def append(
         self,

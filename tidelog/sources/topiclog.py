@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from typing import NamedTuple
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -33,13 +34,13 @@ Offsets = dict[str, dict[str, int]]
 
 @dataclass
 class RangeTask(InputPartition):
-    """Offsets ``[start, end)`` of one topic-partition and the files that hold them."""
+    """Offsets ``[start, end)`` of one topic-partition and the file that holds them."""
 
     topic: str
     partition: int
     start: int
     end: int
-    files: tuple[str, ...]
+    file: str
 
 
 class TopicLogSource(DataSource):
@@ -61,41 +62,48 @@ class TopicLogSource(DataSource):
         return TopicLogStreamReader(self.settings)
 
 
+class LogFile(NamedTuple):
+    low: int
+    high: int  # one past the last offset
+    name: str
+
+
 class TopicLogStreamReader(DataSourceStreamReader):
     def __init__(self, settings: ReadOptions):
         self.settings = settings
-        self.appends: dict[int, list[dict]] = {}  # manifest rows; appends never change
         self.writer = uuid.uuid4().hex
         self.last_commit: Offsets | None = None
+        # What the manifest says about the subscribed topics. Appends never change, so
+        # each is read once; files that have been consumed are forgotten.
+        self.loaded: set[int] = set()
+        self.earliest: Offsets = {topic: {} for topic in settings.topics}
+        self.latest: Offsets = {topic: {} for topic in settings.topics}
+        self.files: dict[tuple[str, str], list[LogFile]] = {}
+        self.consumed: dict[tuple[str, str], int] = {}
 
     # --- planning, on the driver ---
 
-    def _files(self) -> list[dict]:
-        """Manifest rows of the subscribed topics."""
+    def _refresh(self) -> None:
+        """Take in appends that have completed since the last call."""
         manifest = f"{self.settings.path}/manifest"
         for number in numbered_children(manifest, "_append"):
             path = f"{manifest}/_append={number}"
-            if number not in self.appends and is_complete(path):
-                filesystem, base = open_fs(path)
-                table = ds.dataset(base, filesystem=filesystem, format="parquet").to_table(
-                    filter=ds.field("_topic").isin(self.settings.topics)
-                )
-                self.appends[number] = table.to_pylist()
-        return [row for number in sorted(self.appends) for row in self.appends[number]]
-
-    def _ends(self) -> tuple[Offsets, Offsets]:
-        """Earliest and latest offset of every partition, for all subscribed topics."""
-        earliest: Offsets = {topic: {} for topic in self.settings.topics}
-        latest: Offsets = {topic: {} for topic in self.settings.topics}
-        for row in self._files():
-            topic, partition = row["_topic"], str(row["_partition"])
-            low, high = row["min_offset"], row["max_offset"] + 1
-            earliest[topic][partition] = min(low, earliest[topic].get(partition, low))
-            latest[topic][partition] = max(high, latest[topic].get(partition, high))
-        unknown = [topic for topic in self.settings.topics if not latest[topic]]
+            if number in self.loaded or not is_complete(path):
+                continue
+            filesystem, base = open_fs(path)
+            wanted = ds.field("_topic").isin(self.settings.topics)
+            table = ds.dataset(base, filesystem=filesystem, format="parquet").to_table(filter=wanted)
+            for row in table.to_pylist():
+                topic, partition = row["_topic"], str(row["_partition"])
+                file = LogFile(row["min_offset"], row["max_offset"] + 1, row["file"])
+                lows, highs = self.earliest[topic], self.latest[topic]
+                lows[partition] = min(file.low, lows.get(partition, file.low))
+                highs[partition] = max(file.high, highs.get(partition, file.high))
+                self.files.setdefault((topic, partition), []).append(file)
+            self.loaded.add(number)
+        unknown = [topic for topic in self.settings.topics if not self.latest[topic]]
         if unknown:
             raise ValueError(f"no partition found for topic(s): {', '.join(unknown)}")
-        return earliest, latest
 
     def _committed(self) -> Offsets:
         """Newest committed ``last_offset`` of the group, by partition."""
@@ -118,52 +126,73 @@ class TopicLogStreamReader(DataSourceStreamReader):
 
     def initialOffset(self) -> Offsets:
         """Group positions if they cover every partition, else the reset policy."""
-        earliest, latest = self._ends()
+        self._refresh()
         committed = self._committed()
-        covered = all(p in committed.get(topic, {}) for topic, parts in latest.items() for p in parts)
+        covered = all(
+            partition in committed.get(topic, {})
+            for topic, parts in self.latest.items()
+            for partition in parts
+        )
         if covered:
-            return {t: {p: committed[t][p] + 1 for p in parts} for t, parts in latest.items()}
-        return earliest if self.settings.reset == SMALLEST else latest
+            return {t: {p: committed[t][p] + 1 for p in parts} for t, parts in self.latest.items()}
+        return self.earliest if self.settings.reset == SMALLEST else self.latest
 
     def latestOffset(self) -> Offsets:
-        return self._ends()[1]
+        self._refresh()
+        return self.latest
 
     def partitions(self, start: Offsets, end: Offsets) -> list[RangeTask]:
-        earliest, _ = self._ends()
+        self._refresh()
         for topic, parts in start.items():
             for partition in parts:
                 if partition not in end.get(topic, {}):
                     raise ValueError(f"{topic}/{partition}: partition is gone from the log")
-        spans: dict[tuple[str, int], tuple[int, int]] = {}
+        tasks: list[RangeTask] = []
         for topic, parts in end.items():
             for partition, stop in parts.items():
-                name = f"{topic}/{partition}"
-                first = start.get(topic, {}).get(partition)
-                if first is None:
-                    if self.settings.on_new_partition == "fail":
-                        raise ValueError(f"{name}: partition has no start offset")
-                    first = earliest[topic][partition]
-                if first > stop:
-                    raise ValueError(f"{name}: start offset lies beyond the end of the log")
-                if first == stop:
-                    continue
-                if first < earliest[topic][partition]:
-                    raise ValueError(f"{name}: records before the earliest are gone")
-                spans[topic, int(partition)] = (first, stop)
-        files: dict[tuple[str, int], list[dict]] = {key: [] for key in spans}
-        for row in self._files():
-            key = (row["_topic"], row["_partition"])
-            if key in spans and row["max_offset"] >= spans[key][0] and row["min_offset"] < spans[key][1]:
-                files[key].append(row)
-        return [task for key, span in spans.items() for task in self._split(key, span, files[key])]
-
-    def _split(self, key: tuple[str, int], span: tuple[int, int], files: list[dict]) -> Iterator[RangeTask]:
+                first = self._checked_start(topic, partition, start, stop)
+                unread = self._unread(topic, partition, first)
+                tasks.extend(self._split(topic, int(partition), first, stop, unread))
+        return tasks
+
+    def _unread(self, topic: str, partition: str, first: int) -> list[LogFile]:
+        """Files that reach past ``first``; the others are forgotten."""
+        key = (topic, partition)
+        if first < self.consumed.get(key, first):  # asked for forgotten files again
+            self.loaded.clear()
+            self.files.clear()
+            self.consumed.clear()
+            self._refresh()
+        self.files[key] = [file for file in self.files.get(key, []) if file.high > first]
+        self.consumed[key] = first
+        return self.files[key]
+
+    def _checked_start(self, topic: str, partition: str, start: Offsets, stop: int) -> int:
+        name = f"{topic}/{partition}"
+        earliest = self.earliest.get(topic, {}).get(partition)
+        if earliest is None:
+            raise ValueError(f"{name}: partition is gone from the log")
+        first = start.get(topic, {}).get(partition)
+        if first is None:
+            if self.settings.on_new_partition == "fail":
+                raise ValueError(f"{name}: partition has no start offset")
+            first = earliest
+        if first > stop:
+            raise ValueError(f"{name}: start offset lies beyond the end of the log")
+        if first < earliest:
+            raise ValueError(f"{name}: records before the earliest are gone")
+        if stop > self.latest[topic][partition]:
+            raise ValueError(f"{name}: the log ends before the planned offset")
+        return first
+
+    def _split(
+        self, topic: str, partition: int, first: int, stop: int, files: list[LogFile]
+    ) -> Iterator[RangeTask]:
         step = self.settings.rows_per_task
-        for row in sorted(files, key=lambda row: row["min_offset"]):
-            low = max(span[0], row["min_offset"])
-            high = min(span[1], row["max_offset"] + 1)
-            for first in range(low, high, step):
-                yield RangeTask(*key, first, min(first + step, high), (row["file"],))
+        for file in sorted(files):
+            high = min(stop, file.high)
+            for begin in range(max(first, file.low), high, step):
+                yield RangeTask(topic, partition, begin, min(begin + step, high), file.name)
 
     def commit(self, end: Offsets) -> None:
         """Store consumed positions for the group, unless it is already there.
@@ -204,9 +233,7 @@ class TopicLogStreamReader(DataSourceStreamReader):
     def read(self, task: RangeTask) -> Iterator[pa.RecordBatch]:
         filesystem, base = open_fs(self.settings.path)
         wanted = (ds.field("_offset") >= task.start) & (ds.field("_offset") < task.end)
-        data = ds.dataset(
-            [f"{base}/data/{name}" for name in task.files], filesystem=filesystem, format="parquet"
-        )
+        data = ds.dataset(f"{base}/data/{task.file}", filesystem=filesystem, format="parquet")
         # The filter skips row groups by their statistics before rows are decoded. Small
         # batches and little read-ahead keep a task's memory low when payloads are large.
         batches = data.to_batches(

@@ -1,3 +1,9 @@
-from tidelog.streaming.native import contiguous_offsets, freeze_starts, read_stream, start_committing
+from tidelog.streaming.native import (
+    BatchState,
+    contiguous_offsets,
+    freeze_starts,
+    read_stream,
+    start_committing,
+)
 
-__all__ = ["contiguous_offsets", "freeze_starts", "read_stream", "start_committing"]
+__all__ = ["BatchState", "contiguous_offsets", "freeze_starts", "read_stream", "start_committing"]

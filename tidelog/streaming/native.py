@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.operators.envelope import subscribe
+from tidelog.operators.pin import pin
 from tidelog.operators.scan import after_starts
-from tidelog.schema import DATA_FILES, ENVELOPE, KEY, STARTS
+from tidelog.operators.starts import starts_after
+from tidelog.schema import DATA_FILES, ENVELOPE, KEY, PENDING, STARTS
 from tidelog.sources.files import is_complete
 from tidelog.sources.group_table import GroupTable
 from tidelog.sources.log_table import TopicLog, relative_file
@@ -56,16 +58,16 @@ def read_stream(
 def contiguous_offsets(
     log: TopicLog, topics: Sequence[str], starts: DataFrame, seen: DataFrame
 ) -> DataFrame:
-    """``last_offset`` per partition below which every file has been ``seen``."""
+    """``last_offset`` per partition below which every ``file`` past ``starts`` is seen."""
     due = (
         subscribe(log.manifest(), topics)
         .join(starts, KEY, "left")
         .where(F.col("max_offset") >= F.coalesce("next_offset", F.lit(0)))
     )
     flagged = due.join(seen.select("file", F.lit(True).alias("seen")), "file", "left")
+    first_gap = F.min(F.when(F.col("seen").isNull(), F.col("min_offset")))
     ends = flagged.groupBy(*KEY).agg(
-        F.coalesce(F.min(F.when(F.col("seen").isNull(), F.col("min_offset"))), F.max("max_offset") + 1)
-        .alias("reached")
+        F.coalesce(first_gap, F.max("max_offset") + 1).alias("reached")
     )
     began = F.col("next_offset") - 1
     return starts.join(ends, KEY, "full").select(
@@ -73,6 +75,35 @@ def contiguous_offsets(
     )
 
 
+class BatchState:
+    """What a query knows after a batch: its position, and files read beyond it.
+
+    Each batch needs only the state of the one before, so the cost of a commit does
+    not grow with the age of the query. A replayed batch overwrites its own state.
+    """
+
+    def __init__(self, spark: SparkSession, log: TopicLog, query_id: str):
+        self.spark = spark
+        self.path = f"{log.root}/progress/{query_id}"
+
+    def load(self, batch_id: int, first: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Starts and still pending files of a batch; ``first`` begins the query."""
+        if batch_id == 0:
+            return first, self.spark.createDataFrame([], PENDING)
+        previous = f"{self.path}/{batch_id - 1}"
+        if not is_complete(f"{previous}/starts"):
+            raise ValueError(f"no position after batch {batch_id - 1}: commits must be on from the start")
+        return (
+            self.spark.read.schema(STARTS).parquet(f"{previous}/starts"),
+            self.spark.read.schema(PENDING).parquet(f"{previous}/pending"),
+        )
+
+    def save(self, batch_id: int, offsets: DataFrame, seen: DataFrame) -> None:
+        beyond = seen.join(offsets, KEY).where("max_offset > last_offset")
+        beyond.select(*PENDING.names).write.mode("overwrite").parquet(f"{self.path}/{batch_id}/pending")
+        starts_after(offsets).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/{batch_id}/starts")
+
+
 def _require_known(partitions: DataFrame, starts: DataFrame) -> None:
     born = partitions.join(starts, KEY, "left_anti").orderBy(*KEY).limit(5).collect()
     if born:
@@ -89,6 +120,7 @@ def start_committing(
     group_id: str,
     checkpoint: str,
     trigger: dict,
+    groups: GroupTable | None = None,
     commit: bool = True,
     new_partitions: bool = False,
     max_files_per_trigger: int | None = None,
@@ -98,6 +130,7 @@ def start_committing(
     A batch whose commit fails is failed and replayed, so ``sink`` must accept the
     same ``batch_id`` again. Delivery to the group is at least once.
     """
+    table = log.groups_path if groups is None else groups.path
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -108,30 +141,21 @@ def start_committing(
             sink(batch.drop("_file"), batch_id)
             return
         query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        batch.persist()
+        state = BatchState(spark, here, query_id)
+        before, pending = state.load(batch_id, starts)
+        batch.persist()  # the sink and the position both read it
         try:
             sink(batch.drop("_file"), batch_id)
-            files = batch.select(F.col("_file").alias("file")).distinct()
-            (
-                files.select(
-                    F.lit(query_id).alias("query_id"), F.lit(batch_id).alias("batch_id"), "file"
-                )
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("query_id", "batch_id")
-                .parquet(log.seen_path)
+            files = batch.groupBy(*KEY, F.col("_file").alias("file")).agg(
+                F.max("_offset").alias("max_offset")
             )
+            seen = pending.unionByName(files)
+            offsets = pin(contiguous_offsets(here, topics, before, seen)).frame
+            state.save(batch_id, offsets, seen)
         finally:
             batch.unpersist()
-        seen = (
-            spark.read.schema("query_id string, batch_id bigint, file string")
-            .parquet(log.seen_path)
-            .where((F.col("query_id") == query_id) & (F.col("batch_id") <= batch_id))
-            .select("file")
-            .distinct()
-        )
-        offsets = contiguous_offsets(here, topics, starts, seen)
-        GroupTable(spark, log.groups_path).commit(group_id, query_id, batch_id, offsets)
+        known = None if batch_id == 0 else before.withColumn("last_offset", F.col("next_offset") - 1)
+        GroupTable(spark, table).commit(group_id, query_id, batch_id, offsets, known=known)
 
     stream = read_stream(
         log,
