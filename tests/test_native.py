@@ -27,6 +27,10 @@ def run(log, begin, out, sink=None, **options):
     query.awaitTermination()
 
 
+def name(file):
+    return file.file.rpartition("/")[2]
+
+
 def position(log):
     return as_dict(GroupTable(log.spark, log.groups_path).latest("g"), "last_offset")
 
@@ -54,7 +58,8 @@ def test_position_stops_before_an_unseen_file(spark, root):
     assert len(files) >= 4
 
     def reached(seen, begin=0):
-        frame = spark.createDataFrame([(files[i].file,) for i in seen], "file string")
+        rows = [("hot", 0, name(files[i]), files[i].max_offset) for i in seen]
+        frame = spark.createDataFrame(rows, PENDING)
         return as_dict(contiguous_offsets(log, ["hot"], starts(spark, ("hot", 0, begin)), frame), "last_offset")
 
     assert reached([]) == {("hot", 0): -1}
@@ -76,7 +81,7 @@ def test_out_of_order_batches_need_only_the_state_before(spark, root):
     expected = [-1, files[0].max_offset, files[3].max_offset, 199]
     for batch_id, (batch, last) in enumerate(zip(batches, expected)):
         before, pending = state.load(batch_id, first)
-        rows = [("hot", 0, files[i].file, files[i].max_offset) for i in batch]
+        rows = [("hot", 0, name(files[i]), files[i].max_offset) for i in batch]
         seen = pending.unionByName(spark.createDataFrame(rows, PENDING))
         offsets = contiguous_offsets(log, ["hot"], before, seen)
         assert as_dict(offsets, "last_offset") == {("hot", 0): last}

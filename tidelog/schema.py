@@ -87,3 +87,6 @@ STARTS = StructType(
         StructField("next_offset", LongType()),
     ]
 )
+
+#: Rows of both kinds: starts without a file, pending files without a start.
+BATCH_STATE = StructType(STARTS.fields + PENDING.fields[2:])

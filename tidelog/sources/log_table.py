@@ -31,10 +31,10 @@ ROWS_PER_FILE = 4_000_000
 PRUNE_FILES = 100_000
 
 
-def relative_file() -> Column:
-    """Path of the current data file below ``data/``, as the manifest names it."""
-    # The metadata path is URL-encoded; a literal plus must survive decoding.
-    path = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+def _relative(file_path: str) -> Column:
+    """Path below ``data/`` of a URL-encoded absolute path."""
+    # A literal plus must survive decoding.
+    path = F.url_decode(F.replace(F.col(file_path), F.lit("+"), F.lit("%2B")))
     return F.regexp_extract(path, r"(_append=\d+/_topic=.*)$", 1)
 
 
@@ -121,10 +121,12 @@ class TopicLog:
             .parquet(data)
         )
         written = self.spark.read.schema(DATA_FILES).option("basePath", self.data_path).parquet(data)
-        manifest = written.groupBy(*KEY, relative_file().alias("file")).agg(
+        files = written.groupBy(*KEY, F.col("_metadata.file_path").alias("path")).agg(
             F.min("_offset").alias("min_offset"),
             F.max("_offset").alias("max_offset"),
             F.count("*").alias("rows"),
         )
+        # Paths are decoded once per file, not once per row.
+        manifest = files.select(*KEY, _relative("path").alias("file"), "min_offset", "max_offset", "rows")
         manifest.write.mode("overwrite").parquet(f"{self.manifest_path}/_append={number}")
         return number

@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.operators.envelope import subscribe
-from tidelog.operators.pin import pin
+from tidelog.operators.pin import Pinned, pin
 from tidelog.operators.scan import after_starts
 from tidelog.operators.starts import starts_after
-from tidelog.schema import DATA_FILES, ENVELOPE, KEY, PENDING, STARTS
+from tidelog.schema import BATCH_STATE, DATA_FILES, ENVELOPE, KEY, PENDING, STARTS
 from tidelog.sources.files import is_complete
 from tidelog.sources.group_table import GroupTable
-from tidelog.sources.log_table import TopicLog, relative_file
+from tidelog.sources.log_table import TopicLog
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -38,18 +38,21 @@ def freeze_starts(spark: SparkSession, path: str, resolve: Callable[[], DataFram
 def read_stream(
     log: TopicLog,
     topics: Sequence[str],
-    starts: DataFrame,
+    starts: DataFrame | Pinned,
     *,
     new_partitions: bool = False,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Streaming envelopes past ``starts``, with the data file of each in ``_file``."""
+    """Streaming envelopes past ``starts``, with the name of their data file in ``_file``.
+
+    A file name is unique within its partition.
+    """
     reader = log.spark.readStream.schema(DATA_FILES)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     files = subscribe(reader.parquet(log.data_path), topics)
     return after_starts(
-        files.select(*ENVELOPE.names, relative_file().alias("_file")),
+        files.select(*ENVELOPE.names, F.col("_metadata.file_name").alias("_file")),
         starts,
         new_partitions=new_partitions,
     )
@@ -64,7 +67,8 @@ def contiguous_offsets(
         .join(starts, KEY, "left")
         .where(F.col("max_offset") >= F.coalesce("next_offset", F.lit(0)))
     )
-    flagged = due.join(seen.select("file", F.lit(True).alias("seen")), "file", "left")
+    named = due.withColumn("file", F.substring_index("file", "/", -1))
+    flagged = named.join(seen.select(*KEY, "file", F.lit(True).alias("seen")), [*KEY, "file"], "left")
     first_gap = F.min(F.when(F.col("seen").isNull(), F.col("min_offset")))
     ends = flagged.groupBy(*KEY).agg(
         F.coalesce(first_gap, F.max("max_offset") + 1).alias("reached")
@@ -91,17 +95,18 @@ class BatchState:
         if batch_id == 0:
             return first, self.spark.createDataFrame([], PENDING)
         previous = f"{self.path}/{batch_id - 1}"
-        if not is_complete(f"{previous}/starts"):
+        if not is_complete(previous):
             raise ValueError(f"no position after batch {batch_id - 1}: commits must be on from the start")
+        state = self.spark.read.schema(BATCH_STATE).parquet(previous)
         return (
-            self.spark.read.schema(STARTS).parquet(f"{previous}/starts"),
-            self.spark.read.schema(PENDING).parquet(f"{previous}/pending"),
+            state.where("file IS NULL").select(*STARTS.names),
+            state.where("file IS NOT NULL").select(*PENDING.names),
         )
 
     def save(self, batch_id: int, offsets: DataFrame, seen: DataFrame) -> None:
-        beyond = seen.join(offsets, KEY).where("max_offset > last_offset")
-        beyond.select(*PENDING.names).write.mode("overwrite").parquet(f"{self.path}/{batch_id}/pending")
-        starts_after(offsets).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/{batch_id}/starts")
+        beyond = seen.join(offsets, KEY).where("max_offset > last_offset").select(*PENDING.names)
+        state = starts_after(offsets).unionByName(beyond, allowMissingColumns=True)
+        state.write.mode("overwrite").parquet(f"{self.path}/{batch_id}")
 
 
 def _require_known(partitions: DataFrame, starts: DataFrame) -> None:
@@ -131,13 +136,15 @@ def start_committing(
     same ``batch_id`` again. Delivery to the group is at least once.
     """
     table = log.groups_path if groups is None else groups.path
+    pinned = pin(starts)
+    starts = pinned.frame
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         here = TopicLog(spark, log.root)
-        if not new_partitions:
-            _require_known(subscribe(here.partitions(), topics), starts)
         if not commit:
+            if not new_partitions:
+                _require_known(subscribe(here.partitions(), topics), starts)
             sink(batch.drop("_file"), batch_id)
             return
         query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
@@ -151,6 +158,8 @@ def start_committing(
             )
             seen = pending.unionByName(files)
             offsets = pin(contiguous_offsets(here, topics, before, seen)).frame
+            if not new_partitions:
+                _require_known(offsets, starts)
             state.save(batch_id, offsets, seen)
         finally:
             batch.unpersist()
@@ -160,7 +169,7 @@ def start_committing(
     stream = read_stream(
         log,
         topics,
-        starts,
+        pinned,
         new_partitions=new_partitions,
         max_files_per_trigger=max_files_per_trigger,
     )
