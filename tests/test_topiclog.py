@@ -163,6 +163,19 @@ def test_commit_stores_last_offsets_once(spark, root):
     assert groups.commits("g").count() == 3
 
 
+@pytest.mark.parametrize("group", ["123", "my group+%20", "a/b=c:d", "ü{x}[y]'\"#?*^\\"])
+def test_group_names_mean_the_same_to_spark(spark, root, group):
+    log = write_log(spark, root, ROWS)
+    groups = GroupTable(spark, log.groups_path)
+    at = {"hot": {"0": 10}, "cold": {"0": 1, "1": 4}}
+    ends = log.partitions().selectExpr("_topic", "_partition", "latest - 1 AS last_offset")
+    reader(log, **{"group.id": group}).commit(at)
+    assert as_dict(groups.latest(group), "last_offset")["hot", 0] == 9
+    assert reader(log, **{"group.id": group}).initialOffset() == at
+    groups.commit(group, "q", 0, ends)
+    assert reader(log, **{"group.id": group}).initialOffset() == ENDS
+
+
 def test_failed_commit_raises(spark, root):
     log = write_log(spark, root, ROWS)
     Path(log.groups_path).write_text("not a folder")
@@ -199,6 +212,28 @@ def test_stream_schema(log):
     assert stream(log).schema == ENVELOPE
 
 
+def test_processing_time_trigger(spark, log, tmp_path):
+    out = str(tmp_path / "rows")
+    query = (
+        stream(log, rowsPerTask="30")
+        .writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .trigger(processingTime="1 second")
+        .start(out)
+    )
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert offsets_of(spark.read.parquet(out)) == offsets_of(log.rows())
+
+
+def test_continuous_trigger_is_refused(log, tmp_path):
+    writer = stream(log).writeStream.format("noop").option("checkpointLocation", str(tmp_path))
+    with pytest.raises(Exception, match="continuous"):
+        writer.trigger(continuous="1 second").start().awaitTermination(60)
+
+
 def test_missing_option_fails_at_load(spark, log):
     register(spark)
     with pytest.raises(Exception, match="group.id"):

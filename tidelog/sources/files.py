@@ -1,26 +1,67 @@
-"""File-system helpers that need no Spark session (used inside the Python source)."""
+"""Looking at folders: through Hadoop where there is a session, else through Arrow."""
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyarrow import fs
+from pyspark.sql import SparkSession
 
 
-def open_fs(path: str) -> tuple[fs.FileSystem, str]:
-    """File system and plain path of a local path or URI."""
-    return fs.FileSystem.from_uri(path)
+# Characters that Spark writes as %XX in the directory name of a partition value.
+ESCAPED = frozenset([*map(chr, range(1, 32)), *"\"#%'*/:=?\\\x7f{[]^"])
+
+
+def directory(column: str, value: str) -> str:
+    """Name of the directory that holds the rows of one partition value."""
+    return f"{column}=" + "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in value)
 
 
-def numbered_children(path: str, column: str) -> list[int]:
-    """Values ``n`` of the directories ``column=n`` below ``path``, ascending."""
-    filesystem, base = open_fs(path)
-    entries = filesystem.get_file_info(fs.FileSelector(base, allow_not_found=True))
-    found = (re.fullmatch(rf"{column}=(\d+)", entry.base_name) for entry in entries)
+def numbers(names: Iterable[str], column: str) -> list[int]:
+    """Values ``n`` of the directory names ``column=n``, ascending."""
+    found = (re.fullmatch(rf"{column}=(\d+)", name) for name in names)
     return sorted(int(match.group(1)) for match in found if match)
 
 
-def is_complete(path: str) -> bool:
-    """Whether the Spark job that wrote the directory has finished."""
-    filesystem, base = open_fs(path)
-    return filesystem.get_file_info(f"{base}/_SUCCESS").type == fs.FileType.File
+# --- on the driver, with the file systems the cluster is set up for ---
+
+
+def _hadoop(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, filesystem = _hadoop(spark, path)
+    return filesystem.exists(place)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    place, filesystem = _hadoop(spark, path)
+    if not filesystem.exists(place):
+        return []
+    return [status.getPath().getName() for status in filesystem.listStatus(place)]
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether the Spark job that wrote the folder has finished."""
+    return exists(spark, f"{path}/_SUCCESS")
+
+
+# --- inside the Python source, which has no session ---
+
+
+def open_arrow(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and plain path of a local path or URI."""
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", path))
+
+
+def arrow_children(path: str) -> list[str]:
+    filesystem, base = open_arrow(path)
+    return [e.base_name for e in filesystem.get_file_info(fs.FileSelector(base, allow_not_found=True))]
+
+
+def arrow_exists(path: str) -> bool:
+    filesystem, base = open_arrow(path)
+    return filesystem.get_file_info(base).type != fs.FileType.NotFound

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidelog.operators.pin import pin
 from tidelog.operators.progress import merge_offsets, progress
 from tidelog.schema import GROUP_OFFSETS, KEY
-from tidelog.sources.files import open_fs
+from tidelog.sources.files import exists
 
 
 class GroupTable:
@@ -25,8 +25,7 @@ class GroupTable:
 
     def commits(self, group_id: str | None = None) -> DataFrame:
         """Every commit, of one group if named (only its directory is read)."""
-        filesystem, base = open_fs(self.path)
-        if filesystem.get_file_info(base).type.name == "NotFound":
+        if not exists(self.spark, self.path):
             return self.spark.createDataFrame([], GROUP_OFFSETS)
         table = self.spark.read.schema(GROUP_OFFSETS).parquet(self.path).select(*GROUP_OFFSETS.names)
         return table if group_id is None else table.where(F.col("group_id") == group_id)

@@ -24,7 +24,7 @@ from tidelog.operators.numbering import CHUNK_BITS, number_offsets
 from tidelog.operators.pin import Pinned, pin
 from tidelog.operators.scan import after_starts
 from tidelog.schema import DATA_FILES, ENVELOPE, KEY, MANIFEST
-from tidelog.sources.files import is_complete, numbered_children
+from tidelog.sources.files import children, is_complete, numbers
 
 ROWS_PER_FILE = 4_000_000
 #: Most file names the driver takes from the manifest to narrow a scan.
@@ -48,8 +48,8 @@ class TopicLog:
 
     def last_append(self) -> int:
         """Number of the newest complete append, -1 for an empty log."""
-        for number in reversed(numbered_children(self.manifest_path, "_append")):
-            if is_complete(f"{self.manifest_path}/_append={number}"):
+        for number in reversed(numbers(children(self.spark, self.manifest_path), "_append")):
+            if is_complete(self.spark, f"{self.manifest_path}/_append={number}"):
                 return number
         return -1
 

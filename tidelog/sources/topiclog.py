@@ -12,7 +12,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import NamedTuple
-from urllib.parse import quote
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -26,7 +25,7 @@ from pyspark.sql.types import StructType
 import tidelog
 from tidelog.options import SMALLEST, ReadOptions
 from tidelog.schema import ENVELOPE
-from tidelog.sources.files import is_complete, numbered_children, open_fs
+from tidelog.sources.files import arrow_children, arrow_exists, directory, numbers, open_arrow
 
 #: ``{topic: {partition as text: offset}}``, the shape Spark stores as JSON.
 Offsets = dict[str, dict[str, int]]
@@ -86,11 +85,11 @@ class TopicLogStreamReader(DataSourceStreamReader):
     def _refresh(self) -> None:
         """Take in appends that have completed since the last call."""
         manifest = f"{self.settings.path}/manifest"
-        for number in numbered_children(manifest, "_append"):
+        for number in numbers(arrow_children(manifest), "_append"):
             path = f"{manifest}/_append={number}"
-            if number in self.loaded or not is_complete(path):
+            if number in self.loaded or not arrow_exists(f"{path}/_SUCCESS"):
                 continue
-            filesystem, base = open_fs(path)
+            filesystem, base = open_arrow(path)
             wanted = ds.field("_topic").isin(self.settings.topics)
             table = ds.dataset(base, filesystem=filesystem, format="parquet").to_table(filter=wanted)
             for row in table.to_pylist():
@@ -107,13 +106,14 @@ class TopicLogStreamReader(DataSourceStreamReader):
 
     def _committed(self) -> Offsets:
         """Newest committed ``last_offset`` of the group, by partition."""
-        filesystem, base = open_fs(self.settings.path)
-        path = f"{base}/groups/group_id={quote(self.settings.group_id, safe='')}"
-        if filesystem.get_file_info(path).type.name == "NotFound":
+        folder = f"{self.settings.path}/groups"
+        group = directory("group_id", self.settings.group_id)
+        if group not in arrow_children(folder):
             return {}
+        filesystem, base = open_arrow(folder)
         keys = pa.schema([("query_id", pa.string()), ("batch_id", pa.int64())])
         commits = ds.dataset(
-            path, filesystem=filesystem, format="parquet",
+            f"{base}/{group}", filesystem=filesystem, format="parquet",
             partitioning=ds.partitioning(keys, flavor="hive"),
         ).to_table(columns=["committed_at", "batch_id", "query_id", "_topic", "_partition", "last_offset"])
         ordered = commits.sort_by(
@@ -217,21 +217,19 @@ class TopicLogStreamReader(DataSourceStreamReader):
                 "last_offset": pa.array([last for _, _, last in rows], pa.int64()),
             }
         )
-        filesystem, base = open_fs(self.settings.path)
-        group = quote(self.settings.group_id, safe="")
-        directory = (
-            f"{base}/groups/group_id={group}/query_id=source-{self.writer}/batch_id={time.time_ns()}"
-        )
-        filesystem.create_dir(directory, recursive=True)
+        filesystem, base = open_arrow(f"{self.settings.path}/groups")
+        group = directory("group_id", self.settings.group_id)
+        folder = f"{base}/{group}/query_id=source-{self.writer}/batch_id={time.time_ns()}"
+        filesystem.create_dir(folder, recursive=True)
         # Readers skip names that begin with an underscore, so they never see a half-written file.
-        pq.write_table(table, f"{directory}/_offsets.tmp", filesystem=filesystem)
-        filesystem.move(f"{directory}/_offsets.tmp", f"{directory}/offsets.parquet")
+        pq.write_table(table, f"{folder}/_offsets.tmp", filesystem=filesystem)
+        filesystem.move(f"{folder}/_offsets.tmp", f"{folder}/offsets.parquet")
         self.last_commit = consumed
 
     # --- reading, in the tasks ---
 
     def read(self, task: RangeTask) -> Iterator[pa.RecordBatch]:
-        filesystem, base = open_fs(self.settings.path)
+        filesystem, base = open_arrow(self.settings.path)
         wanted = (ds.field("_offset") >= task.start) & (ds.field("_offset") < task.end)
         data = ds.dataset(f"{base}/data/{task.file}", filesystem=filesystem, format="parquet")
         # The filter skips row groups by their statistics before rows are decoded. Small

@@ -30,7 +30,7 @@ def freeze_starts(spark: SparkSession, path: str, resolve: Callable[[], DataFram
 
     Resolving again would drop records if the group has moved past the checkpoint.
     """
-    if not is_complete(path):
+    if not is_complete(spark, path):
         resolve().select(*STARTS.names).coalesce(1).write.mode("overwrite").parquet(path)
     return spark.read.schema(STARTS).parquet(path)
 
@@ -95,7 +95,7 @@ class BatchState:
         if batch_id == 0:
             return first, self.spark.createDataFrame([], PENDING)
         previous = f"{self.path}/{batch_id - 1}"
-        if not is_complete(previous):
+        if not is_complete(self.spark, previous):
             raise ValueError(f"no position after batch {batch_id - 1}: commits must be on from the start")
         state = self.spark.read.schema(BATCH_STATE).parquet(previous)
         return (
