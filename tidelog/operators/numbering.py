@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidelog.schema import KEY
 
-CHUNK_BITS = 21
+CHUNK_BITS = 20
 
 
 def _chunk(column: str, bits: int) -> Column:

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidelog.scratch import ensure_checkpoints
 
@@ -14,7 +17,16 @@ PIN_ROWS = 100_000
 
 class Pinned(NamedTuple):
     frame: DataFrame
-    small: bool
+    rows: pa.Table | None  # the content, while it is small
+
+    @property
+    def small(self) -> bool:
+        return self.rows is not None
+
+    def lowest(self, column: str) -> int | None:
+        if self.rows is not None:
+            return pc.min(self.rows[column]).as_py()
+        return self.frame.agg(F.min(column)).first()[0]
 
 
 def pin(frame: DataFrame, rows: int = PIN_ROWS) -> Pinned:
@@ -26,6 +38,6 @@ def pin(frame: DataFrame, rows: int = PIN_ROWS) -> Pinned:
     spark = frame.sparkSession
     taken = frame.limit(rows + 1).toArrow()
     if taken.num_rows <= rows:
-        return Pinned(spark.createDataFrame(taken, schema=frame.schema), True)
+        return Pinned(spark.createDataFrame(taken, schema=frame.schema), taken)
     ensure_checkpoints(spark)
-    return Pinned(frame.checkpoint(), False)
+    return Pinned(frame.checkpoint(), None)

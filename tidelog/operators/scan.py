@@ -29,7 +29,7 @@ def after_starts(
     """
     pinned = starts if isinstance(starts, Pinned) else pin(starts)
     if not new_partitions:
-        low = pinned.frame.agg(F.min("next_offset")).first()[0]
+        low = pinned.lowest("next_offset")
         if low is not None:
             records = records.where(F.col("_offset") >= low)  # reaches the parquet scan
     how = "left" if new_partitions else "inner"

@@ -26,7 +26,8 @@ from tidelog.operators.scan import after_starts
 from tidelog.schema import DATA_FILES, ENVELOPE, KEY, MANIFEST
 from tidelog.sources.files import children, is_complete, numbers
 
-ROWS_PER_FILE = 4_000_000
+#: Aim for the length of a data file; halve it for payloads far above a kilobyte.
+ROWS_PER_FILE = 1_000_000
 #: Most file names the driver takes from the manifest to narrow a scan.
 PRUNE_FILES = 100_000
 
@@ -117,7 +118,7 @@ class TopicLog:
             to_envelope(numbered)
             .write.mode("overwrite")
             .partitionBy(*KEY)
-            .option("maxRecordsPerFile", rows_per_file)
+            .option("maxRecordsPerFile", 2 * rows_per_file)
             .parquet(data)
         )
         written = self.spark.read.schema(DATA_FILES).option("basePath", self.data_path).parquet(data)

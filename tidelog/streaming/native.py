@@ -150,19 +150,16 @@ def start_committing(
         query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         state = BatchState(spark, here, query_id)
         before, pending = state.load(batch_id, starts)
-        batch.persist()  # the sink and the position both read it
-        try:
-            sink(batch.drop("_file"), batch_id)
-            files = batch.groupBy(*KEY, F.col("_file").alias("file")).agg(
-                F.max("_offset").alias("max_offset")
-            )
-            seen = pending.unionByName(files)
-            offsets = pin(contiguous_offsets(here, topics, before, seen)).frame
-            if not new_partitions:
-                _require_known(offsets, starts)
-            state.save(batch_id, offsets, seen)
-        finally:
-            batch.unpersist()
+        sink(batch.drop("_file"), batch_id)
+        # A second look at the files costs less than keeping the whole batch would.
+        files = batch.groupBy(*KEY, F.col("_file").alias("file")).agg(
+            F.max("_offset").alias("max_offset")
+        )
+        seen = pin(pending.unionByName(files)).frame
+        offsets = pin(contiguous_offsets(here, topics, before, seen)).frame
+        if not new_partitions:
+            _require_known(offsets, starts)
+        state.save(batch_id, offsets, seen)
         known = None if batch_id == 0 else before.withColumn("last_offset", F.col("next_offset") - 1)
         GroupTable(spark, table).commit(group_id, query_id, batch_id, offsets, known=known)
 
