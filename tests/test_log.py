@@ -121,6 +121,28 @@ def test_filters_reach_the_scan(log):
     assert "ReadSchema: struct<_key:binary>" in keys
 
 
+def test_resume_checks_every_start(spark, log):
+    good = starts(spark, ("hot", 0, 150), ("cold", 0, 50), ("cold", 1, 49))
+    assert offsets_of(log.resume(["hot", "cold"], good)) == {
+        ("hot", 0): list(range(150, 200)),
+        ("cold", 1): [49],
+    }
+    partial = starts(spark, ("hot", 0, 150), ("cold", 0, 50))
+    with pytest.raises(ValueError, match="cold/1: partition has no start"):
+        log.resume(["hot", "cold"], partial)
+    assert offsets_of(log.resume(["hot", "cold"], partial, new_partitions=True)) == {
+        ("hot", 0): list(range(150, 200)),
+        ("cold", 1): list(range(50)),
+    }
+    for rows, problem in [
+        ([("hot", 0, 201)], "beyond the end"),
+        ([("hot", 0, 5), ("hot", 9, 5)], "hot/9: .* does not exist"),
+    ]:
+        for new_partitions in (False, True):
+            with pytest.raises(ValueError, match=problem):
+                log.resume(["hot"], starts(spark, *rows), new_partitions=new_partitions)
+
+
 def test_batches_with_new_partitions(spark, log):
     begin = add_new_partitions(log.partitions(), starts(spark, ("hot", 0, 199)))
     assert as_dict(begin, "next_offset") == {("hot", 0): 199, ("cold", 0): 0, ("cold", 1): 0}

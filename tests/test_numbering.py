@@ -16,7 +16,7 @@ def expected(frame):
 
 def hot_rows():
     rng = random.Random(3)
-    ids = rng.sample(range(5_000), 600) + [2**45 + 1, 2**45 + 2, 2**62]
+    ids = rng.sample(range(5_000), 600) + [-7, -(2**40), 2**45 + 1, 2**45 + 2, 2**62]
     return [(i, "hot" if n % 3 else f"t{n % 5}", 0 if n % 3 else n % 2) for n, i in enumerate(ids)]
 
 

@@ -260,6 +260,20 @@ def test_largest_returns_all_and_only_later_records(spark, root, tmp_path):
     assert written(spark, out) == {("hot", 0): list(range(200, 207))}
 
 
+def test_checkpoint_outranks_the_group(spark, root, tmp_path):
+    log = write_log(spark, root, ROWS)
+    drain(stream(log), tmp_path)
+    rewound = log.partitions().selectExpr("_topic", "_partition", "cast(0 AS bigint) AS last_offset")
+    GroupTable(spark, log.groups_path).commit("g", "other", 0, rewound)
+    log.append(records(spark, [(1000 + i, "hot", 0) for i in range(3)]), "id", chunk_bits=2)
+    drain(stream(log), tmp_path)
+    assert written(spark, tmp_path) == {
+        ("hot", 0): list(range(203)),
+        ("cold", 0): list(range(50)),
+        ("cold", 1): list(range(50)),
+    }
+
+
 def test_group_continues_without_the_checkpoint(spark, root, tmp_path):
     log = write_log(spark, root, ROWS)
     first, second = tmp_path / "first", tmp_path / "second"

@@ -36,7 +36,7 @@ def starts_after(offsets: DataFrame) -> DataFrame:
 
 def add_new_partitions(partitions: DataFrame, starts: DataFrame) -> DataFrame:
     """Starts extended by partitions they lack, each from its first record."""
-    return partitions.join(starts, KEY, "left").select(
+    return partitions.join(starts, KEY, "full").select(
         *KEY, F.coalesce("next_offset", "earliest").alias("next_offset")
     )
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.operators.envelope import subscribe
+from tidelog.operators.pin import pin
 from tidelog.operators.scan import after_starts
 from tidelog.options import parse_topics
 from tidelog.schema import KEY
@@ -57,7 +58,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> TopicLog:
     """The numbered log of ``events`` with the positions of four groups."""
     name = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _writing:
-        if name not in _written:
+        if name not in _written or TopicLog(spark, _written[name]).last_append() < 0:
             _written[name] = _write_log(spark, sf_dir)
         return TopicLog(spark, _written[name])
 
@@ -69,7 +70,7 @@ _writing = threading.Lock()
 def _write_log(spark: SparkSession, sf_dir: str) -> str:
     log = TopicLog(spark, scratch(spark))
     log.append(event_records(spark, sf_dir), "event_id")
-    partitions = log.partitions()
+    partitions = pin(log.partitions()).frame
     ends = partitions.select(*KEY, (F.col("latest") - 1).alias("last_offset"))
     groups = GroupTable(spark, log.groups_path)
     groups.commit("g_full", "q1", 0, halfway(partitions), FIRST_COMMIT)

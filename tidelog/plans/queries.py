@@ -119,7 +119,7 @@ def scan_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Continue from offset JSON, as a restored checkpoint holds it."""
     log = event_log(spark, sf_dir)
     stored = encode_offsets(halfway(subscribed(log)))
-    return readable(log.rows_after(starts_after(decode_offsets(stored))))
+    return readable(log.resume(TOPICS, starts_after(decode_offsets(stored))))
 
 
 def scan_task_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,15 +14,17 @@ are made by one writer at a time.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.operators.discovery import discover_from_manifest
+from tidelog.operators.discovery import discover_from_manifest, discover_topics
 from tidelog.operators.envelope import to_envelope
 from tidelog.operators.numbering import CHUNK_BITS, number_offsets
 from tidelog.operators.pin import Pinned, pin
 from tidelog.operators.scan import after_starts
+from tidelog.operators.starts import add_new_partitions, require_starts
 from tidelog.schema import DATA_FILES, ENVELOPE, KEY, MANIFEST
 from tidelog.sources.files import children, is_complete, numbers
 
@@ -92,6 +94,21 @@ class TopicLog:
         files = reader.parquet(*(f"{self.data_path}/{name}" for name in names))
         return after_starts(to_envelope(files), pinned)
 
+    def resume(
+        self, topics: Sequence[str], starts: DataFrame, *, new_partitions: bool = False
+    ) -> DataFrame:
+        """Records of ``topics`` from stored ``starts`` on, after checking every one of them.
+
+        A partition without a start is an error, or with ``new_partitions`` read from
+        its beginning; so is a start outside the log.
+        """
+        partitions = pin(discover_topics(self.manifest(), topics)).frame
+        if new_partitions:
+            starts = add_new_partitions(partitions, starts)
+        pinned = pin(starts)
+        require_starts(partitions, pinned.frame)
+        return self.rows_after(pinned)
+
     def append(
         self,
         records: DataFrame,
