@@ -85,8 +85,9 @@ def test_merge_keeps_idle_partitions(spark):
     assert as_dict(merged, "last_offset") == {("a", 0): 7, ("a", 1): 9, ("a", 2): -1}
 
 
-def test_tasks_cover_unread_offsets(spark, parts):
-    found = scan_tasks(parts, starts(spark, ("a", 0, 5), ("a", 1, 4)), 2).collect()
+@pytest.mark.parametrize("block_tasks", [1, 2, 10_000])
+def test_tasks_cover_unread_offsets(spark, parts, block_tasks):
+    found = scan_tasks(parts, starts(spark, ("a", 0, 5), ("a", 1, 4)), 2, block_tasks).collect()
     assert sorted((r._partition, r.start_offset, r.end_offset) for r in found) == [
         (0, 5, 7), (0, 7, 9), (0, 9, 10),
     ]  # a/1 has nothing unread

@@ -2,20 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.schema import KEY
 
+#: Ranges that one row of the first split expands to.
+BLOCK_TASKS = 10_000
 
-def scan_tasks(partitions: DataFrame, starts: DataFrame, rows_per_task: int) -> DataFrame:
+
+def _steps(first: str, end: Column, step: int) -> Column:
+    return F.explode(F.sequence(F.col(first), end - 1, F.lit(step).cast("bigint")))
+
+
+def scan_tasks(
+    partitions: DataFrame, starts: DataFrame, rows_per_task: int, block_tasks: int = BLOCK_TASKS
+) -> DataFrame:
     """``_topic, _partition, start_offset, end_offset`` (half open), at most
-    ``rows_per_task`` offsets each, so that a hot partition gets many tasks."""
+    ``rows_per_task`` offsets each, so that a hot partition gets many tasks.
+
+    Partitions are cut into blocks and the blocks into ranges, in separate stages,
+    so no single row expands to the whole of a hot partition.
+    """
     unread = partitions.join(starts, KEY).where("next_offset < latest")
-    step = F.lit(rows_per_task).cast("bigint")
-    split = unread.withColumn(
-        "start_offset", F.explode(F.sequence("next_offset", F.col("latest") - 1, step))
-    )
-    return split.select(
-        *KEY, "start_offset", F.least(F.col("start_offset") + step, F.col("latest")).alias("end_offset")
-    )
+    wide = rows_per_task * block_tasks
+    blocks = unread.select(*KEY, "latest", _steps("next_offset", F.col("latest"), wide).alias("block"))
+    ends = F.least(F.col("block") + wide, F.col("latest"))
+    spread = blocks.withColumn("block_end", ends).repartition(*KEY, "block")
+    ranges = spread.withColumn("start_offset", _steps("block", F.col("block_end"), rows_per_task))
+    end_offset = F.least(F.col("start_offset") + rows_per_task, F.col("block_end"))
+    return ranges.select(*KEY, "start_offset", end_offset.alias("end_offset"))
