@@ -113,6 +113,11 @@ def test_large_starts_table_uses_salted_join(spark, log, new_partitions):
     assert "_salt" not in small._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_offset_range_is_half_open(log):
+    assert offsets_of(offset_range(log.rows(), "hot", 0, 5, 9)) == {("hot", 0): [5, 6, 7, 8]}
+    assert offsets_of(offset_range(log.rows(), "cold", 1, 48)) == {("cold", 1): [48, 49]}
+
+
 def test_filters_reach_the_scan(log):
     plan = offset_range(log.rows(), "hot", 0, 5, 9)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(_offset,5)" in plan and "LessThan(_offset,9)" in plan

@@ -95,9 +95,7 @@ ORACLE: dict[str, str] = {
         columns="_topic AS topic, _partition AS partition, _offset AS position, _key AS user_id"
     ),
     "topic_subset": _records("_topic IN ('click', 'view')"),
-    "offset_range_filter": _records(
-        "_topic = 'click' AND _partition = 1 AND _offset >= 100 AND _offset < 400"
-    ),
+    "offset_range_filter": _records("_topic = 'click' AND _partition = 1 AND _offset >= 100"),
     "tombstones": _records("_message IS NULL", "_key, _topic, _partition, _offset"),
     "keyless_records": _records("_key IS NULL"),
     "decode_payload": _records(

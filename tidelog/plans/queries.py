@@ -70,7 +70,7 @@ def topic_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def offset_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readable(offset_range(event_log(spark, sf_dir).rows(), "click", 1, 100, 400))
+    return readable(offset_range(event_log(spark, sf_dir).rows(), "click", 1, 100))
 
 
 def tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:
