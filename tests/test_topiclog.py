@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from tests.conftest import as_dict, offsets_of, records, write_log
 from tidelog.options import ReadOptions
 from tidelog.schema import ENVELOPE
-from tidelog.sources import GroupTable, TopicLog, register
+from tidelog.sources import GroupTable, register
 from tidelog.sources.topiclog import TopicLogSource, TopicLogStreamReader
 
 ROWS = [(i, "hot" if i % 3 else "cold", i % 2 if i % 3 == 0 else 0) for i in range(300)]

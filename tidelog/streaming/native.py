@@ -1,8 +1,8 @@
 """Streaming a topic log with Spark's file source, all inside the JVM.
 
 The file source hands out files by modification time, not by offset, so a batch may
-hold a later file of a partition before an earlier one. Rows still come out exactly
-once; the group position moves only past files that are followed by no gap.
+hold a later file of a partition before an earlier one. Each file is still read once;
+the group position moves only up to the first file that has not been seen.
 """
 
 from __future__ import annotations
