@@ -11,15 +11,15 @@ WITH doc AS (
 ), item AS (
   SELECT DISTINCT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_ITEM_WORDS} AS w FROM benchmark
 ), gram AS (
-  SELECT DISTINCT item, least(len(w), 10) AS size, array_to_string(w[at : at + least(len(w), 10) - 1], ' ') AS g
-  FROM item, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS u(at) WHERE len(w) > 0
+  SELECT DISTINCT item, least(len(w), 10) AS size, array_to_string(w[k:k + least(len(w), 10) - 1], ' ') AS g
+  FROM item, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS u(k) WHERE len(w) > 0
 ), place AS (
-  SELECT r, at, size, array_to_string(w[at : at + size - 1], ' ') AS g
-  FROM doc, (SELECT DISTINCT size FROM gram) AS sizes, unnest(range(1, len(w) - size + 2)) AS u(at) WHERE len(w) >= size
+  SELECT r, k, size, array_to_string(w[k:k + size - 1], ' ') AS g
+  FROM doc, (SELECT DISTINCT size FROM gram) AS sizes, unnest(range(1, len(w) - size + 2)) AS u(k) WHERE len(w) >= size
 ), found AS (
-  SELECT r, at, size, item FROM place JOIN gram USING (size, g)
+  SELECT r, k, size, item FROM place JOIN gram USING (size, g)
 ), hits AS (
-  SELECT r, count(DISTINCT p) AS n_hit FROM found, unnest(range(at, at + size)) AS u(p) GROUP BY r
+  SELECT r, count(DISTINCT p) AS n_hit FROM found, unnest(range(k, k + size)) AS u(p) GROUP BY r
 ), items AS (
   SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item FROM found) GROUP BY r
 )
@@ -35,18 +35,18 @@ WITH RECURSIVE doc AS (
   SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w
   FROM documents
 ), shingle AS (
-  SELECT DISTINCT doc_id, array_to_string(w[at : at + 4], ' ') AS s
-  FROM doc, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS u(at) WHERE len(w) > 0
+  SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS s
+  FROM doc, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS u(k) WHERE len(w) > 0
 ), size AS (
   SELECT doc_id, count(*) AS n, min(s) AS least, sum(hash(s)) AS h FROM shingle GROUP BY doc_id
 ), class AS (
   SELECT doc_id, n, min(doc_id) OVER (PARTITION BY n, least, h) AS rep FROM size
 ), shared AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
   FROM shingle AS a JOIN shingle AS b ON a.s = b.s AND a.doc_id < b.doc_id
   WHERE a.doc_id IN (SELECT rep FROM class) AND b.doc_id IN (SELECT rep FROM class) GROUP BY ALL
 ), link AS (
-  SELECT a, b FROM shared JOIN size AS x ON x.doc_id = a JOIN size AS y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)
+  SELECT a, b FROM shared JOIN size AS x ON x.doc_id = a JOIN size AS y ON y.doc_id = b WHERE 100 * common >= 75 * (x.n + y.n - common)
 ), both_ways AS (
   SELECT a, b FROM link UNION ALL SELECT b, a FROM link
 ), reach AS (
