@@ -7,8 +7,8 @@ are linked when their sets overlap by ``THRESHOLD`` per cent or more, checked on
 Candidates come from bands of ``ROWS`` minima. Two sets at similarity 0.75 miss all ``BANDS`` bands with probability
 (1 - 0.75**4)**48, about 1e-8. A bucket of a band never yields all of its pairs: every member is compared with a centre,
 the member that meets most others, for ``STARS`` rounds; members that are by then in one component need no further
-comparison. Only pairs of different components that met in a bucket and were not yet compared are left, and all of
-these are compared, whatever their number.
+comparison. Only pairs of different components that met in a bucket and were not yet compared are left. These are
+all compared, whatever their number, unless what a set shares with any other one already rules the pair out.
 
 Nulls and repeats: a null or wordless text has an empty set and is linked with nothing. Rows without doc_id are linked
 with nothing, have no component and are kept. Rows that share a doc_id are one document with the links of all its texts;
@@ -141,6 +141,27 @@ def _labels(entries: DataFrame, links: DataFrame) -> DataFrame:
     return entries.join(found, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
 
 
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in small_batches(batches, "set"):
+        sets = [np.frombuffer(x, np.int64) for x in batch.column("set").to_pylist()]
+        docs = np.repeat(batch.column("doc_id").to_numpy(), [len(x) for x in sets])
+        yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(np.concatenate(sets))], ["doc", "shingle"])
+
+
+def _shared_sizes(entries: DataFrame, sets: DataFrame) -> DataFrame:
+    """``doc, size, shared``: a set's size, and how many of its shingles some other set of ``entries`` has too.
+
+    Two sets have at most the smaller ``shared`` in common, so most pairs of a large group of copies that differ too
+    much are ruled out by four numbers. Ids with several texts get none, which rules nothing out.
+    """
+    own = sets.join(entries.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    sizes = own.groupBy(F.col("doc_id").alias("doc")).agg(F.count("*").alias("texts"), F.max(F.length("set") / 8).cast("bigint").alias("size"))
+    held = own.mapInArrow(_spread, "doc bigint, shingle bigint").groupBy("shingle").agg(F.count("*").alias("n"), F.min("doc").alias("doc"))
+    alone = held.where("n = 1").groupBy("doc").agg(F.count("*").alias("alone"))
+    shared = F.col("size") - F.coalesce("alone", F.lit(0))
+    return stored(sizes.where("texts = 1").join(alone, "doc", "left").select("doc", "size", shared.alias("shared")))
+
+
 def links_between_classes(signed_docs: DataFrame, texts: DataFrame) -> DataFrame:
     """Links ``a, b`` (each the smallest doc_id of its class) of all classes of ``signed_docs``.
 
@@ -192,10 +213,14 @@ def links_between_classes(signed_docs: DataFrame, texts: DataFrame) -> DataFrame
         labelled = stored(
             labelled.join(largest.where("parts > 1"), "key").withColumn("open", F.col("component") != F.col("most")).drop("most", "parts")
         )
-    # What is left: an open member against every member of another component.
-    one = labelled.where("open").select("key", F.col("doc").alias("x"), F.col("component").alias("cx"))
-    two = labelled.select("key", F.col("doc").alias("y"), F.col("component").alias("cy"))
-    rest = _pairs(one.join(two, "key").where("cx <> cy"), "x", "y").join(tried, ["a", "b"], "left_anti")
+    # What is left: an open member against every member of another component that it may still be near.
+    labelled = labelled.join(_shared_sizes(labelled, sets), "doc", "left")
+    one = labelled.where("open").select("key", *[F.col(c).alias(f"{c}_x") for c in ("doc", "component", "size", "shared")])
+    two = labelled.select("key", *[F.col(c).alias(f"{c}_y") for c in ("doc", "component", "size", "shared")])
+    common = F.least("shared_x", "shared_y")
+    possible = F.coalesce(100 * common >= THRESHOLD * (F.col("size_x") + F.col("size_y") - common), F.lit(True))
+    met = one.join(two, (one.key == two.key) & (F.col("component_x") != F.col("component_y")) & possible)
+    rest = _pairs(met, "doc_x", "doc_y").join(tried, ["a", "b"], "left_anti")
     return links.union(verified(stored(rest)))
 
 

@@ -5,11 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import decontaminate, near_duplicates
+from tidelog.llm import (
+    decontaminate,
+    mixing,
+    near_duplicates,
+    pii,
+    quality_rules,
+    revisits,
+    secret_scan,
+    substring_duplicates,
+)
 from tidelog.llm.common import table
 from tidelog.llm.oracle import ORACLE  # noqa: F401
 
 
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.document_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(table(spark, sf_dir, "documents"))
+
+
+def op5_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return revisits.resolve(revisits.captures_of(table(spark, sf_dir, "pages")))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -22,8 +43,32 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.personal_data(table(spark, sf_dir, "documents")))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_duplicates.digests(table(spark, sf_dir, "documents"))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digests(secret_scan.secrets(table(spark, sf_dir, "documents")))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op6_decontamination, op10_near_duplicates)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op3_source_mixing,
+        op4_quality_rules,
+        op5_revisits,
+        op6_decontamination,
+        op7_pii,
+        op8_substring_dedup,
+        op9_secret_scan,
+        op10_near_duplicates,
+    )
+}
