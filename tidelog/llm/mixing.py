@@ -1,8 +1,8 @@
 """Mixing to target weights: soft domain membership, then document rates by projected-gradient least squares.
 
-Domains are what the labelled table tells apart (``DOMAINS``). A naive-Bayes model over hashed words, fitted on labelled
-documents, gives every document posteriors p[d], tempered on held-out labels so that long documents stay unsure where
-they should. Rates r >= 0 are then fitted so that the expected tokens of each domain, sum of r * tokens * p[d], meet the
+Domains are what the labelled table tells apart (``DOMAINS``). A naive-Bayes model over the presence of hashed words that
+tell the domains apart (by a chi-squared test), fitted on labelled documents, gives every document posteriors p[d],
+tempered on held-out labels so that they are not surer than they should be. Rates r >= 0 are then fitted so that the expected tokens of each domain, sum of r * tokens * p[d], meet the
 targets in the least-squares sense (each domain's error relative to its target). The gradient of a document's rate
 depends on its posteriors and on one number per domain. Each step is therefore one combined aggregate over a table of
 one short row per document, and the step's few numbers are all that the driver sees. A document's rate is folded from the
@@ -30,14 +30,16 @@ from pyspark.sql import functions as F
 from tidelog.llm.common import stored
 
 #: Domain and its share of all tokens in the mix.
-DOMAINS = {"good": 0.92, "poor": 0.06, "toxic": 0.02}
+DOMAINS = {"good": 0.90, "poor": 0.06, "toxic": 0.04}
 FIT_ROWS = 20_000
-BUCKETS = 4096
+BUCKETS = 1 << 16
 SMOOTHING = 0.5
+#: Chi-squared value from which a word bucket counts, and labelled documents it must be in.
+TELLING, LEAST_SEEN = 25.0, 5
 STEPS = 40
 #: Relative error of all domains at which the fit ends early.
-CLOSE = 1e-6
-TEMPERATURES = [0.5 * 2**k for k in range(10)]
+CLOSE = 1e-4
+TEMPERATURES = [2.0**k for k in range(-6, 3)]
 
 _NAMES = list(DOMAINS)
 
@@ -57,16 +59,19 @@ def _constant(values: list[float]) -> Column:
     return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
 
 
-def _log_posteriors(buckets: Column, weights: list[float]) -> Column:
-    """Mean log-likelihood of each domain over the words: an array in the order of the domains."""
+def _evidence(buckets: Column, model: tuple[list[int], list[float]]) -> Column:
+    """Summed log-odds of each domain over the distinct telling words of a text: an array in the order of the domains."""
+    place, weights = model
     count = len(_NAMES)
-    table = _constant(weights)
+    rows = F.split(F.lit(",".join(map(str, place))), ",").cast("array<int>")
+    table = _constant(weights or [0.0])
+    told = F.array_distinct(F.filter(F.transform(buckets, lambda b: F.element_at(rows, b + 1)), lambda r: r > 0))
 
-    def add(total: Column, bucket: Column) -> Column:
-        return F.struct(*[(total[f"d{d}"] + F.element_at(table, bucket * count + d + 1)).alias(f"d{d}") for d in range(count)], (total["n"] + 1).alias("n"))
+    def add(total: Column, row: Column) -> Column:
+        return F.struct(*[(total[f"d{d}"] + F.element_at(table, (row - 1) * count + d + 1)).alias(f"d{d}") for d in range(count)])
 
-    start = F.struct(*[F.lit(0.0).alias(f"d{d}") for d in range(count)], F.lit(0).alias("n"))
-    return F.aggregate(buckets, start, add, lambda t: F.array(*[t[f"d{d}"] / F.greatest(t["n"], F.lit(1)) for d in range(count)]))
+    start = F.struct(*[F.lit(0.0).alias(f"d{d}") for d in range(count)])
+    return F.aggregate(told, start, add, lambda t: F.array(*[t[f"d{d}"] for d in range(count)]))
 
 
 def _softmax(values: list[Column]) -> list[Column]:
@@ -79,13 +84,33 @@ def _softmax(values: list[Column]) -> list[Column]:
 class Membership:
     """Posteriors of the domains: word weights, priors and a temperature."""
 
-    def __init__(self, weights: list[float], priors: list[float], temperature: float):
+    def __init__(self, weights: tuple[list[int], list[float]], priors: list[float], temperature: float):
         self.weights, self.priors, self.temperature = weights, priors, temperature
 
     def of(self, means: str) -> list[Column]:
         return _softmax([self.temperature * F.get(means, F.lit(d)) + math.log(p) for d, p in enumerate(self.priors)])
 
 
+def _telling(counts: dict[int, list[int]], sizes: list[int]) -> tuple[list[int], list[float]]:
+    """The buckets that tell domains apart: a row number for each bucket (0: none), and a row's log-odds by domain."""
+    place, weights, total = [0] * BUCKETS, [], sum(sizes)
+    for bucket in sorted(counts):
+        seen = sum(counts[bucket])
+        if seen < LEAST_SEEN:
+            continue
+        odds, tell = [], 0.0
+        for here, size in zip(counts[bucket], sizes):
+            there, others = seen - here, total - size
+            with_, without = (here + SMOOTHING) / (size + 1), (there + SMOOTHING) / (others + 1)
+            odds.append(math.log(with_ / without))
+            spread = seen * (total - seen) * size * others
+            tell = max(tell, total * (here * (others - there) - there * (size - here)) ** 2 / spread if spread else 0.0)
+        if tell >= TELLING:
+            weights += odds
+            place[bucket] = len(weights) // len(_NAMES)
+    return place, weights
+
+
 def learn(docs: DataFrame, labels: DataFrame) -> Membership:
     """Fit on four fifths of a bounded sample of labelled documents; temper on the rest."""
     named = labels.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
@@ -95,16 +120,14 @@ def learn(docs: DataFrame, labels: DataFrame) -> Membership:
     # FIT_ROWS rows of two numbers: a size that is known.
     rows = stored(texts.join(F.broadcast(sample), "doc_id").select("domain", "hash", _buckets(F.coalesce("text", F.lit(""))).alias("buckets")))
     train, held = rows.where("pmod(hash, 5) <> 0"), rows.where("pmod(hash, 5) = 0")
-    counts = train.select("domain", F.explode("buckets").alias("bucket")).groupBy("domain", "bucket").count().collect()
+    present = train.select("domain", F.explode(F.array_distinct("buckets")).alias("bucket"))
+    # At most a row for each bucket and domain, whatever the input.
+    counts = present.groupBy("bucket").pivot("domain", _NAMES).count().fillna(0).collect()
     sizes = {r.domain: r["count"] for r in train.groupBy("domain").count().collect()}
-    seen = [[SMOOTHING] * BUCKETS for _ in _NAMES]
-    for row in counts:
-        seen[_NAMES.index(row.domain)][row.bucket] += row["count"]
-    totals = [sum(s) for s in seen]
-    weights = [math.log(seen[d][b] / totals[d]) for b in range(BUCKETS) for d in range(len(_NAMES))]
+    weights = _telling({r.bucket: [r[name] for name in _NAMES] for r in counts}, [sizes.get(name, 0) for name in _NAMES])
     known = sum(sizes.values())
     priors = [(sizes.get(name, 0) + 1) / (known + len(_NAMES)) for name in _NAMES]
-    scored = held.select("domain", _log_posteriors(F.col("buckets"), weights).alias("means"))
+    scored = held.select("domain", _evidence(F.col("buckets"), weights).alias("means"))
     losses = []
     for t in TEMPERATURES:
         own = Membership(weights, priors, t).of("means")
@@ -122,7 +145,7 @@ def memberships(docs: DataFrame, model: Membership) -> DataFrame:
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.size(F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")).cast("bigint").alias("n_tokens"),
-        _log_posteriors(_buckets(text), model.weights).alias("means"),
+        _evidence(_buckets(text), model.weights).alias("means"),
     )
     return means.select("doc_id", "source", "n_tokens", *[F.round(p, 9).alias(f"p_{name}") for name, p in zip(_NAMES, model.of("means"))])
 

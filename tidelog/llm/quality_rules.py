@@ -16,8 +16,6 @@ row. Ties share a distance and a verdict. Empty tables give empty results; other
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,10 +30,10 @@ MOST_REPEATED = 30
 SUBSET = 0.75
 STEPS = 6
 LEAST_GROUP = 50
-#: Squared Mahalanobis distance beyond which a document is rejected: far past the 0.9999 quantile of the chi-squared
-#: distribution with four degrees of freedom (23.5), as clean documents are not quite normal. Symmetric about a centre,
-#: so a document is rejected for its excess of symbols or repeats or for its odd word length, not for being clean.
-CUTOFF = 60.0
+#: Squared Mahalanobis distance beyond which a document is rejected. Far past the 0.9999 quantile of the chi-squared
+#: distribution with four degrees of freedom (23.5): most clean texts have no symbols and no repeats at all, so the
+#: spread is close to its floor (``RIDGE``) there, and one repeated line in a short text already lies at about 200.
+CUTOFF = 280.0
 #: Fixed-point places of the transformed statistics.
 SCALE = 1024
 #: Variance added to each diagonal element, in squared units of the statistics: constant columns stay invertible.
@@ -201,10 +199,10 @@ def estimates(rows: DataFrame, keys: list[str]) -> DataFrame:
         columns += [(spread * spread + RIDGE[i] * SCALE * SCALE if i == j else F.lit(0.0)).alias(f"c{i}{j}") for j in range(i + 1)]
     estimate = stored(_factor(first.select(*columns)))
     for _ in range(STEPS):
-        placed = rows.join(estimate.drop("n"), keys) if keys else rows.crossJoin(F.broadcast(estimate.drop("n")))
+        placed = rows.join(estimate.drop("n"), keys)
         placed = placed.select(*keys, *DIMENSIONS, _distance_class(_distance()).alias("class"))
         last = _nearest(placed, keys)
-        near = placed.join(last, keys) if keys else placed.crossJoin(F.broadcast(last))
+        near = placed.join(last, keys)
         estimate = stored(_factor(_moments(near.where(F.col("class") <= F.col("last")), keys)))
     return estimate
 
@@ -217,11 +215,12 @@ def judged(docs: DataFrame) -> DataFrame:
     grouped = usable.where("lang IS NOT NULL AND source IS NOT NULL")
     sizes = grouped.groupBy(*keys).count().where(F.col("count") >= LEAST_GROUP).select(*keys)
     own = estimates(grouped.join(stored(sizes), keys).select(*keys, *DIMENSIONS), keys)
-    overall = estimates(usable.select(*DIMENSIONS), [])
+    everything = F.lit("all").alias("everything")
+    overall = estimates(usable.select(everything, *DIMENSIONS), ["everything"])
     named = [c for c in own.columns if c not in (*keys, "n")]
     # One row, so a broadcast of fixed size; without usable documents it is empty and nothing is judged by it.
-    common = overall.select(F.lit(1).alias("_one"), *[F.col(c).alias(f"o_{c}") for c in named])
-    judged_rows = rows.join(own.drop("n"), keys, "left").withColumn("_one", F.lit(1)).join(F.broadcast(common), "_one", "left")
+    common = F.broadcast(overall.select("everything", *[F.col(c).alias(f"o_{c}") for c in named]))
+    judged_rows = rows.join(own.drop("n"), keys, "left").withColumn("everything", F.lit("all")).join(common, "everything", "left")
     judged_rows = judged_rows.select(*rows.columns, *[F.coalesce(c, f"o_{c}").alias(c) for c in named])
     out = judged_rows.withColumn("distance", _distance())
     return out.select(
@@ -243,11 +242,11 @@ def keep_good(docs: DataFrame) -> DataFrame:
     verdicts = judged(docs.where("doc_id IS NOT NULL"))
     rejected = verdicts.where("NOT kept").select(F.col("doc_id").alias("_rejected")).distinct()
     named = docs.where("doc_id IS NOT NULL").join(rejected, F.col("doc_id").cast("bigint") == F.col("_rejected"), "left_anti")
-    nameless = docs.where("doc_id IS NULL").withColumn("_kept", ~statistics_failed())
+    nameless = docs.where("doc_id IS NULL").withColumn("_kept", ~_failed())
     return named.unionByName(nameless.where("_kept").drop("_kept"))
 
 
-def statistics_failed() -> Column:
+def _failed() -> Column:
     """The base verdict of a row as one expression over its text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return _let(
@@ -255,7 +254,3 @@ def statistics_failed() -> Column:
         lambda words: (F.size(words) < LEAST_WORDS) | (100 * _repeated_words(words) > MOST_REPEATED * F.size(words)),
     )
 
-
-def chi_squared_tail(distance: float) -> float:
-    """Share of a four-dimensional normal distribution beyond a squared distance; documents the cutoff."""
-    return math.exp(-distance / 2) * (1 + distance / 2)

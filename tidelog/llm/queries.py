@@ -10,15 +10,25 @@ from tidelog.llm import (
     mixing,
     near_duplicates,
     pii,
+    quality_model,
     quality_rules,
     revisits,
     secret_scan,
     substring_duplicates,
+    token_counts,
 )
 from tidelog.llm.common import table
 from tidelog.llm.oracle import ORACLE  # noqa: F401
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.document_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -62,6 +72,8 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_token_counts,
+        op2_quality_classifier,
         op3_source_mixing,
         op4_quality_rules,
         op5_revisits,

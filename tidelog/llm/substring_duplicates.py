@@ -13,8 +13,9 @@ so equal windows have equal anchors at equal places in them. An anchor's context
    factored greedily against all others: a factor is the longest match from where the last one ended. Factors of
    ``WINDOW`` words or more are repeated spans. Windows across the end of a factor are checked on their own, as a greedy
    factor may end inside a window that repeats elsewhere.
-3. A seed with more than ``BLOCK`` contexts (a very common phrase) would make a block too large. Its contexts give the
-   hashes of their windows instead, at most 28 each, which are counted: exact, linear, and never gathered.
+3. A seed with more than ``BLOCK`` contexts (a very common phrase) would make a block too large. Every window around it
+   holds ``HALF`` more words on its left or on its right, so its passages go to the blocks of these two longer phrases.
+   If one of these is still too common, its windows' hashes are counted instead: linear, exact, and never gathered.
 4. Each text gets its repeated windows back, by document, and drops their words.
 
 Hashes have 64 bits for seed and context each; passages are compared word by word (64-bit hashes of words).
@@ -45,6 +46,8 @@ REACH = WINDOW - SEED
 PASSAGE = 2 * REACH + SEED
 #: Most contexts of one seed in a reference block.
 BLOCK = 4096
+#: Words that every window has beside its seed on one side or the other.
+HALF = (REACH + 1) // 2
 #: All windows of a full passage.
 ALL = (1 << (REACH + 1)) - 1
 
@@ -103,7 +106,7 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["seed", "context", "doc", "at"])
 
 
-PASSAGES = "seed bigint, context bigint, large boolean, left int, words binary"
+PASSAGES = "key bigint, seed bigint, context bigint, large boolean, left int, words binary"
 
 
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,10 +119,27 @@ def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for want in wanted:
                 at = want["at"]
                 low, high = max(at - REACH, 0), min(at + SEED + REACH, len(words))
-                rows.append((want["seed"], want["context"], want["large"], at - low, words[low:high].tobytes()))
-        columns = list(zip(*rows)) if rows else [(), (), (), (), ()]
-        types = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], ["seed", "context", "large", "left", "words"])
+                rows.append((want["seed"], want["seed"], want["context"], want["large"], at - low, words[low:high].tobytes()))
+        yield _passage_batch(rows)
+
+
+def _passage_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [()] * 6
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], ["key", "seed", "context", "large", "left", "words"])
+
+
+def _halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Passages of a common seed under the keys of the two longer phrases, as far as they reach."""
+    for batch in batches:
+        rows = []
+        for seed, context, left, raw in zip(*(batch.column(c).to_pylist() for c in ("seed", "context", "left", "words"))):
+            words = len(raw) // 8
+            for side, low, high in ((1, left - HALF, left + SEED), (2, left, left + SEED + HALF)):
+                if 0 <= low and high <= words:
+                    key = xxhash.xxh3_64_intdigest(raw[8 * low : 8 * high], side) - (1 << 63)
+                    rows.append((key, seed, context, False, left, raw))
+        yield _passage_batch(rows)
 
 
 class ReferenceBlock:
@@ -196,15 +216,14 @@ MULTIPLIER = np.uint64(0xD6E8FEB86659FD93)
 
 
 def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Repeated windows of the passages of one partition; its rows come sorted by seed and context."""
+    """Repeated windows of the passages of one partition; its rows come sorted by key, seed and context."""
     kept: list[tuple] = []
     for batch in batches:
-        rows = zip(batch.column("seed").to_pylist(), batch.column("context").to_pylist(), batch.column("left").to_pylist(), batch.column("words").to_pylist())
-        for row in rows:  # a passage comes again where rows share id and text
-            if not kept or row[:2] != kept[-1][:2]:
+        for row in zip(*(batch.column(c).to_pylist() for c in ("key", "seed", "context", "left", "words"))):
+            if not kept or row[:3] != kept[-1][:3]:  # a passage comes again where rows share id and text
                 kept.append(row)
         while len(kept) > 2 * BLOCK:
-            # Cut at the last seed that begins after a full block; a seed has at most BLOCK passages.
+            # Cut at the end of a key after a full block; a key has at most BLOCK passages.
             cut = BLOCK
             while cut < len(kept) and kept[cut][0] == kept[cut - 1][0]:
                 cut += 1
@@ -217,8 +236,8 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _block(rows: list[tuple]) -> pa.RecordBatch:
-    seeds, contexts, lefts, words = zip(*rows)
-    block = ReferenceBlock(np.array(seeds), np.array(lefts), [np.frombuffer(w, np.uint64) for w in words])
+    keys, seeds, contexts, lefts, words = zip(*rows)
+    block = ReferenceBlock(np.array(keys), np.array(lefts), [np.frombuffer(w, np.uint64) for w in words])
     columns = [pa.array(seeds, pa.int64()), pa.array(contexts, pa.int64()), pa.array(block.repeated_windows())]
     return pa.RecordBatch.from_arrays(columns, ["seed", "context", "mask"])
 
@@ -249,25 +268,33 @@ def repeated_contexts(texts: DataFrame) -> DataFrame:
     )
     wanted = wanted.groupBy("doc").agg(F.collect_list("want").alias("wanted"))
     passages = stored(texts.join(wanted, "doc").select("text", "wanted").mapInArrow(_passages, PASSAGES))
-    small = passages.where("NOT large").select("seed", "context", "left", "words")
-    blocks = small.repartition("seed").sortWithinPartitions("seed", "context")
+    columns = ["key", "seed", "context", "left", "words"]
+    longer = stored(passages.where("large").mapInArrow(_halves, PASSAGES))
+    sizes = longer.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    longer = longer.join(sizes, "key")
+    small = passages.where("NOT large").select(*columns).unionByName(longer.where(F.col("n") <= BLOCK).select(*columns))
+    blocks = small.repartition("key").sortWithinPartitions("key", "seed", "context")
     factored = blocks.mapInArrow(_block_rows, "seed bigint, context bigint, mask bigint")
-    windows = passages.where("large").mapInArrow(_window_rows, "seed bigint, context bigint, column int, window bigint")
+    windows = longer.where(F.col("n") > BLOCK).mapInArrow(_window_rows, "seed bigint, context bigint, column int, window bigint")
     common = windows.groupBy("seed", "column", "window").agg(F.min("context").alias("a"), F.max("context").alias("b"))
     common = common.where("a <> b").drop("a", "b")
     counted = windows.join(common, ["seed", "column", "window"]).groupBy("seed", "context").agg(
         F.expr("bit_or(shiftleft(1L, `column`))").alias("mask")
     )
-    partly = stored(factored.unionByName(counted).where("mask <> 0"))
     whole = contexts.where("n > 1").select("seed", "context", F.lit(ALL).cast("bigint").alias("mask"))
-    masks = whole.unionByName(partly).groupBy("seed", "context").agg(F.bit_or("mask").alias("mask"))
-    return found.join(masks, ["seed", "context"]).groupBy("doc").agg(F.collect_list(F.struct("at", "mask")).alias("spots"))
+    masks = stored(whole.unionByName(factored).unionByName(counted).where("mask <> 0"))
+    return found.join(masks, ["seed", "context"]).groupBy("doc").agg(F.collect_set(F.struct("at", "mask")).alias("spots"))
 
 
 def removed_words(count: int, spots: list[dict]) -> np.ndarray:
     """Which of a text's words lie in a repeated window."""
     edges = np.zeros(count + 1, np.int64)
     for spot in spots:
+        if spot["mask"] == ALL:  # its windows join up
+            low, high = max(spot["at"] - REACH, 0), min(spot["at"] + SEED + REACH, count)
+            edges[low] += 1
+            edges[high] -= 1
+            continue
         for column in range(REACH + 1):
             begin = spot["at"] - REACH + column
             if spot["mask"] >> column & 1 and 0 <= begin <= count - WINDOW:
