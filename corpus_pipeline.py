@@ -12,6 +12,10 @@ from tidelog.llm import decontaminate, mixing, near_duplicates, pii, quality_rul
 from tidelog.llm.common import stored, table
 
 
+#: Token shares of the mix. The rules have taken most poor documents by then, and toxic ones are to weigh half as much.
+TARGETS = {"good": 0.87, "poor": 0.005, "toxic": 0.125}
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     return quality_rules.keep_good(docs)
@@ -34,7 +38,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the rates that bring the domains to their target weights."""
-    return mixing.mix(docs, table(spark, sf_dir, "labels"))
+    return mixing.mix(docs, table(spark, sf_dir, "labels"), TARGETS)
 
 
 STAGES = [

@@ -37,8 +37,10 @@ SMOOTHING = 0.5
 #: Chi-squared value from which a word bucket counts, and labelled documents it must be in.
 TELLING, LEAST_SEEN = 25.0, 5
 STEPS = 40
-#: Relative error of all domains at which the fit ends early.
+#: Relative error of all domains, or a tenth of it as their change, at which the fit ends early.
 CLOSE = 1e-4
+#: Errors of domains with smaller targets count relative to this.
+LEAST_SHARE = 0.02
 TEMPERATURES = [2.0**k for k in range(-6, 3)]
 
 _NAMES = list(DOMAINS)
@@ -46,7 +48,7 @@ _NAMES = list(DOMAINS)
 
 def _buckets(text: Column) -> Column:
     """Hash buckets of the lower-cased words and of the symbols that words end in."""
-    words = F.filter(F.split(F.regexp_replace(F.lower(text), "([#*$%&|<>!.,]+)", " $1 "), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    words = F.split(F.regexp_replace(F.lower(text), "([#*$%&|<>!.,]+)", " $1 "), "[\\x20\\x09-\\x0D]+")
     return F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
 
 
@@ -65,7 +67,7 @@ def _evidence(buckets: Column, model: tuple[list[int], list[float]]) -> Column:
     count = len(_NAMES)
     rows = F.split(F.lit(",".join(map(str, place))), ",").cast("array<int>")
     table = _constant(weights or [0.0])
-    told = F.array_distinct(F.filter(F.transform(buckets, lambda b: F.element_at(rows, b + 1)), lambda r: r > 0))
+    told = F.array_distinct(F.array_remove(F.transform(buckets, lambda b: F.element_at(rows, b + 1)), 0))
 
     def add(total: Column, row: Column) -> Column:
         return F.struct(*[(total[f"d{d}"] + F.element_at(table, (row - 1) * count + d + 1)).alias(f"d{d}") for d in range(count)])
@@ -144,7 +146,7 @@ def memberships(docs: DataFrame, model: Membership) -> DataFrame:
     means = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
-        F.size(F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")).cast("bigint").alias("n_tokens"),
+        F.size(F.array_remove(F.split(text, "[\\x20\\x09-\\x0D]+"), "")).cast("bigint").alias("n_tokens"),
         _evidence(_buckets(text), model.weights).alias("means"),
     )
     return means.select("doc_id", "source", "n_tokens", *[F.round(p, 9).alias(f"p_{name}") for name, p in zip(_NAMES, model.of("means"))])
@@ -179,17 +181,21 @@ def fit_rates(rows: DataFrame, targets: dict[str, float] | None = None) -> tuple
     if not first.total:
         return F.lit(1.0), {name: 0.0 for name in _NAMES}
     goal = {name: max(shares[name], 1e-9) for name in _NAMES}
-    # Errors count relative to the larger of a domain's share and its target, so that no rare domain stays behind.
-    weight = {name: 1 / goal[name] for name in _NAMES}
+    # Errors count relative to a domain's target, but for targets near 0.
+    weight = {name: 1 / max(goal[name], LEAST_SHARE) for name in _NAMES}
     rate_of_step = 1 / sum(weight[name] * first[name] / first.total for name in _NAMES)
     steps: list[tuple[list[float], float]] = []
-    reached, t = {}, 1.0
+    reached: dict[str, float] = {}
+    before, t = {}, 1.0
     for _ in range(STEPS):
         expected = rows.agg(*[F.sum(_rate(steps, "y") * F.col("n_tokens") * F.col(f"p_{name}")).alias(name) for name in _NAMES]).first()
         # Rounded: sums of doubles differ in their last places between runs.
         reached = {name: round(expected[name] / first.total, 10) for name in _NAMES}
-        if max(abs(reached[name] - goal[name]) / goal[name] for name in _NAMES) < CLOSE:
+        error = max(abs(reached[name] - goal[name]) * weight[name] for name in _NAMES)
+        change = max(abs(reached[name] - before.get(name, 0.0)) * weight[name] for name in _NAMES)
+        if error < CLOSE or change < CLOSE / 10:
             break
+        before = reached
         following = (1 + math.sqrt(1 + 4 * t * t)) / 2
         slopes = [rate_of_step * weight[name] * (reached[name] - goal[name]) for name in _NAMES]
         steps.append((slopes, (t - 1) / following))

@@ -248,10 +248,13 @@ def deduplicate(docs: DataFrame) -> DataFrame:
 
     Of rows that share a doc_id one stays (smallest text first); those are gathered only where an id repeats.
     """
-    dropped = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    kept = docs.join(dropped, docs.doc_id.eqNullSafe(F.col("_dropped")), "left_anti")
-    repeats = docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_again")).count().where("count > 1").select("_again")
+    found = stored(near_duplicates(docs).where("doc_id IS NOT NULL"))
+    dropped = found.where("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct()
+    again = stored(found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again")))
+    kept = docs.join(dropped, docs.doc_id == F.col("_dropped"), "left_anti")
+    if again.isEmpty():
+        return kept
     one = Window.partitionBy("doc_id").orderBy(*[F.col(f"`{c}`") for c in ["text", *[c for c in docs.columns if c != "text"]]])
-    single = kept.join(repeats, F.col("doc_id") == F.col("_again"), "left_anti")
-    first = kept.join(repeats, F.col("doc_id") == F.col("_again"), "left_semi").withColumn("_no", F.row_number().over(one))
+    single = kept.join(again, F.col("doc_id") == F.col("_again"), "left_anti")
+    first = kept.join(again, F.col("doc_id") == F.col("_again"), "left_semi").withColumn("_no", F.row_number().over(one))
     return single.unionByName(first.where("_no = 1").drop("_no"))

@@ -3,7 +3,7 @@
 The verdict is a minimum-covariance-determinant (MCD) estimate for every group of language and source: starting from
 each group's median and spread, ``STEPS`` concentration steps fit centre and covariance of the ``SUBSET`` share of
 documents that lie nearest. Documents farther than the ``CUTOFF`` from the group's centre, by Mahalanobis distance, are
-rejected. Groups with fewer than ``LEAST_GROUP`` usable documents, and those of null language or source, are judged by
+rejected. Groups whose subset has fewer than ``LEAST_GROUP`` documents, and those of null language or source, are judged by
 the estimate over all documents.
 
 Only DataFrame functions: the words of a text stay in its row, statistics are whole numbers (so that sums do not depend
@@ -28,7 +28,7 @@ LEAST_WORDS = 20
 MOST_REPEATED = 30
 #: Share of a group that is taken as clean; the rest may be arbitrarily bad.
 SUBSET = 0.75
-STEPS = 6
+STEPS = 4
 LEAST_GROUP = 50
 #: Squared Mahalanobis distance beyond which a document is rejected. Far past the 0.9999 quantile of the chi-squared
 #: distribution with four degrees of freedom (23.5): most clean texts have no symbols and no repeats at all, so the
@@ -96,7 +96,7 @@ def statistics(docs: DataFrame) -> DataFrame:
         (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("bigint").alias("n_symbols"),
         _repeated_lines(text).alias("n_dup_lines"),
         _let(
-            F.filter(F.split(text, SPACES), lambda w: w != ""),
+            F.array_remove(F.split(text, SPACES), ""),
             lambda words: F.struct(F.size(words).cast("bigint").alias("n"), _repeated_words(words).alias("repeated")),
         ).alias("words"),
     )
@@ -184,7 +184,7 @@ def _distance_class(distance: Column) -> Column:
 
 
 def estimates(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The MCD estimate of each group of ``rows``, one row with centre and factor.
+    """The MCD estimate of each group of ``rows``: its size ``n`` (of the subset), centre and factor in one row.
 
     The first estimate takes a group's quartiles, with no correlation; each further one fits the nearest share.
     """
@@ -210,18 +210,19 @@ def estimates(rows: DataFrame, keys: list[str]) -> DataFrame:
 def judged(docs: DataFrame) -> DataFrame:
     """``doc_id``, base counts, ``base_failed``, ``distance`` (squared) and ``kept`` of every row of ``docs``."""
     rows = stored(transformed(statistics(docs)))
-    usable = rows.where("NOT base_failed")
-    keys = ["lang", "source"]
-    grouped = usable.where("lang IS NOT NULL AND source IS NOT NULL")
-    sizes = grouped.groupBy(*keys).count().where(F.col("count") >= LEAST_GROUP).select(*keys)
-    own = estimates(grouped.join(stored(sizes), keys).select(*keys, *DIMENSIONS), keys)
-    everything = F.lit("all").alias("everything")
-    overall = estimates(usable.select(everything, *DIMENSIONS), ["everything"])
-    named = [c for c in own.columns if c not in (*keys, "n")]
+    # Each document counts in its own group and in that of all documents, so one pass fits both.
+    own = F.struct(F.col("lang"), F.col("source"))
+    groups = F.array(F.when(F.col("lang").isNotNull() & F.col("source").isNotNull(), own), F.struct(F.lit(None).cast("string").alias("lang"), F.lit(None).cast("string").alias("source")))
+    usable = rows.where("NOT base_failed").select(F.explode(F.array_compact(groups)).alias("g"), *DIMENSIONS)
+    name = F.coalesce(F.to_json("g"), F.lit("{}")).alias("name")
+    estimate = estimates(usable.select(name, *DIMENSIONS), ["name"])
+    fitted = [c for c in estimate.columns if c not in ("name", "n")]
+    groups_own = estimate.where((F.col("n") >= LEAST_GROUP) & (F.col("name") != "{}")).drop("n")
     # One row, so a broadcast of fixed size; without usable documents it is empty and nothing is judged by it.
-    common = F.broadcast(overall.select("everything", *[F.col(c).alias(f"o_{c}") for c in named]))
-    judged_rows = rows.join(own.drop("n"), keys, "left").withColumn("everything", F.lit("all")).join(common, "everything", "left")
-    judged_rows = judged_rows.select(*rows.columns, *[F.coalesce(c, f"o_{c}").alias(c) for c in named])
+    common = F.broadcast(estimate.where("name = '{}'").select(F.lit("all").alias("everything"), *[F.col(c).alias(f"o_{c}") for c in fitted]))
+    named = rows.withColumn("name", F.when(F.col("lang").isNotNull() & F.col("source").isNotNull(), F.to_json(own))).withColumn("everything", F.lit("all"))
+    judged_rows = named.join(groups_own, "name", "left").join(common, "everything", "left")
+    judged_rows = judged_rows.select(*rows.columns, *[F.coalesce(c, f"o_{c}").alias(c) for c in fitted])
     out = judged_rows.withColumn("distance", _distance())
     return out.select(
         "doc_id",
@@ -250,7 +251,7 @@ def _failed() -> Column:
     """The base verdict of a row as one expression over its text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return _let(
-        F.filter(F.split(text, SPACES), lambda w: w != ""),
+        F.array_remove(F.split(text, SPACES), ""),
         lambda words: (F.size(words) < LEAST_WORDS) | (100 * _repeated_words(words) > MOST_REPEATED * F.size(words)),
     )
 
