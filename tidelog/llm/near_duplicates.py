@@ -8,7 +8,7 @@ Candidates come from bands of ``ROWS`` minima. Two sets at similarity 0.75 miss
 (1 - 0.75**4)**48, about 1e-8. A bucket of a band never yields all of its pairs: every member is compared with a centre,
 the member that meets most others, for ``STARS`` rounds; members that are by then in one component need no further
 comparison. Only pairs of different components that met in a bucket and were not yet compared are left. These are
-all compared, whatever their number, unless what a set shares with any other one already rules the pair out.
+all compared, whatever their number, unless profiles of what a set shares with other ones rule the pair out.
 
 Nulls and repeats: a null or wordless text has an empty set and is linked with nothing. Rows without doc_id are linked
 with nothing, have no component and are kept. Rows that share a doc_id are one document with the links of all its texts;
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import WordHashes, gram_hashes, raw_texts, signed, small_batches, stored
@@ -34,6 +34,8 @@ BANDS, ROWS = 48, 4
 STARS = 2
 #: A pair whose signatures agree in fewer of the 192 places than this is no candidate: 5.5 standard errors below 0.75.
 LEAST_AGREEMENT = int(0.75 * BANDS * ROWS - 5.5 * (BANDS * ROWS * 0.75 * 0.25) ** 0.5)
+#: Most sets that a rare shingle is in.
+RARE = 16
 #: Shingles hashed at once; bounds the memory of one long document.
 BLOCK = 2048
 
@@ -148,18 +150,36 @@ def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(np.concatenate(sets))], ["doc", "shingle"])
 
 
-def _shared_sizes(entries: DataFrame, sets: DataFrame) -> DataFrame:
-    """``doc, size, shared``: a set's size, and how many of its shingles some other set of ``entries`` has too.
+def _profiles(entries: DataFrame, sets: DataFrame) -> DataFrame:
+    """``doc, size, common, rare, m0..m3`` of the sets of ``entries``; see ``_possible``.
 
-    Two sets have at most the smaller ``shared`` in common, so most pairs of a large group of copies that differ too
-    much are ruled out by four numbers. Ids with several texts get none, which rules nothing out.
+    Shingles that no other set has are left out; those that up to ``RARE`` sets have are marked in 256 bits. Ids with
+    several texts get no profile, which rules nothing out.
     """
     own = sets.join(entries.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sizes = own.groupBy(F.col("doc_id").alias("doc")).agg(F.count("*").alias("texts"), F.max(F.length("set") / 8).cast("bigint").alias("size"))
-    held = own.mapInArrow(_spread, "doc bigint, shingle bigint").groupBy("shingle").agg(F.count("*").alias("n"), F.min("doc").alias("doc"))
-    alone = held.where("n = 1").groupBy("doc").agg(F.count("*").alias("alone"))
-    shared = F.col("size") - F.coalesce("alone", F.lit(0))
-    return stored(sizes.where("texts = 1").join(alone, "doc", "left").select("doc", "size", shared.alias("shared")))
+    spread = stored(own.mapInArrow(_spread, "doc bigint, shingle bigint"))
+    held = spread.join(spread.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1"), "shingle")
+    rare = F.col("n") <= RARE
+    marks = [
+        F.expr(f"bit_or(IF(n <= {RARE} AND (shingle & 3) = {k}, shiftleft(1L, CAST(shiftright(shingle, 2) & 63 AS INT)), 0L))").alias(f"m{k}")
+        for k in range(4)
+    ]
+    counts = held.groupBy("doc").agg(F.count_if(~rare).alias("common"), F.count_if(rare).alias("rare"), *marks)
+    return stored(sizes.where("texts = 1").drop("texts").join(counts, "doc", "left").fillna(0))
+
+
+def _possible() -> Column:
+    """Whether two profiles (``_x``, ``_y``) may belong to sets at the threshold.
+
+    They share at most the fewer common shingles, and at most as many rare ones as marks agree, besides those that fell
+    on a mark that was already set.
+    """
+    bits = {side: sum((F.bit_count(f"m{k}_{side}") for k in range(1, 4)), F.bit_count(f"m0_{side}")) for side in "xy"}
+    agree = sum((F.bit_count(F.col(f"m{k}_x").bitwiseAND(F.col(f"m{k}_y"))) for k in range(1, 4)), F.bit_count(F.col("m0_x").bitwiseAND(F.col("m0_y"))))
+    rare = F.least("rare_x", "rare_y", agree + F.least(F.col("rare_x") - bits["x"], F.col("rare_y") - bits["y"]))
+    shared = F.least("common_x", "common_y") + rare
+    return F.coalesce(100 * shared >= THRESHOLD * (F.col("size_x") + F.col("size_y") - shared), F.lit(True))
 
 
 def links_between_classes(signed_docs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -214,12 +234,14 @@ def links_between_classes(signed_docs: DataFrame, texts: DataFrame) -> DataFrame
             labelled.join(largest.where("parts > 1"), "key").withColumn("open", F.col("component") != F.col("most")).drop("most", "parts")
         )
     # What is left: an open member against every member of another component that it may still be near.
-    labelled = labelled.join(_shared_sizes(labelled, sets), "doc", "left")
-    one = labelled.where("open").select("key", *[F.col(c).alias(f"{c}_x") for c in ("doc", "component", "size", "shared")])
-    two = labelled.select("key", *[F.col(c).alias(f"{c}_y") for c in ("doc", "component", "size", "shared")])
-    common = F.least("shared_x", "shared_y")
-    possible = F.coalesce(100 * common >= THRESHOLD * (F.col("size_x") + F.col("size_y") - common), F.lit(True))
-    met = one.join(two, (one.key == two.key) & (F.col("component_x") != F.col("component_y")) & possible)
+    # A pair counts in the first bucket that both are in; a document is in at most one bucket a band.
+    buckets = labelled.groupBy("doc").agg(F.collect_set("key").alias("buckets"))
+    labelled = labelled.join(_profiles(labelled, sets), "doc", "left").join(buckets, "doc")
+    carried = ["doc", "component", "size", "common", "rare", "m0", "m1", "m2", "m3", "buckets"]
+    one = labelled.where("open").select("key", *[F.col(c).alias(f"{c}_x") for c in carried])
+    two = labelled.select("key", *[F.col(c).alias(f"{c}_y") for c in carried])
+    first = F.array_min(F.array_intersect("buckets_x", "buckets_y")) == one.key
+    met = one.join(two, (one.key == two.key) & (F.col("component_x") != F.col("component_y")) & _possible() & first)
     rest = _pairs(met, "doc_x", "doc_y").join(tried, ["a", "b"], "left_anti")
     return links.union(verified(stored(rest)))
 
