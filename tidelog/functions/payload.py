@@ -11,9 +11,10 @@ def text(name: str) -> Column:
     return F.col(name).cast("string")
 
 
-def json_field(path: str, dtype: str) -> Column:
-    """One field of a JSON payload, cast to ``dtype``."""
-    return F.get_json_object(text("_message"), path).cast(dtype)
+def json_field(path: str, dtype: str, *, strict: bool = False) -> Column:
+    """One field of a JSON payload as ``dtype``; a value that does not fit is null, or with ``strict`` an error."""
+    field = F.get_json_object(text("_message"), path)
+    return field.cast(dtype) if strict else field.try_cast(dtype)
 
 
 def is_tombstone() -> Column:

@@ -28,6 +28,16 @@ def _rows_before(keys: list[str], order: str) -> Column:
     return F.coalesce(F.sum("n").over(window), F.lit(0))
 
 
+def _fail(message: str, value: str) -> Column:
+    text = F.concat(F.lit(f"{message}: "), F.coalesce(F.col(value).cast("string"), F.lit("null")))
+    return F.raise_error(text).cast("bigint")
+
+
+def _present(name: str) -> Column:
+    failed = F.raise_error(F.lit(f"column '{name}' is null in records to append"))
+    return F.when(F.col(name).isNull(), failed).otherwise(F.col(name))
+
+
 def _chunk_starts(rows: DataFrame, order: str, heads: DataFrame, bits: int) -> DataFrame:
     """First offset of every (topic, partition, chunk)."""
     chunks = rows.groupBy(*KEY, _chunk(order, bits).alias("_chunk")).agg(
@@ -55,12 +65,14 @@ def number_offsets(
 ) -> DataFrame:
     """Add ``_offset``: position of each row by ``order`` in its topic-partition.
 
-    ``order`` is a unique bigint column without nulls, ``heads`` holds the
+    ``order`` is a unique bigint column without nulls; a null key or order, or an
+    order that repeats within a partition, fails the job. ``heads`` holds the
     ``next_offset`` of partitions that already have records. The output has
     ``tasks`` range partitions, each sorted, with disjoint offset ranges. The one
     wide shuffle carries each chunk's start as an extra leading row, which saves
     joining the rows with a table that grows with them.
     """
+    rows = rows.withColumns({name: _present(name) for name in (*KEY, order)})
     starts = _chunk_starts(rows, order, heads, bits)
     marked = rows.withColumn("_chunk", _chunk(order, bits)).withColumn(
         "_start", F.lit(None).cast("bigint")
@@ -69,5 +81,9 @@ def number_offsets(
     spread = together.repartitionByRange(tasks, *KEY, "_chunk")
     in_chunk = Window.partitionBy(*KEY, "_chunk").orderBy(F.col(order).asc_nulls_first())
     start = F.first("_start").over(in_chunk.rowsBetween(Window.unboundedPreceding, 0))
-    numbered = spread.withColumn("_offset", start + F.row_number().over(in_chunk) - 2)
+    repeats = F.lag(order).over(in_chunk) == F.col(order)
+    offset = start + F.row_number().over(in_chunk) - 2
+    numbered = spread.withColumn(
+        "_offset", F.when(repeats, _fail(f"column '{order}' repeats", order)).otherwise(offset)
+    )
     return numbered.where(F.col("_start").isNull()).drop("_chunk", "_start")

@@ -30,7 +30,7 @@ class Pinned(NamedTuple):
 
 
 def pin(frame: DataFrame, rows: int = PIN_ROWS) -> Pinned:
-    """Evaluate a table of one row per topic-partition once.
+    """Fix a table of one row per topic-partition; more than ``rows`` rows are evaluated twice.
 
     Everything derived from it then agrees even if the table it came from changes
     meanwhile. Up to ``rows`` rows become part of the plan; more are checkpointed.

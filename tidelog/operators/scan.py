@@ -17,6 +17,7 @@ def after_starts(
     starts: DataFrame | Pinned,
     *,
     new_partitions: bool = False,
+    required: bool = False,
     salts: int = SALTS,
 ) -> DataFrame:
     """Records at or past the start of their partition, as envelopes plus extra columns.
@@ -25,14 +26,15 @@ def after_starts(
     is pinned, and broadcast while it is small, which leaves the log unshuffled.
     Otherwise the join shuffles on partition and a salt taken from the offset, so
     one hot partition still spreads over ``salts`` tasks. With ``new_partitions`` a
-    partition without a start is read from its beginning.
+    partition without a start is read from its beginning; with ``required`` a record
+    of such a partition fails the job. Otherwise it is left out.
     """
     pinned = starts if isinstance(starts, Pinned) else pin(starts)
-    if not new_partitions:
+    if not (new_partitions or required):
         low = pinned.lowest("next_offset")
         if low is not None:
             records = records.where(F.col("_offset") >= low)  # reaches the parquet scan
-    how = "left" if new_partitions else "inner"
+    how = "left" if new_partitions or required else "inner"
     columns = records.columns
     if pinned.small:
         joined = records.join(F.broadcast(pinned.frame), KEY, how)
@@ -40,6 +42,10 @@ def after_starts(
         salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
         records = records.withColumn("_salt", F.pmod("_offset", F.lit(salts)).cast("int"))
         joined = records.join(pinned.frame.withColumn("_salt", salt), [*KEY, "_salt"], how)
-    return joined.where(F.col("_offset") >= F.coalesce("next_offset", F.lit(0))).select(
+    absent = F.lit(0)
+    if required:
+        name = F.concat(F.col("_topic"), F.lit("/"), F.col("_partition").cast("string"))
+        absent = F.raise_error(F.concat(F.lit("partition has no start offset: "), name)).cast("bigint")
+    return joined.where(F.col("_offset") >= F.coalesce("next_offset", absent)).select(
         *ENVELOPE.names, *(c for c in columns if c not in ENVELOPE.names)
     )

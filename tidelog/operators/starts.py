@@ -5,7 +5,7 @@ A restored checkpoint outranks both; Structured Streaming applies it by itself.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.options import LARGEST, SMALLEST
@@ -58,6 +58,36 @@ def start_problems(partitions: DataFrame, starts: DataFrame) -> DataFrame:
 
 def require_starts(partitions: DataFrame, starts: DataFrame) -> None:
     """Fail, naming some of the offenders, unless every partition can be read."""
-    found = start_problems(partitions, starts).orderBy(*KEY).limit(5).collect()
+    problems = start_problems(partitions, starts)
+    found = problems.orderBy(*KEY).limit(5).collect()
     if found:
-        raise ValueError("; ".join(f"{r._topic}/{r._partition}: {r.problem}" for r in found))
+        named = "; ".join(f"{r._topic}/{r._partition}: {r.problem}" for r in found)
+        raise ValueError(f"{named} ({problems.count()} in all)")
+
+
+def offset_gaps(manifest: DataFrame, starts: DataFrame) -> DataFrame:
+    """Offset ranges past the starts that no file holds: ``_topic, _partition, first, last``.
+
+    One row of the manifest stands for a file, so a window over a partition's files is short.
+    A file with fewer rows than its range has lost some inside; the whole range is named.
+    """
+    due = manifest.join(starts.select(*KEY, "next_offset"), KEY).where("max_offset >= next_offset")
+    files = Window.partitionBy(*KEY).orderBy("min_offset")
+    upto = F.coalesce(F.lag("max_offset").over(files) + 1, F.least("next_offset", "min_offset"))
+    followed = due.withColumn("upto", F.greatest(upto, F.least("next_offset", "min_offset")))
+    between = F.when(F.col("min_offset") > F.col("upto"), F.struct(F.col("upto").alias("first"), (F.col("min_offset") - 1).alias("last")))
+    inside = F.when(
+        F.col("rows") != F.col("max_offset") - F.col("min_offset") + 1,
+        F.struct(F.col("min_offset").alias("first"), F.col("max_offset").alias("last")),
+    )
+    gaps = followed.select(*KEY, F.explode(F.array_compact(F.array(between, inside))).alias("gap"))
+    return gaps.select(*KEY, "gap.first", "gap.last")
+
+
+def require_no_gaps(manifest: DataFrame, starts: DataFrame) -> None:
+    """Fail, naming some of the ranges, if records past the starts are missing from the log."""
+    gaps = offset_gaps(manifest, starts)
+    found = gaps.orderBy(*KEY, "first").limit(5).collect()
+    if found:
+        named = "; ".join(f"{r._topic}/{r._partition}: offsets {r['first']} to {r['last']} are missing" for r in found)
+        raise ValueError(f"{named} ({gaps.count()} in all)")

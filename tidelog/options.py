@@ -42,6 +42,14 @@ def bool_option(options: Mapping[str, str], key: str, default: bool) -> bool:
     return value.strip().lower() == "true"
 
 
+def commit_option(options: Mapping[str, str]) -> bool:
+    """``commit``, or ``auto.commit.enable`` by its older name; both must agree if both are given."""
+    named = [bool_option(options, key, True) for key in ("commit", "auto.commit.enable") if key in lowered(options)]
+    if len(set(named)) > 1:
+        raise ValueError("options 'commit' and 'auto.commit.enable' contradict each other")
+    return named[0] if named else True
+
+
 def choice(options: Mapping[str, str], key: str, allowed: tuple[str, ...], default: str) -> str:
     value = lowered(options).get(key.lower(), default).strip().lower()
     if value not in allowed:
@@ -103,6 +111,6 @@ class ReadOptions:
             group_id=required(options, "group.id"),
             reset=choice(options, "auto.offset.reset", (SMALLEST, LARGEST), LARGEST),
             on_new_partition=choice(options, "onNewPartition", ("fail", "earliest"), "fail"),
-            commit=bool_option(options, "commit", True),
+            commit=commit_option(options),
             rows_per_task=rows_per_task,
         )

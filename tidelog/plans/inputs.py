@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from tidelog.operators.envelope import subscribe
 from tidelog.operators.pin import pin
-from tidelog.operators.scan import after_starts
 from tidelog.options import parse_topics
 from tidelog.schema import KEY
 from tidelog.scratch import scratch
@@ -94,4 +93,4 @@ def full_group_starts(log: TopicLog) -> DataFrame:
 
 def batch_with_idle_partition(log: TopicLog, starts: DataFrame) -> DataFrame:
     """Everything past ``starts`` but the records of one partition."""
-    return after_starts(log.rows(), starts).where(~_is(IDLE))
+    return log.rows_after(starts).where(~_is(IDLE))

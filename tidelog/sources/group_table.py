@@ -24,7 +24,7 @@ class GroupTable:
         self.path = path.rstrip("/")
 
     def commits(self, group_id: str | None = None) -> DataFrame:
-        """Every commit, of one group if named (only its directory is read)."""
+        """Every commit, of one group if named (all groups are listed, only its files are read)."""
         if not exists(self.spark, self.path):
             return self.spark.createDataFrame([], GROUP_OFFSETS)
         table = self.spark.read.schema(GROUP_OFFSETS).parquet(self.path).select(*GROUP_OFFSETS.names)

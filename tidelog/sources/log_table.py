@@ -24,7 +24,7 @@ from tidelog.operators.envelope import to_envelope
 from tidelog.operators.numbering import CHUNK_BITS, number_offsets
 from tidelog.operators.pin import Pinned, pin
 from tidelog.operators.scan import after_starts
-from tidelog.operators.starts import add_new_partitions, require_starts
+from tidelog.operators.starts import add_new_partitions, require_no_gaps, require_starts
 from tidelog.schema import DATA_FILES, ENVELOPE, KEY, MANIFEST
 from tidelog.sources.files import children, is_complete, numbers
 
@@ -79,8 +79,8 @@ class TopicLog:
         """Records from each partition's start on, opening only files that hold some.
 
         The manifest tells which files end before their start. Their names go to
-        the scan while they are at most ``prune_files``; a longer list stays in
-        the cluster and the scan prunes by directory and row group alone.
+        the scan while they are at most ``prune_files``; beyond, the scan opens all
+        files and prunes by row group alone.
         """
         pinned = starts if isinstance(starts, Pinned) else pin(starts)
         unread = self.manifest().join(pinned.frame, KEY).where("max_offset >= next_offset")
@@ -100,13 +100,14 @@ class TopicLog:
         """Records of ``topics`` from stored ``starts`` on, after checking every one of them.
 
         A partition without a start is an error, or with ``new_partitions`` read from
-        its beginning; so is a start outside the log.
+        its beginning; so is a start outside the log, or a hole in the offsets past it.
         """
         partitions = pin(discover_topics(self.manifest(), topics)).frame
         if new_partitions:
             starts = add_new_partitions(partitions, starts)
         pinned = pin(starts)
         require_starts(partitions, pinned.frame)
+        require_no_gaps(self.manifest(), pinned.frame)
         return self.rows_after(pinned)
 
     def append(

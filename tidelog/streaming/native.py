@@ -45,7 +45,9 @@ def read_stream(
 ) -> DataFrame:
     """Streaming envelopes past ``starts``, with the name of their data file in ``_file``.
 
-    A file name is unique within its partition.
+    A file name is unique within its partition. Unless ``new_partitions`` are read, a record
+    of a partition without a start fails the batch before its files count as read, also if
+    the manifest does not name the partition yet.
     """
     reader = log.spark.readStream.schema(DATA_FILES)
     if max_files_per_trigger is not None:
@@ -55,6 +57,7 @@ def read_stream(
         files.select(*ENVELOPE.names, F.col("_metadata.file_name").alias("_file")),
         starts,
         new_partitions=new_partitions,
+        required=not new_partitions,
     )
 
 
@@ -82,8 +85,7 @@ def contiguous_offsets(
 class BatchState:
     """What a query knows after a batch: its position, and files read beyond it.
 
-    Each batch needs only the state of the one before, so the cost of a commit does
-    not grow with the age of the query. A replayed batch overwrites its own state.
+    Each batch needs the state of the one before, and the manifest. A replayed batch overwrites its own state.
     """
 
     def __init__(self, spark: SparkSession, log: TopicLog, query_id: str):
@@ -110,10 +112,11 @@ class BatchState:
 
 
 def _require_known(partitions: DataFrame, starts: DataFrame) -> None:
-    born = partitions.join(starts, KEY, "left_anti").orderBy(*KEY).limit(5).collect()
-    if born:
-        names = ", ".join(f"{row._topic}/{row._partition}" for row in born)
-        raise ValueError(f"partition has no start offset: {names}")
+    born = partitions.join(starts, KEY, "left_anti").orderBy(*KEY)
+    first = born.limit(5).collect()
+    if first:
+        names = ", ".join(f"{row._topic}/{row._partition}" for row in first)
+        raise ValueError(f"partition has no start offset: {names} ({born.count()} in all)")
 
 
 def start_committing(
