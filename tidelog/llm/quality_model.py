@@ -184,7 +184,7 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = known.agg(F.max("quality").cast("int").alias("label")).where(fold != 0)
     sample = stored(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS))
     rows = pooled_docs.dropDuplicates(["doc_id"]).join(F.broadcast(sample), "doc_id").orderBy("doc_id").collect()
-    x = np.array([np.frombuffer(r.x, np.float32) for r in rows], float).reshape(len(rows), -1)
+    x = np.array([np.frombuffer(r.x, np.float32) for r in rows], float).reshape(len(rows), 2 * DIM + 3)
     network = context.broadcast(Network(x, np.array([r.label for r in rows], float)))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
