@@ -4,9 +4,10 @@ Domains are what the labelled table tells apart (``DOMAINS``). A naive-Bayes mod
 tell the domains apart (by a chi-squared test), fitted on labelled documents, gives every document posteriors p[d],
 tempered on held-out labels so that they are not surer than they should be. Rates r >= 0 are then fitted so that the expected tokens of each domain, sum of r * tokens * p[d], meet the
 targets in the least-squares sense (each domain's error relative to its target). The gradient of a document's rate
-depends on its posteriors and on one number per domain. Each step is therefore one combined aggregate over a table of
-one short row per document, and the step's few numbers are all that the driver sees. A document's rate is folded from the
-steps' numbers when it is needed; nothing is kept per document between steps.
+depends on its posteriors and on one number per domain. Posteriors are rounded to ``PLACES`` places, and documents with
+the same posteriors have the same rate, so the fit runs over one row per distinct posterior vector with its documents'
+tokens, pre-aggregated once. Each step is one combined aggregate over these, and the step's few numbers are all that
+the driver sees. A document's rate is folded from the steps' numbers when it is needed.
 
 Starting from rates of 1, documents of a domain that is short are repeated and those of one in excess thinned; only
 documents that lie in an excess domain almost for sure can fall to 0. ``copies`` rounds a rate up or down by a hash of
@@ -37,6 +38,8 @@ SMOOTHING = 0.5
 #: Chi-squared value from which a word bucket counts, and labelled documents it must be in.
 TELLING, LEAST_SEEN = 25.0, 5
 STEPS = 40
+#: Decimal places of a posterior.
+PLACES = 4
 #: Relative error of all domains, or a tenth of it as their change, at which the fit ends early.
 CLOSE = 1e-4
 #: Errors of domains with smaller targets count relative to this.
@@ -149,7 +152,7 @@ def memberships(docs: DataFrame, model: Membership) -> DataFrame:
         F.size(F.array_remove(F.split(text, "[\\x20\\x09-\\x0D]+"), "")).cast("bigint").alias("n_tokens"),
         _evidence(_buckets(text), model.weights).alias("means"),
     )
-    return means.select("doc_id", "source", "n_tokens", *[F.round(p, 9).alias(f"p_{name}") for name, p in zip(_NAMES, model.of("means"))])
+    return means.select("doc_id", "source", "n_tokens", *[F.round(p, PLACES).alias(f"p_{name}") for name, p in zip(_NAMES, model.of("means"))])
 
 
 def _rate(steps: list[tuple[list[float], float]], part: str) -> Column:
@@ -175,6 +178,7 @@ def fit_rates(rows: DataFrame, targets: dict[str, float] | None = None) -> tuple
     inverse of the weighted Gram matrix' trace.
     """
     shares = targets or DOMAINS
+    rows = stored(rows.groupBy(*[f"p_{name}" for name in _NAMES]).agg(F.sum("n_tokens").alias("n_tokens")))
     sums = [F.sum("n_tokens").alias("total")]
     sums += [F.sum(F.col("n_tokens") * F.col(f"p_{name}") ** 2).alias(name) for name in _NAMES]
     first = rows.agg(*sums).first()
