@@ -89,10 +89,15 @@ def test_scan_is_exact_and_opens_only_needed_files(spark, log):
     assert len(found.inputFiles()) < len(log.rows().inputFiles()) / 2
 
 
-def test_scan_without_file_list(spark, log):
-    begin = starts(spark, ("hot", 0, 150), ("cold", 1, 49))
-    found = log.rows_after(begin, prune_files=1)
-    assert offsets_of(found) == {("hot", 0): list(range(150, 200)), ("cold", 1): [49]}
+def test_scan_joins_only_the_files_that_hold_a_start(spark, log):
+    begin = starts(spark, ("hot", 0, 150), ("cold", 1, 0))
+    for pinned in (pin(begin), pin(begin, rows=1)):
+        found = log.rows_after(pinned)
+        assert offsets_of(found) == {("hot", 0): list(range(150, 200)), ("cold", 1): list(range(50))}
+        assert len(found.inputFiles()) < len(log.rows().inputFiles())
+    at_file = log.manifest().where("_topic = 'hot'").agg({"min_offset": "max"}).first()[0]
+    whole = log.rows_after(starts(spark, ("hot", 0, at_file), ("cold", 1, 0)))
+    assert "Join" not in whole._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_scan_at_the_end_is_empty(spark, log):

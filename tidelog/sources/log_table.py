@@ -16,6 +16,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,8 +32,6 @@ from tidelog.sources.files import children, is_complete, numbers
 
 #: Aim for the length of a data file; halve it for payloads far above a kilobyte.
 ROWS_PER_FILE = 1_000_000
-#: Most file names the driver takes from the manifest to narrow a scan.
-PRUNE_FILES = 100_000
 
 
 def _relative(file_path: str) -> Column:
@@ -75,24 +75,27 @@ class TopicLog:
         files = self.spark.read.schema(DATA_FILES).parquet(self.data_path)
         return to_envelope(files.where(F.col("_append") <= last))
 
-    def rows_after(self, starts: DataFrame | Pinned, prune_files: int = PRUNE_FILES) -> DataFrame:
+    def _records(self, names: pa.Table) -> DataFrame:
+        """Records of the named data files."""
+        if not names.num_rows:
+            return self.spark.createDataFrame([], ENVELOPE)
+        reader = self.spark.read.schema(DATA_FILES).option("basePath", self.data_path)
+        return to_envelope(reader.parquet(*(f"{self.data_path}/{n}" for n in names["file"].to_pylist())))
+
+    def rows_after(self, starts: DataFrame | Pinned) -> DataFrame:
         """Records from each partition's start on, opening only files that hold some.
 
-        The manifest tells which files end before their start. Their names go to
-        the scan while they are at most ``prune_files``; beyond, the scan opens all
-        files and prunes by row group alone.
+        By the manifest, a file ends before its partition's start and is not opened,
+        lies past it and is read as it is, or holds it. Only the last kind, at most
+        one file of a partition, is joined with the starts. The names of the opened
+        files pass through the driver, which lists them for the scan in any case.
         """
         pinned = starts if isinstance(starts, Pinned) else pin(starts)
         unread = self.manifest().join(pinned.frame, KEY).where("max_offset >= next_offset")
-        live = unread.select("file")
-        names = [row.file for row in live.limit(prune_files + 1).collect()]
-        if len(names) > prune_files:
-            return after_starts(self.rows(), pinned)
-        if not names:
-            return self.spark.createDataFrame([], ENVELOPE)
-        reader = self.spark.read.schema(DATA_FILES).option("basePath", self.data_path)
-        files = reader.parquet(*(f"{self.data_path}/{name}" for name in names))
-        return after_starts(to_envelope(files), pinned)
+        named = unread.select("file", (F.col("min_offset") < F.col("next_offset")).alias("cut")).toArrow()
+        cut = named.filter(named["cut"])
+        whole = self._records(named.filter(pc.invert(named["cut"])))
+        return whole.unionByName(after_starts(self._records(cut), pinned)) if cut.num_rows else whole
 
     def resume(
         self, topics: Sequence[str], starts: DataFrame, *, new_partitions: bool = False
