@@ -39,7 +39,9 @@ SMOOTHING = 0.5
 TELLING, LEAST_SEEN = 25.0, 5
 STEPS = 40
 #: Decimal places of a posterior.
-PLACES = 4
+PLACES = 3
+#: Steps after which the rates so far are written, so that a step folds a few others and not all before it.
+FOLD = 6
 #: Relative error of all domains, or a tenth of it as their change, at which the fit ends early.
 CLOSE = 1e-4
 #: Errors of domains with smaller targets count relative to this.
@@ -155,10 +157,10 @@ def memberships(docs: DataFrame, model: Membership) -> DataFrame:
     return means.select("doc_id", "source", "n_tokens", *[F.round(p, PLACES).alias(f"p_{name}") for name, p in zip(_NAMES, model.of("means"))])
 
 
-def _rate(steps: list[tuple[list[float], float]], part: str) -> Column:
-    """The rate (``r``) or its extrapolation (``y``) after the given steps, each a slope per domain and a momentum."""
+def _rates(steps: list[tuple[list[float], float]], start: Column) -> Column:
+    """The rate (``r``) and its extrapolation (``y``) after the given steps, each a slope per domain and a momentum."""
     if not steps:
-        return F.lit(1.0)
+        return start
     flat = _constant([x for slopes, momentum in steps for x in (*slopes, momentum)])
     width = len(_NAMES) + 1
 
@@ -167,8 +169,7 @@ def _rate(steps: list[tuple[list[float], float]], part: str) -> Column:
         new = F.greatest(F.lit(0.0), state["y"] - slope)
         return F.struct(new.alias("r"), (new + F.element_at(flat, at * width + width) * (new - state["r"])).alias("y"))
 
-    start = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y"))
-    return F.aggregate(F.sequence(F.lit(0), F.lit(len(steps) - 1)), start, move, lambda state: state[part])
+    return F.aggregate(F.sequence(F.lit(0), F.lit(len(steps) - 1)), start, move)
 
 
 def fit_rates(rows: DataFrame, targets: dict[str, float] | None = None) -> tuple[Column, dict[str, float]]:
@@ -178,7 +179,9 @@ def fit_rates(rows: DataFrame, targets: dict[str, float] | None = None) -> tuple
     inverse of the weighted Gram matrix' trace.
     """
     shares = targets or DOMAINS
-    rows = stored(rows.groupBy(*[f"p_{name}" for name in _NAMES]).agg(F.sum("n_tokens").alias("n_tokens")))
+    posteriors = [f"p_{name}" for name in _NAMES]
+    begin = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y"))
+    rows = stored(rows.groupBy(*posteriors).agg(F.sum("n_tokens").alias("n_tokens")).withColumn("at", begin))
     sums = [F.sum("n_tokens").alias("total")]
     sums += [F.sum(F.col("n_tokens") * F.col(f"p_{name}") ** 2).alias(name) for name in _NAMES]
     first = rows.agg(*sums).first()
@@ -189,10 +192,15 @@ def fit_rates(rows: DataFrame, targets: dict[str, float] | None = None) -> tuple
     weight = {name: 1 / max(goal[name], LEAST_SHARE) for name in _NAMES}
     rate_of_step = 1 / sum(weight[name] * first[name] / first.total for name in _NAMES)
     steps: list[tuple[list[float], float]] = []
+    fresh: list[tuple[list[float], float]] = []  # not yet in the written rates
     reached: dict[str, float] = {}
     before, t = {}, 1.0
     for _ in range(STEPS):
-        expected = rows.agg(*[F.sum(_rate(steps, "y") * F.col("n_tokens") * F.col(f"p_{name}")).alias(name) for name in _NAMES]).first()
+        moved = rows.select(*posteriors, "n_tokens", _rates(fresh, F.col("at")).alias("at"))
+        if len(fresh) == FOLD:
+            rows, fresh = stored(moved), []
+            moved = rows
+        expected = moved.agg(*[F.sum(F.col("at.y") * F.col("n_tokens") * F.col(f"p_{name}")).alias(name) for name in _NAMES]).first()
         # Rounded: sums of doubles differ in their last places between runs.
         reached = {name: round(expected[name] / first.total, 10) for name in _NAMES}
         error = max(abs(reached[name] - goal[name]) * weight[name] for name in _NAMES)
@@ -203,8 +211,9 @@ def fit_rates(rows: DataFrame, targets: dict[str, float] | None = None) -> tuple
         following = (1 + math.sqrt(1 + 4 * t * t)) / 2
         slopes = [rate_of_step * weight[name] * (reached[name] - goal[name]) for name in _NAMES]
         steps.append((slopes, (t - 1) / following))
+        fresh.append(steps[-1])
         t = following
-    return _rate(steps, "r"), {name: reached[name] * first.total for name in _NAMES}
+    return _rates(steps, begin)["r"], {name: reached[name] * first.total for name in _NAMES}
 
 
 def document_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
