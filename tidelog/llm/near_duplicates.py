@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import WordHashes, gram_hashes, raw_texts, signed, small_batches, stored
-from tidelog.llm.components import components
+from tidelog.llm.components import forest
 
 SHINGLE = 5
 THRESHOLD = 75
@@ -138,8 +138,8 @@ def _pairs(entries: DataFrame, left: str, right: str) -> DataFrame:
 
 
 def _labels(entries: DataFrame, links: DataFrame) -> DataFrame:
-    """Bucket entries with the component of their document."""
-    found = components(links).select(F.col("node").alias("doc"), "component")
+    """Bucket entries with the component of their document, from the links of a forest."""
+    found = links.select(F.col("a").alias("doc"), F.col("b").alias("component"))
     return entries.join(found, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
 
 
@@ -183,9 +183,9 @@ def _possible() -> Column:
 
 
 def links_between_classes(signed_docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links ``a, b`` (each the smallest doc_id of its class) of all classes of ``signed_docs``.
+    """Links ``a, b`` (each the smallest doc_id of its class) that connect what near-duplicate classes of ``signed_docs`` connect.
 
-    Complete up to pairs that links already found connect: these may be missing, as components do not need them.
+    Those of the star rounds lead to the smallest member of a component; the rest are pairs as they were compared.
     """
     spark = texts.sparkSession
     reps = stored(
@@ -225,7 +225,7 @@ def links_between_classes(signed_docs: DataFrame, texts: DataFrame) -> DataFrame
         pairs = _pairs(starred.select("doc", F.col("centre.doc").alias("centre")), "doc", "centre")
         pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"))
         tried = tried.union(pairs)
-        links = stored(links.union(verified(pairs)))
+        links = forest(links.union(verified(pairs)))
         labelled = _labels(weighed, links)
         largest = labelled.groupBy("key", "component").count().groupBy("key").agg(
             F.max_by("component", F.struct("count", -F.col("component"))).alias("most"), F.count("*").alias("parts")
@@ -256,7 +256,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # Documents in several classes (rows that share a doc_id) tie these together.
     repeated = classes.groupBy("doc_id").agg(F.count_distinct("set_id").alias("n")).where("n > 1").select("doc_id")
     ties = classes.join(repeated, "doc_id").join(least, "set_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    found = components(links.union(ties)).select(F.col("node").alias("rep"), "component")
+    found = forest(links.union(ties)).select(F.col("a").alias("rep"), F.col("b").alias("component"))
     named = least.join(found, "rep", "left").select("set_id", F.coalesce("component", "rep").alias("component"))
     out = signed_docs.select("doc_id", "n_shingles", "set_id").join(named, "set_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
