@@ -28,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import stored
+from tidelog.llm.common import smallest_hashes, stored
 
 #: Domain and its share of all tokens in the mix.
 DOMAINS = {"good": 0.90, "poor": 0.06, "toxic": 0.04}
@@ -122,7 +122,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Membership:
     """Fit on four fifths of a bounded sample of labelled documents; temper on the rest."""
     named = labels.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
     named = named.select("doc_id", _domain().alias("domain"), F.xxhash64("doc_id").alias("hash")).where("doc_id IS NOT NULL AND domain IS NOT NULL")
-    sample = stored(named.orderBy("hash", "doc_id").limit(FIT_ROWS))
+    sample = stored(smallest_hashes(named, "hash", FIT_ROWS))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # FIT_ROWS rows of two numbers: a size that is known.
     rows = stored(texts.join(F.broadcast(sample), "doc_id").select("domain", "hash", _buckets(F.coalesce("text", F.lit(""))).alias("buckets")))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import MEMO_WORDS, gram_hashes, small_batches, stored
+from tidelog.llm.common import MEMO_WORDS, gram_hashes, small_batches, smallest_hashes, stored
 
 BUCKETS, DIM, NONZERO, REACH = 8192, 32, 4, 2
 FIT_ROWS = 20_000
@@ -182,7 +182,7 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("bigint").alias("doc_id"))
     known = known.agg(F.max("quality").cast("int").alias("label")).where(fold != 0)
-    sample = stored(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS))
+    sample = stored(smallest_hashes(known.withColumn("hash", F.xxhash64("doc_id")), "hash", FIT_ROWS).drop("hash"))
     rows = pooled_docs.dropDuplicates(["doc_id"]).join(F.broadcast(sample), "doc_id").orderBy("doc_id").collect()
     x = np.array([np.frombuffer(r.x, np.float32) for r in rows], float).reshape(len(rows), 2 * DIM + 3)
     network = context.broadcast(Network(x, np.array([r.label for r in rows], float)))
