@@ -8,7 +8,7 @@ the estimate over all documents.
 
 Only DataFrame functions: the words of a text stay in its row, statistics are whole numbers (so that sums do not depend
 on the order of rows), each group's estimate is a row of combined sums, and the share nearest to a centre is found from
-counts per distance class. No step sorts or gathers a group, whatever its size.
+sums per distance class, in one pass a step. No step sorts, shuffles or gathers a group, whatever its size.
 
 Nulls and repeats: a null text is empty and fails the base rules; language and source may be null; each row gives one
 row. Ties share a distance and a verdict. Empty tables give empty results; other columns are not read.
@@ -39,6 +39,8 @@ SCALE = 1024
 #: Variance added to each diagonal element, in squared units of the statistics: constant columns stay invertible.
 RIDGE = (0.05, 0.02, 0.02, 0.02)
 DIMENSIONS = ("s_length", "s_symbols", "s_lines", "s_repeats")
+#: Pairs of dimensions of the covariance's lower triangle.
+PAIRS = [(i, j) for i in range(len(DIMENSIONS)) for j in range(i + 1)]
 #: Distance classes per factor of two, for the quantile of the distances.
 CLASSES = 32
 
@@ -132,16 +134,12 @@ def transformed(stats: DataFrame) -> DataFrame:
     )
 
 
-def _moments(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Centre and covariance of each group from exact sums."""
-    sums = [F.count("*").alias("n")]
-    pairs = [(i, j) for i in range(len(DIMENSIONS)) for j in range(i + 1)]
-    sums += [F.sum(F.col(d).cast("decimal(38,0)")).alias(f"t{i}") for i, d in enumerate(DIMENSIONS)]
-    sums += [F.sum((F.col(DIMENSIONS[i]) * F.col(DIMENSIONS[j])).cast("decimal(38,0)")).alias(f"t{i}{j}") for i, j in pairs]
-    total = rows.groupBy(*keys).agg(*sums)
+def _moments(sums: DataFrame, keys: list[str]) -> DataFrame:
+    """Centre and covariance of each group from the exact sums of its classes (see ``_class_sums``)."""
+    total = sums.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums.columns if c not in (*keys, "class")])
     mean = {i: F.col(f"t{i}").cast("double") / F.col("n") for i in range(len(DIMENSIONS))}
     out = [F.col(k) for k in keys] + [F.col("n")] + [mean[i].alias(f"m{i}") for i in mean]
-    for i, j in pairs:
+    for i, j in PAIRS:
         ridge = RIDGE[i] * SCALE * SCALE if i == j else 0.0
         out.append((F.col(f"t{i}{j}").cast("double") / F.col("n") - mean[i] * mean[j] + ridge).alias(f"c{i}{j}"))
     return total.select(*out)
@@ -170,13 +168,23 @@ def _distance() -> Column:
     return sum((v * v for v in solved[1:]), solved[0] * solved[0])
 
 
-def _nearest(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """For each group the distance class that holds the subset's last document."""
-    counts = rows.groupBy(*keys, "class").count()
+def _class_sums(placed: DataFrame, keys: list[str]) -> DataFrame:
+    """Count ``n`` and exact sums of the statistics and their products for each group and distance class."""
+    sums = [F.count("*").alias("n")]
+    sums += [F.sum(F.col(d).cast("decimal(38,0)")).alias(f"t{i}") for i, d in enumerate(DIMENSIONS)]
+    sums += [F.sum((F.col(DIMENSIONS[i]) * F.col(DIMENSIONS[j])).cast("decimal(38,0)")).alias(f"t{i}{j}") for i, j in PAIRS]
+    return placed.groupBy(*keys, "class").agg(*sums)
+
+
+def _nearest(sums: DataFrame, keys: list[str]) -> DataFrame:
+    """The classes of each group that hold its nearest share of documents, up to the class with the last of them.
+
+    A group has a bounded number of classes, whatever its size.
+    """
     within = Window.partitionBy(*keys)
     upto = within.orderBy("class").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    reached = counts.withColumn("upto", F.sum("count").over(upto)).withColumn("total", F.sum("count").over(within))
-    return reached.where(F.col("upto") >= SUBSET * F.col("total")).groupBy(*keys).agg(F.min("class").alias("last"))
+    reached = sums.withColumn("before", F.sum("n").over(upto) - F.col("n")).withColumn("total", F.sum("n").over(within))
+    return reached.where(F.col("before") < SUBSET * F.col("total")).drop("before", "total")
 
 
 def _distance_class(distance: Column) -> Column:
@@ -201,9 +209,7 @@ def estimates(rows: DataFrame, keys: list[str]) -> DataFrame:
     for _ in range(STEPS):
         placed = rows.join(estimate.drop("n"), keys)
         placed = placed.select(*keys, *DIMENSIONS, _distance_class(_distance()).alias("class"))
-        last = _nearest(placed, keys)
-        near = placed.join(last, keys)
-        estimate = stored(_factor(_moments(near.where(F.col("class") <= F.col("last")), keys)))
+        estimate = stored(_factor(_moments(_nearest(_class_sums(placed, keys), keys), keys)))
     return estimate
 
 
