@@ -34,6 +34,8 @@ LEAST_GROUP = 50
 #: distribution with four degrees of freedom (23.5): most clean texts have no symbols and no repeats at all, so the
 #: spread is close to its floor (``RIDGE``) there, and one repeated line in a short text already lies at about 200.
 CUTOFF = 280.0
+#: Estimates of up to so many groups (rows of about 150 bytes) are broadcast; more are joined by Spark's choice.
+BROADCAST_GROUPS = 50_000
 #: Fixed-point places of the transformed statistics.
 SCALE = 1024
 #: Variance added to each diagonal element, in squared units of the statistics: constant columns stay invertible.
@@ -191,6 +193,11 @@ def _distance_class(distance: Column) -> Column:
     return F.floor(CLASSES * F.log2(1e-6 + distance)).cast("bigint")
 
 
+def _sent(estimate: DataFrame) -> DataFrame:
+    """A written table of estimates, marked for broadcast if it has few groups: rows are then not dealt by group."""
+    return F.broadcast(estimate) if estimate.count() <= BROADCAST_GROUPS else estimate
+
+
 def estimates(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The MCD estimate of each group of ``rows``: its size ``n`` (of the subset), centre and factor in one row.
 
@@ -207,7 +214,7 @@ def estimates(rows: DataFrame, keys: list[str]) -> DataFrame:
         columns += [(spread * spread + RIDGE[i] * SCALE * SCALE if i == j else F.lit(0.0)).alias(f"c{i}{j}") for j in range(i + 1)]
     estimate = stored(_factor(first.select(*columns)))
     for _ in range(STEPS):
-        placed = rows.join(estimate.drop("n"), keys)
+        placed = rows.join(_sent(estimate.drop("n")), keys)
         placed = placed.select(*keys, *DIMENSIONS, _distance_class(_distance()).alias("class"))
         estimate = stored(_factor(_moments(_nearest(_class_sums(placed, keys), keys), keys)))
     return estimate
@@ -227,7 +234,7 @@ def judged(docs: DataFrame) -> DataFrame:
     # One row, so a broadcast of fixed size; without usable documents it is empty and nothing is judged by it.
     common = F.broadcast(estimate.where("name = '{}'").select(F.lit("all").alias("everything"), *[F.col(c).alias(f"o_{c}") for c in fitted]))
     named = rows.withColumn("name", F.when(F.col("lang").isNotNull() & F.col("source").isNotNull(), F.to_json(own))).withColumn("everything", F.lit("all"))
-    judged_rows = named.join(groups_own, "name", "left").join(common, "everything", "left")
+    judged_rows = named.join(_sent(groups_own), "name", "left").join(common, "everything", "left")
     judged_rows = judged_rows.select(*rows.columns, *[F.coalesce(c, f"o_{c}").alias(c) for c in fitted])
     out = judged_rows.withColumn("distance", _distance())
     return out.select(
