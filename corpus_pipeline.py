@@ -12,8 +12,8 @@ from tidelog.llm import decontaminate, mixing, near_duplicates, pii, quality_rul
 from tidelog.llm.common import stored, table
 
 
-#: Token shares of the mix. The rules have taken most poor documents by then, and toxic ones are to weigh half as much.
-TARGETS = {"good": 0.87, "poor": 0.005, "toxic": 0.125}
+#: The domain that the mix thins out; its targets follow from what the earlier stages leave of each domain.
+THINNED = "toxic"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +37,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the rates that bring the domains to their target weights."""
-    return mixing.mix(docs, table(spark, sf_dir, "labels"), TARGETS)
+    """The documents of a mix without the toxic ones, each with its rate and its number of copies."""
+    return mixing.mix(docs, table(spark, sf_dir, "labels"), thinned=THINNED)
 
 
 STAGES = [

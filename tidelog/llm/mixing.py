@@ -11,7 +11,11 @@ the driver sees. A document's rate is folded from the steps' numbers when it is
 
 Starting from rates of 1, documents of a domain that is short are repeated and those of one in excess thinned; only
 documents that lie in an excess domain almost for sure can fall to 0. ``copies`` rounds a rate up or down by a hash of
-the id, so that expected tokens are kept.
+the id, so that expected tokens are kept. ``mix`` applies it: documents with no copy leave the table, the others stay
+as one row each, with ``copies`` to say how often the document is to be read.
+
+Targets are given, or follow from the table (``thinned_targets``): the mix in which a document counts the less, the
+likelier it is in a domain that is to go. They lie where rates can meet them, however much of that domain there is.
 
 Fitting takes at most ``FIT_ROWS`` labelled documents, those with the smallest hashes (a documented bound); token
 counts, posteriors and the fit of the rates take all documents. Only DataFrame functions are used.
@@ -47,6 +51,8 @@ CLOSE = 1e-4
 #: Errors of domains with smaller targets count relative to this.
 LEAST_SHARE = 0.02
 TEMPERATURES = [2.0**k for k in range(-6, 3)]
+#: Posterior of a thinned domain from which a document is to go whole.
+GONE = 0.5
 
 _NAMES = list(DOMAINS)
 
@@ -216,20 +222,40 @@ def fit_rates(rows: DataFrame, targets: dict[str, float] | None = None) -> tuple
     return _rates(steps, begin)["r"], {name: reached[name] * first.total for name in _NAMES}
 
 
-def document_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
-    """``doc_id, source, n_tokens, p_<domain>, rate, copies`` of every row of ``docs``."""
+def thinned_targets(rows: DataFrame, domain: str) -> dict[str, float] | None:
+    """Target shares that thin out one domain of ``rows`` (n_tokens, p_<domain>), from their own expected tokens.
+
+    A document's rate falls in proportion to its posterior of ``domain``, from 1 to 0 at ``GONE``; the other domains
+    together keep the tokens they have. ``None`` if no row has tokens.
+    """
+    n, gone = F.col("n_tokens"), F.col(f"p_{domain}")
+    rate = F.greatest(F.lit(0.0), 1 - gone / GONE)
+    sums = [F.sum(n).alias("total"), F.sum(n * (1 - gone)).alias("others"), F.sum(n * (1 - gone) * rate).alias("left")]
+    sums += [F.sum(n * F.col(f"p_{name}") * rate).alias(name) for name in _NAMES]
+    found = rows.agg(*sums).first()
+    if not found.total:
+        return None
+    grown = found.others / found.left if found.left else 1.0
+    return {name: round(grown * found[name] / found.total, 10) for name in _NAMES}
+
+
+def document_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, thinned: str | None = None) -> DataFrame:
+    """``doc_id, source, n_tokens, p_<domain>, rate, copies`` of every row of ``docs``.
+
+    ``thinned`` names a domain to thin out, in place of given targets.
+    """
     rows = stored(memberships(docs, learn(docs, labels)))
-    rate, _ = fit_rates(rows, targets)
+    rate, _ = fit_rates(rows, thinned_targets(rows, thinned) if thinned else targets)
     rated = rows.withColumn("rate", F.round(rate, 6))
     place = F.pmod(F.xxhash64("doc_id", F.lit("copies")), F.lit(1 << 20)) / F.lit(float(1 << 20))
     return rated.withColumn("copies", (F.floor("rate") + (place < F.col("rate") - F.floor("rate")).cast("int")).cast("bigint"))
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
-    """The rows of ``docs`` whose rate is over 0, with ``rate`` and ``copies``; of a repeated doc_id the largest rate
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, thinned: str | None = None) -> DataFrame:
+    """The rows of ``docs`` with at least one copy, with ``rate`` and ``copies``; of a repeated doc_id the largest rate
     counts, and rows without doc_id have the rate 1."""
-    found = document_rates(docs, labels, targets).where("doc_id IS NOT NULL")
+    found = document_rates(docs, labels, targets, thinned).where("doc_id IS NOT NULL")
     found = found.groupBy(F.col("doc_id").alias("_id")).agg(F.max("rate").alias("rate"), F.max("copies").alias("copies"))
     clear = docs.drop("rate", "copies")
     joined = clear.join(found, clear.doc_id.cast("bigint") == F.col("_id"), "left").drop("_id")
-    return joined.fillna({"rate": 1.0, "copies": 1}).where("rate > 0")
+    return joined.fillna({"rate": 1.0, "copies": 1}).where("copies > 0")
