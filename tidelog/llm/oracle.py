@@ -59,4 +59,106 @@ SELECT doc.doc_id, coalesce(class.n, 0) AS n_shingles, coalesce(component, class
 FROM doc LEFT JOIN class USING (doc_id) LEFT JOIN component ON node = class.rep
 """
 
-ORACLE = {"op6_decontamination": OP6, "op10_near_duplicates": OP10}
+
+def _encoded(column: str) -> str:
+    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || {column}, '-')"
+
+
+#: CRC-32 of the decimal doc_id, one bit of the reflected polynomial at a time.
+_CRC = """xor(4294967295::UBIGINT, list_reduce(
+  list_prepend(4294967295::UBIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda s: CAST(ord(s) AS UBIGINT))),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]),
+    lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::UBIGINT) ELSE x // 2 END)))"""
+_LEAF = " || ".join(_encoded(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))
+_TAMPERED = _LEAF.replace(_encoded("text"), _encoded("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"))
+
+
+def _levels(name: str, deep: int) -> list[str]:
+    """Nodes ``name0`` to ``name{deep}`` and, of all but the last, what stands before and after each in its run."""
+    parts = []
+    for k in range(deep):
+        whole = f"CASE WHEN n <= {8**k} THEN any_value(d) ELSE sha256(string_agg(d, '' ORDER BY i)) END"
+        index = f"CASE WHEN n <= {8**k} THEN 0 ELSE i // 8 END"
+        side = "coalesce(string_agg(d, '') OVER (PARTITION BY tree, i // 8 ORDER BY i ROWS BETWEEN {}), '')"
+        parts += [
+            f"{name}{k + 1} AS MATERIALIZED (SELECT tree, {index} AS i, n, {whole} AS d FROM {name}{k} GROUP BY tree, {index}, n)",
+            f"{name}p{k} AS MATERIALIZED (SELECT tree, i, {side.format('UNBOUNDED PRECEDING AND 1 PRECEDING')} AS before, "
+            f"{side.format('1 FOLLOWING AND UNBOUNDED FOLLOWING')} AS after FROM {name}{k} WHERE n > {8**k})",
+        ]
+    return parts
+
+
+def _folds(name: str, source: str, tree: str, index: str, size: str, walk: int, deep: int) -> list[str]:
+    """Paths ``walk{k}``: one level of tree ``name`` each, from ``walk`` on."""
+    parts = []
+    for k in range(deep):
+        node = f"CASE WHEN p.before IS NULL THEN f ELSE sha256(p.before || f || p.after) END"
+        parts.append(
+            f"walk{walk + k + 1} AS MATERIALIZED (SELECT w.* REPLACE ({node} AS f, proof || coalesce(p.before || p.after, '') AS proof) "
+            f"FROM walk{walk + k} AS w LEFT JOIN {name}p{k} AS p ON p.tree = w.{tree} AND p.i = w.{index} // {8**k} AND w.{size} > {8**k})"
+        )
+    return parts
+
+
+_DEEP, _TOP = 8, 3
+OP11 = (
+    "WITH "
+    + ",\n".join(
+        [
+            f"""doc AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('=' || lang, '') AS tree, sha256({_LEAF}) AS d,
+    CASE WHEN {_CRC} % 3 = 0 THEN sha256({_TAMPERED}) END AS altered
+  FROM documents)""",
+            """l0 AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, d) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n FROM doc)""",
+            *_levels("l", _DEEP),
+            f"""t0 AS MATERIALIZED (
+  SELECT '' AS tree, tree AS lang, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n, d FROM l{_DEEP})""",
+            *_levels("t", _TOP),
+            """walk0 AS MATERIALIZED (
+  SELECT l0.doc_id, l0.d AS leaf, l0.tree AS tree, l0.i AS i, l0.n AS n, t0.tree AS top, t0.i AS ti, t0.n AS tn, t0.d AS subroot,
+    coalesce(altered, l0.d) AS f, '' AS proof
+  FROM l0 JOIN t0 ON t0.lang = l0.tree)""",
+            *_folds("l", "l0", "tree", "i", "n", 0, _DEEP),
+            *_folds("t", "t0", "top", "ti", "tn", _DEEP, _TOP),
+        ]
+    )
+    + f"""
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, f AS folded_root, f = root AS verified
+FROM walk{_DEEP + _TOP}, (SELECT d AS root FROM t{_TOP})
+"""
+)
+
+
+def _round(k: int) -> str:
+    """Nearest centroids ``a{k}`` from ``c{k}``, and ``c{k + 1}``."""
+    square = "list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    return f"""a{k} AS MATERIALIZED (
+  SELECT r, vec_id, x, k, CAST(d AS BIGINT) AS d FROM (
+    SELECT *, row_number() OVER (PARTITION BY r ORDER BY d, k) AS nearest FROM (SELECT v.r, v.vec_id, v.x, c.k, {square} AS d FROM v, c{k} AS c))
+  WHERE nearest = 1
+), c{k + 1} AS MATERIALIZED (
+  SELECT c.k, coalesce(m.x, c.x) AS x FROM c{k} AS c LEFT JOIN (
+    SELECT k, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS x
+    FROM (SELECT k, j, sum(x[j]) AS s, count(*) AS n FROM a{k}, unnest(range(1, 65)) AS u(j) GROUP BY k, j) GROUP BY k) AS m ON m.k = c.k
+)"""
+
+
+OP12 = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: CAST(floor(1024 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS k, x FROM v ORDER BY sha256('3:' || vec_id) LIMIT 8
+), {", ".join(_round(k) for k in range(11))}
+SELECT vec_id, CAST(a.k AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a10 AS a JOIN c10 AS c ON c.k = a.k
+"""
+
+ORACLE = {
+    "op6_decontamination": OP6,
+    "op10_near_duplicates": OP10,
+    "op11_merkle_manifest": OP11,
+    "op12_centroid_clusters": OP12,
+}

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import (
+    centroid_clusters,
     decontaminate,
+    merkle_manifest,
     mixing,
     near_duplicates,
     pii,
@@ -69,6 +71,14 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.manifest(table(spark, sf_dir, "documents"))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters.clusters(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -82,5 +92,7 @@ QUERIES = {
         op8_substring_dedup,
         op9_secret_scan,
         op10_near_duplicates,
+        op11_merkle_manifest,
+        op12_centroid_clusters,
     )
 }
