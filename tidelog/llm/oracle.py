@@ -156,9 +156,20 @@ SELECT vec_id, CAST(a.k AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER
 FROM a10 AS a JOIN c10 AS c ON c.k = a.k
 """
 
+
+def _size_class(shingles: int, percent: int, source: str) -> str:
+    return source.replace("w[k:k + 4]", f"w[k:k + {shingles - 1}]").replace("len(w) - 4, 1", f"len(w) - {shingles - 1}, 1").replace(">= 75 *", f">= {percent} *")
+
+
+OP13 = _size_class(4, 85, OP10[: OP10.rindex("SELECT doc.doc_id")]) + """
+SELECT doc.doc_id, coalesce(class.n, 0) AS n_shingles, coalesce(component, class.rep, doc.doc_id) AS component_id
+FROM doc LEFT JOIN class USING (doc_id) LEFT JOIN component ON node = class.rep
+"""
+
 ORACLE = {
     "op6_decontamination": OP6,
     "op10_near_duplicates": OP10,
     "op11_merkle_manifest": OP11,
     "op12_centroid_clusters": OP12,
+    "op13_ngram_join": OP13,
 }

@@ -11,6 +11,7 @@ from tidelog.llm import (
     merkle_manifest,
     mixing,
     near_duplicates,
+    ngram_join,
     pii,
     quality_model,
     quality_rules,
@@ -79,6 +80,10 @@ def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_clusters.clusters(table(spark, sf_dir, "embeddings"))
 
 
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -94,5 +99,6 @@ QUERIES = {
         op10_near_duplicates,
         op11_merkle_manifest,
         op12_centroid_clusters,
+        op13_ngram_join,
     )
 }
