@@ -11,8 +11,8 @@ least ``least(n) = ceil(0.85 n)`` n-grams in common with any partner, and lacks
    ``n - least(n) + 1`` columns of this order, so the product needs only these; columns of one row drop out.
 3. The product runs against centres first: in each column every row meets the row that shares most columns with others.
    Rows that are then in one component need not meet again, which keeps a group of thousands of near copies linear. What is
-   left open meets all rows of other components in its columns, overlap counts are accumulated column by column, and pairs
-   whose count cannot reach the bound of their sizes are discarded.
+   left open meets rows of other components, but only in columns that come early enough in both rows for the bound of
+   these two sizes. Pairs whose overlap in the first columns, added to all columns past them, is below that bound are discarded.
 4. The overlap of the pairs that remain is accumulated over blocks of columns of the full sets, and a pair is discarded at the
    first block after which even all remaining columns cannot lift it to the bound. No pair above the threshold is lost, so
    components are exact (up to 64-bit hashes of n-grams).
@@ -40,7 +40,7 @@ THRESHOLD = 85
 #: Further part of a set, in per cent, that the first block of columns holds; more tells rows apart better and costs shuffle.
 WIDER = 5
 #: Rounds against centres before open rows meet all others.
-ROUNDS = 3
+ROUNDS = 2
 #: Blocks of columns in which full overlaps are accumulated.
 BLOCKS = 8
 #: Node tables of up to this many rows (of 16 bytes) are broadcast to the texts; larger ones are joined by shuffle.
@@ -153,7 +153,10 @@ def _only(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
 
 
 def _index(sets: DataFrame) -> DataFrame:
-    """``node, n, column`` of the columns, rare ones first, in which linked rows (node, n, grams) must meet."""
+    """``node, n, place, column`` of the columns, rare ones first, in which linked rows (node, n, grams) must meet.
+
+    ``place`` counts a row's columns from 1 in that order.
+    """
     entries = sets.select("node", "n", F.explode("grams").alias("column"))
     counts = entries.groupBy("column").agg(F.count("*").alias("rows")).where("rows > 1")
     common = (
@@ -164,8 +167,9 @@ def _index(sets: DataFrame) -> DataFrame:
     # Columns that no other row has come first in the order; they are part of the prefix, but nothing meets there.
     alone = F.col("n") - F.size("common")
     take = (F.col("n") - _ceil("n") + 1 - alone).cast("int")
-    first = common.withColumn("take", take).where("take > 0")
-    return first.select("node", "n", F.explode(F.slice("common", 1, F.col("take"))).alias("c")).select("node", "n", F.col("c.column").alias("column"))
+    first = common.withColumns({"take": take, "alone": alone}).where("take > 0")
+    placed = first.select("node", "n", "alone", F.posexplode(F.slice("common", 1, F.col("take"))).alias("at", "c"))
+    return placed.select("node", "n", (F.col("alone") + F.col("at") + 1).alias("place"), F.col("c.column").alias("column"))
 
 
 def _sizes_allow(one: str, two: str) -> Column:
@@ -193,21 +197,27 @@ def _against_centres(held: DataFrame) -> DataFrame:
     return met.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
 
 
-def _rest(held: DataFrame) -> DataFrame:
-    """Pairs of open rows and rows of other components whose accumulated overlap may still reach the bound of their sizes."""
-    carried = ["node", "n", "component", "open"]
+def _rest(held: DataFrame, index: DataFrame) -> DataFrame:
+    """Pairs of open rows and rows of other components that may still reach the bound of their sizes.
+
+    Linked rows with the bound ``o`` share a column at most ``n - o + 1`` places into either.
+    """
+    carried = ["node", "n", "place", "component", "open"]
     one = held.where("open").select("column", *(F.col(c).alias(f"{c}_x") for c in carried))
     two = held.select("column", *(F.col(c).alias(f"{c}_y") for c in carried))
     once = ~F.col("open_y") | (F.col("node_x") < F.col("node_y"))
     apart = F.col("component_x") != F.col("component_y")
-    met = one.join(two, (one["column"] == two["column"]) & apart & once & _sizes_allow("n_x", "n_y"))
-    counts = met.groupBy(
-        F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"), (F.col("n_x") + F.col("n_y")).alias("both"),
-        F.greatest("n_x", "n_y").alias("larger"),
-    ).agg(F.count("*").alias("overlap"))
-    # Past its prefix a row has least(n) - 1 columns.
-    reach = F.col("overlap") + _ceil("larger") - 1
-    return counts.where((100 + THRESHOLD) * reach >= THRESHOLD * F.col("both")).select("a", "b")
+    bound = F.expr(f"({THRESHOLD} * (n_x + n_y) + {99 + THRESHOLD}) div {100 + THRESHOLD}")
+    early = (F.col("place_x") + bound <= F.col("n_x") + 1) & (F.col("place_y") + bound <= F.col("n_y") + 1)
+    met = one.join(two, (one["column"] == two["column"]) & early & apart & once)
+    pairs = met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
+    first = index.groupBy("node", "n").agg(F.collect_list("column").alias("columns"))
+    sides = [first.select(*(F.col(c).alias(f"{c}_{side}") for c in first.columns)).withColumnRenamed(f"node_{side}", side) for side in "ab"]
+    overlap = F.size(F.array_intersect("columns_a", "columns_b"))
+    # Past its first columns a row has least(n) - 1 others.
+    reach = overlap + _ceil("greatest(n_a, n_b)") - 1
+    enough_left = (100 + THRESHOLD) * reach >= THRESHOLD * (F.col("n_a") + F.col("n_b"))
+    return pairs.join(sides[0], "a").join(sides[1], "b").where(enough_left).select("a", "b")
 
 
 def links_between(sets: DataFrame) -> DataFrame:
@@ -227,7 +237,7 @@ def links_between(sets: DataFrame) -> DataFrame:
         tried = tried.union(pairs)
         links = forest(links.union(verified(pairs)))
         held = _labelled(index, links)
-    rest = stored(_rest(held).join(tried, ["a", "b"], "left_anti"))
+    rest = stored(_rest(held, index).join(tried, ["a", "b"], "left_anti"))
     return links.union(verified(rest))
 
 
