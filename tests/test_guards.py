@@ -7,7 +7,7 @@ from tidelog.functions.payload import json_field
 from tidelog.operators.starts import offset_gaps, require_no_gaps
 from tidelog.options import ReadOptions
 from tidelog.sources import TopicLog
-from tidelog.streaming.native import read_stream
+from tidelog.streaming import start_committing
 
 STARTS = "_topic string, _partition int, next_offset bigint"
 OPTIONS = {"path": "/log", "topics": "a", "group.id": "g"}
@@ -40,12 +40,9 @@ def test_gaps_are_found(spark):
 def test_stream_fails_on_a_partition_without_start(spark, root, tmp_path):
     log = write_log(spark, root, [(1, "a", 0), (2, "a", 1)])
     starts = spark.createDataFrame([("a", 0, 0)], STARTS)
-    stream = read_stream(log, ["a"], starts)
-    query = (
-        stream.writeStream.format("parquet")
-        .option("checkpointLocation", str(tmp_path / "cp"))
-        .trigger(availableNow=True)
-        .start(str(tmp_path / "out"))
+    query = start_committing(
+        log, ["a"], starts, lambda batch, batch_id: batch.collect(),
+        group_id="g", checkpoint=str(tmp_path / "cp"), trigger={"availableNow": True},
     )
     with pytest.raises(Exception, match="partition has no start offset: a/1"):
         query.awaitTermination()

@@ -4,7 +4,7 @@ import pytest
 
 from tests.conftest import as_dict, offsets_of, records, write_log
 from tidelog.operators import resolve_starts
-from tidelog.schema import PENDING, STARTS
+from tidelog.schema import KEY, STARTS
 from tidelog.sources import GroupTable, TopicLog
 from tidelog.streaming import BatchState, contiguous_offsets, freeze_starts, start_committing
 
@@ -27,10 +27,6 @@ def run(log, begin, out, sink=None, **options):
     query.awaitTermination()
 
 
-def name(file):
-    return file.file.rpartition("/")[2]
-
-
 def position(log):
     return as_dict(GroupTable(log.spark, log.groups_path).latest("g"), "last_offset")
 
@@ -52,49 +48,83 @@ def test_many_batches_and_restart(spark, root, tmp_path):
     assert position(log)["hot", 0] == 205
 
 
-def test_position_stops_before_an_unseen_file(spark, root):
-    log = write_log(spark, root, [(i, "hot", 0) for i in range(200)], rows_per_file=40)
-    files = sorted(log.manifest().collect(), key=lambda row: row.min_offset)
-    assert len(files) >= 4
+def grown(spark, root, appends=3):
+    log = TopicLog(spark, root)
+    for no in range(appends):
+        log.append(records(spark, [(100 * no + i, "hot", 0) for i in range(10)] + [(100 * no + 50, "cold", no % 2)]), "id", chunk_bits=2)
+    return log
+
+
+def test_position_comes_from_the_manifest(spark, root):
+    log = grown(spark, root)
+    begin = starts(spark, ("hot", 0, 4), ("cold", 0, 0), ("cold", 1, 0))
+    reached = as_dict(contiguous_offsets(begin, log.manifest()), "last_offset")
+    assert reached == {("hot", 0): 29, ("cold", 0): 1, ("cold", 1): 0}
+    assert as_dict(contiguous_offsets(begin, log.manifest(after=2)), "last_offset") == {("hot", 0): 3, ("cold", 0): -1, ("cold", 1): -1}
+
+
+def test_a_missing_range_is_named(spark, root):
+    log = grown(spark, root)
+    begin = starts(spark, ("hot", 0, 4), ("cold", 0, 0), ("cold", 1, 0))
+    with pytest.raises(ValueError, match="hot/0: offsets 10 to 19 are missing"):
+        contiguous_offsets(begin, log.manifest().where("_append <> 1"))
+
+
+def test_stream_fails_on_a_missing_range(spark, root, tmp_path):
+    log = grown(spark, root)
+    manifest = tmp_path / "log" / "manifest" / "_append=1"
+    held = manifest.rename(tmp_path / "held")
+    begin = starts(spark, *ALL)
+    with pytest.raises(Exception, match="hot/0: offsets 10 to 19 are missing"):
+        run(log, begin, tmp_path)
+    assert position(log) == {}
+    held.rename(manifest)
+    run(log, begin, tmp_path)
+    assert position(log) == {("hot", 0): 29, ("cold", 0): 1, ("cold", 1): 0}
+
 
-    def reached(seen, begin=0):
-        rows = [("hot", 0, name(files[i]), files[i].max_offset) for i in seen]
-        frame = spark.createDataFrame(rows, PENDING)
-        return as_dict(contiguous_offsets(log, ["hot"], starts(spark, ("hot", 0, begin)), frame), "last_offset")
+def test_appends_one_by_one_in_order(spark, root, tmp_path):
+    log, begin, seen = grown(spark, root), starts(spark, *ALL), []
 
-    assert reached([]) == {("hot", 0): -1}
-    assert reached([0, 1]) == {("hot", 0): files[1].max_offset}
-    assert reached([0, 2, 3]) == {("hot", 0): files[0].max_offset}
-    assert reached([1, 2, 3]) == {("hot", 0): -1}
-    assert reached(range(len(files))) == {("hot", 0): 199}
-    # Files that end before the start need not be seen; a half-read one does.
-    assert reached([2], begin=files[2].min_offset + 1) == {("hot", 0): files[2].max_offset}
-    assert reached([3], begin=files[2].min_offset + 1) == {("hot", 0): files[2].min_offset}
+    def sink(batch, batch_id):
+        seen.append(sorted(r._offset for r in batch.where("_topic = 'hot'").collect()))
 
+    run(log, begin, tmp_path, sink, max_files_per_trigger=1)
+    assert seen == [list(range(10)), list(range(10, 20)), list(range(20, 30))]
 
-def test_out_of_order_batches_need_only_the_state_before(spark, root):
-    log = write_log(spark, root, [(i, "hot", 0) for i in range(200)], rows_per_file=40)
-    files = sorted(log.manifest().collect(), key=lambda row: row.min_offset)
+
+def test_half_written_append_and_its_retry(spark, root, tmp_path):
+    log = grown(spark, root, 1)
+    begin = starts(spark, *ALL)
+    run(log, begin, tmp_path, new_partitions=True)
+    # Data and heads of an append that failed before its manifest.
+    log.rows().write.partitionBy(*KEY).parquet(f"{log.data_path}/_append=1")
+    log.heads().write.parquet(f"{root}/heads/_append=1")
+    run(log, begin, tmp_path)
+    log.append(records(spark, [(1000 + i, "hot", 0) for i in range(5)]), "id", chunk_bits=2)
+    run(log, begin, tmp_path)
+    assert offsets_of(spark.read.parquet(f"{tmp_path}/rows"))["hot", 0] == list(range(15))
+
+
+def test_state_of_a_replayed_batch_is_its_own(spark, root):
+    log = grown(spark, root)
     state = BatchState(spark, log, "query")
     first = starts(spark, ("hot", 0, 0))
-    batches = [[2], [3, 0], [1], range(4, len(files))]
-    expected = [-1, files[0].max_offset, files[3].max_offset, 199]
-    for batch_id, (batch, last) in enumerate(zip(batches, expected)):
-        before, pending = state.load(batch_id, first)
-        rows = [("hot", 0, name(files[i]), files[i].max_offset) for i in batch]
-        seen = pending.unionByName(spark.createDataFrame(rows, PENDING))
-        offsets = contiguous_offsets(log, ["hot"], before, seen)
-        assert as_dict(offsets, "last_offset") == {("hot", 0): last}
-        state.save(batch_id, offsets, seen)
-    assert state.load(len(batches), first)[1].isEmpty()
-
-
-def test_commits_cannot_be_switched_on_later(spark, root, tmp_path):
+    for _ in range(2):
+        state.save(0, contiguous_offsets(first, log.manifest(upto=0).where("_topic = 'hot'")), 0)
+    before, done = state.load(1, first)
+    assert as_dict(before, "next_offset") == {("hot", 0): 10} and done == 0
+    with pytest.raises(ValueError, match="no position after batch 4"):
+        state.load(5, first)
+
+
+def test_commits_can_be_switched_on_later(spark, root, tmp_path):
     log = write_log(spark, root, ROWS)
     run(log, starts(spark, *ALL), tmp_path, commit=False)
+    assert position(log) == {}
     log.append(records(spark, [(1000, "hot", 0)]), "id")
-    with pytest.raises(Exception, match="from the start"):
-        run(log, starts(spark, *ALL), tmp_path)
+    run(log, starts(spark, *ALL), tmp_path)
+    assert position(log) == {("hot", 0): 200, ("cold", 0): 49, ("cold", 1): 49}
 
 
 def test_starts_are_resolved_once(spark, root, tmp_path):

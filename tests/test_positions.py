@@ -14,7 +14,6 @@ from tidelog.operators import (
     offsets_equal,
     require_starts,
     resolve_starts,
-    scan_tasks,
     start_problems,
     starts_after,
 )
@@ -85,14 +84,6 @@ def test_merge_keeps_idle_partitions(spark):
     assert as_dict(merged, "last_offset") == {("a", 0): 7, ("a", 1): 9, ("a", 2): -1}
 
 
-@pytest.mark.parametrize("block_tasks", [1, 2, 10_000])
-def test_tasks_cover_unread_offsets(spark, parts, block_tasks):
-    found = scan_tasks(parts, starts(spark, ("a", 0, 5), ("a", 1, 4)), 2, block_tasks).collect()
-    assert sorted((r._partition, r.start_offset, r.end_offset) for r in found) == [
-        (0, 5, 7), (0, 7, 9), (0, 9, 10),
-    ]  # a/1 has nothing unread
-
-
 def test_discover(spark):
     rows = spark.createDataFrame([("a", 0, 3), ("a", 0, 5), ("b", 1, 0)], "_topic string, _partition int, _offset bigint")
     found = {(r._topic, r._partition): (r.earliest, r.latest) for r in discover(rows).collect()}

@@ -66,8 +66,8 @@ def test_unknown_topic(log):
 
 def test_tasks_split_a_hot_partition(log):
     tasks = reader(log, rowsPerTask="16").partitions({**ZERO, "hot": {"0": 5}}, ENDS)
-    assert all(task.end - task.start <= 16 for task in tasks)
-    hot = sorted((task.start, task.end) for task in tasks if task.topic == "hot")
+    assert all(sum(part.end - part.start for part in task.ranges) <= 16 for task in tasks)
+    hot = sorted((part.start, part.end) for task in tasks for part in task.ranges if part.topic == "hot")
     assert hot[0][0] == 5 and hot[-1][1] == 200 and len(hot) > 10
     assert all(left[1] == right[0] for left, right in zip(hot, hot[1:]))
 

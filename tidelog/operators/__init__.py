@@ -3,6 +3,7 @@ from tidelog.operators.envelope import offset_range, subscribe, to_envelope
 from tidelog.operators.numbering import number_offsets
 from tidelog.operators.pin import Pinned, pin
 from tidelog.operators.progress import compare_offsets, merge_offsets, offsets_equal, progress
+from tidelog.operators.runs import holes, merge_runs, offset_runs
 from tidelog.operators.scan import after_starts
 from tidelog.operators.starts import (
     add_new_partitions,
@@ -11,7 +12,6 @@ from tidelog.operators.starts import (
     start_problems,
     starts_after,
 )
-from tidelog.operators.tasks import scan_tasks
 
 __all__ = [
     "Pinned",
@@ -21,15 +21,17 @@ __all__ = [
     "discover",
     "discover_from_manifest",
     "discover_topics",
+    "holes",
     "merge_offsets",
+    "merge_runs",
     "number_offsets",
     "offset_range",
+    "offset_runs",
     "offsets_equal",
     "pin",
     "progress",
     "require_starts",
     "resolve_starts",
-    "scan_tasks",
     "start_problems",
     "starts_after",
     "subscribe",

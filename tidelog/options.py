@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass
 from urllib.parse import urlsplit
@@ -50,6 +51,21 @@ def commit_option(options: Mapping[str, str]) -> bool:
     return named[0] if named else True
 
 
+def offsets_option(options: Mapping[str, str], key: str) -> str | None:
+    """JSON ``{"topic": {"partition": next_offset}}``, as a checkpoint holds it."""
+    value = lowered(options).get(key.lower())
+    if value is None:
+        return None
+    try:
+        parsed = json.loads(value)
+        good = all(isinstance(o, int) and int(p) >= 0 for parts in parsed.values() for p, o in parts.items())
+    except (ValueError, AttributeError):
+        good = False
+    if not good:
+        raise ValueError(f"option '{key}' must be JSON of next offsets by topic and partition")
+    return value
+
+
 def choice(options: Mapping[str, str], key: str, allowed: tuple[str, ...], default: str) -> str:
     value = lowered(options).get(key.lower(), default).strip().lower()
     if value not in allowed:
@@ -97,12 +113,17 @@ class ReadOptions:
     on_new_partition: str = "fail"
     commit: bool = True
     rows_per_task: int = 1_000_000
+    bytes_per_task: int = 128 << 20
+    starting_offsets: str | None = None
 
     @classmethod
     def parse(cls, options: Mapping[str, str]) -> ReadOptions:
         rows_per_task = int_option(options, "rowsPerTask", cls.rows_per_task)
         if rows_per_task < 1:
             raise ValueError("option 'rowsPerTask' must be positive")
+        bytes_per_task = int_option(options, "bytesPerTask", cls.bytes_per_task)
+        if bytes_per_task < 1:
+            raise ValueError("option 'bytesPerTask' must be positive")
         # Accepted so that existing option sets load; `commit` is what decides.
         int_option(options, "auto.commit.interval.ms", 90_000)
         return cls(
@@ -113,4 +134,6 @@ class ReadOptions:
             on_new_partition=choice(options, "onNewPartition", ("fail", "earliest"), "fail"),
             commit=commit_option(options),
             rows_per_task=rows_per_task,
+            bytes_per_task=bytes_per_task,
+            starting_offsets=offsets_option(options, "startingOffsets"),
         )

@@ -7,6 +7,7 @@ It is written once per session and input directory, below the shared folder that
 from __future__ import annotations
 
 import threading
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,16 +54,43 @@ def _is(partition: tuple[str, int]):
     return (F.col("_topic") == partition[0]) & (F.col("_partition") == partition[1])
 
 
+def event_cuts(records: DataFrame, parts: int = 3) -> list[tuple[int, int]]:
+    """Ranges ``[low, high)`` of ``event_id`` of equal width."""
+    span = records.agg(F.min("event_id").alias("low"), F.max("event_id").alias("high")).first()
+    cuts = [span.low + (span.high + 1 - span.low) * i // parts for i in range(parts + 1)]
+    return list(zip(cuts, cuts[1:]))
+
+
+def event_slice(records: DataFrame, cut: tuple[int, int]) -> DataFrame:
+    return records.where((F.col("event_id") >= cut[0]) & (F.col("event_id") < cut[1]))
+
+
+def grown_log(spark: SparkSession, sf_dir: str) -> TopicLog:
+    """``events`` in three appends, in order of ``event_id``; written once per session like ``event_log``."""
+    return _once(spark, sf_dir, "grown", _write_grown_log)
+
+
+def _write_grown_log(spark: SparkSession, sf_dir: str) -> str:
+    log, records = TopicLog(spark, scratch(spark)), event_records(spark, sf_dir)
+    for cut in event_cuts(records):
+        log.append(event_slice(records, cut), "event_id")
+    return log.root
+
+
 def event_log(spark: SparkSession, sf_dir: str) -> TopicLog:
     """The numbered log of ``events`` with the positions of four groups."""
-    name = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    return _once(spark, sf_dir, "events", _write_log)
+
+
+def _once(spark: SparkSession, sf_dir: str, kind: str, write: Callable[[SparkSession, str], str]) -> TopicLog:
+    name = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind)
     with _writing:
         if name not in _written or TopicLog(spark, _written[name]).last_append() < 0:
-            _written[name] = _write_log(spark, sf_dir)
+            _written[name] = write(spark, sf_dir)
         return TopicLog(spark, _written[name])
 
 
-_written: dict[tuple[str, str], str] = {}
+_written: dict[tuple[str, str, str], str] = {}
 _writing = threading.Lock()
 
 

@@ -9,10 +9,19 @@ log AS (
          event_type AS _topic,
          CAST(user_id % 4 AS INTEGER) AS _partition,
          CAST(row_number() OVER (PARTITION BY event_type, user_id % 4 ORDER BY event_id) - 1
-              AS BIGINT) AS _offset
+              AS BIGINT) AS _offset,
+         event_id
   FROM events
 )"""
 
+#: The append (of three) that holds an event.
+APPENDS = """
+span AS (SELECT min(event_id) AS low, max(event_id) + 1 AS high FROM events),
+dated AS (
+  SELECT log.*, CASE WHEN event_id < low + (high - low) // 3 THEN 0 WHEN event_id < low + (high - low) * 2 // 3 THEN 1 ELSE 2 END AS append
+  FROM log, span
+)"""
+
 PARTITIONS = """
 parts AS (
   SELECT _topic, _partition, min(_offset) AS earliest, max(_offset) + 1 AS latest
@@ -115,14 +124,41 @@ ORACLE: dict[str, str] = {
     "scan_group_partial_smallest": _scan("g_partial", "smallest"),
     "scan_group_none_smallest": _scan("g_none", "smallest"),
     "scan_checkpoint": _scan("g_full", "largest"),
-    "scan_task_ranges": f"""{_with(LOG, PARTITIONS)},
-begins AS (
-  SELECT *, unnest(range((latest - 1) // 2 + 1, latest, 100)) AS start_offset FROM parts
+    "scan_task_ranges": f"""{_with(LOG, PARTITIONS, APPENDS).replace("WITH", "WITH RECURSIVE", 1)},
+files AS (
+  SELECT _topic, _partition, append, greatest(min(_offset), (any_value(latest) - 1) // 2 + 1) AS low, max(_offset) + 1 AS high
+  FROM dated JOIN parts USING (_topic, _partition) GROUP BY ALL
+),
+pieces AS (
+  SELECT _topic, _partition, append, first, least(first + 100, high) AS last,
+         row_number() OVER (ORDER BY _topic, _partition, first) AS no
+  FROM (SELECT *, unnest(range(low, high, 100)) AS first FROM files WHERE low < high)
+),
+dealt AS (
+  SELECT no, CAST(0 AS BIGINT) AS task, last - first AS used FROM pieces WHERE no = 1
+  UNION ALL
+  SELECT p.no, CASE WHEN used + last - first > 100 THEN task + 1 ELSE task END,
+         CASE WHEN used + last - first > 100 THEN last - first ELSE used + last - first END
+  FROM dealt JOIN pieces AS p ON p.no = dealt.no + 1
 )
-SELECT _topic, _partition, start_offset, least(start_offset + 100, latest) AS end_offset FROM begins""",
-    "missing_starts": f"""{_with(LOG, PARTITIONS, COMMITS)}
-SELECT _topic, _partition, 'partition has no start offset' AS problem
-FROM parts ANTI JOIN (SELECT * FROM newest WHERE group_id = 'g_partial') USING (_topic, _partition)""",
+SELECT task, _topic, _partition, min(first) AS start_offset, max(last) AS end_offset
+FROM dealt JOIN pieces USING (no) GROUP BY task, _topic, _partition, append""",
+    "missing_starts": f"""{_with(LOG, PARTITIONS)}
+SELECT _topic, _partition,
+       CASE WHEN _topic = 'view' THEN 'partition has no start offset'
+            WHEN _partition = 0 THEN 'records before the earliest are gone'
+            ELSE 'start offset lies beyond the end of the log' END AS problem
+FROM parts WHERE (_topic, _partition) IN (('view', 3), ('click', 0), ('click', 1))
+UNION ALL
+SELECT 'click', 99, 'start offset names a partition that does not exist'""",
+    "offset_gaps": f"""{_with(LOG, APPENDS)}
+SELECT _topic, _partition, min(_offset) FILTER (append = 1) AS first, max(_offset) FILTER (append = 1) AS last
+FROM dated GROUP BY _topic, _partition HAVING count(*) FILTER (append = 1) > 0 AND count(*) FILTER (append = 2) > 0""",
+    "source_batch_filtered": _records("_topic IN ('click', 'view') AND _partition IN (1, 2) AND _offset >= 100 AND _offset < 300"),
+    "append_continues": f"""{_with(LOG, APPENDS)}
+SELECT _key, _message, _topic, _partition,
+       CAST(row_number() OVER (PARTITION BY _topic, _partition ORDER BY append, event_id * 1000003 % 2147483647) - 1 AS BIGINT) AS _offset
+FROM dated""",
     "read_progress": PROGRESS,
     "merge_offsets_idle": f"""{_with(LOG, PARTITIONS)}
 SELECT _topic, _partition,
@@ -152,8 +188,13 @@ FROM subscribed
 UNION ALL
 SELECT 'readers', 'q1', CAST(1 AS BIGINT), _topic, _partition, latest - 1 FROM subscribed""",
     "broker_projection": _records(),
+    "broker_group_commit": f"""{_with(LOG, PARTITIONS)}
+SELECT _topic, _partition, (latest - 1) // 2 + 1 AS first, latest - 1 - (latest - 1) // 2 AS records, latest - 1 AS last_offset
+FROM subscribed""",
     "stream_available_now": _records(),
     "stream_resume": _records(),
+    "scan_stream_checkpoint": f"{_with(LOG, APPENDS)} SELECT {RECORD} FROM dated WHERE append > 0",
+    "stream_native_growing": _records(),
     "stream_native": _records("_topic IN ('click', 'view')"),
     "stream_native_commit": f"""{_with(LOG, PARTITIONS)}
 SELECT _topic, _partition, latest - 1 AS last_offset FROM subscribed""",

@@ -17,7 +17,6 @@ from tidelog.operators import (
     pin,
     progress,
     resolve_starts,
-    scan_tasks,
     start_problems,
     starts_after,
     subscribe,
@@ -27,17 +26,21 @@ from tidelog.plans.inputs import (
     GROUPS,
     TOPICS,
     batch_with_idle_partition,
+    event_cuts,
     event_log,
     event_records,
-    full_group_starts,
+    event_slice,
     groups_of,
+    grown_log,
     halfway,
     subscribed,
 )
-from tidelog.schema import KEY
+from tidelog.schema import KEY, STARTS
 from tidelog.scratch import scratch
-from tidelog.sources import GroupTable, TopicLog, from_broker, register
-from tidelog.streaming import freeze_starts, start_committing
+from tidelog.operators.starts import offset_gaps as gaps_after
+from tidelog.sources import GroupTable, TopicLog, checkpoint_starts, from_broker, register
+from tidelog.sources.planning import LogIndex
+from tidelog.streaming import freeze_starts, start_committing, start_grouped
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,13 +126,57 @@ def scan_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_task_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = event_log(spark, sf_dir)
-    return scan_tasks(log.partitions(), full_group_starts(log), ROWS_PER_TASK)
+    """What each task of the named source reads, from the middle of every partition of a log of several appends."""
+    log = grown_log(spark, sf_dir)
+    starts: dict[str, dict[str, int]] = {}
+    for row in starts_after(halfway(log.partitions())).collect():
+        starts.setdefault(row._topic, {})[str(row._partition)] = row.next_offset
+    index = LogIndex(log.root, starts)
+    index.refresh()
+    tasks = index.tasks(starts, index.latest, ROWS_PER_TASK, 2**62)
+    rows = [(no, r.topic, r.partition, r.start, r.end) for no, task in enumerate(tasks) for r in task.ranges]
+    return spark.createDataFrame(rows, "task bigint, _topic string, _partition int, start_offset bigint, end_offset bigint")
 
 
 def missing_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starts of a group that lacks a partition, with one for a partition that is not there, one too early and one too late."""
     log = event_log(spark, sf_dir)
-    return start_problems(log.partitions(), starts_after(groups_of(log).latest("g_partial")))
+    partitions = log.partitions()
+    starts = starts_after(groups_of(log).latest("g_partial"))
+    early = (F.col("_topic") == "click") & (F.col("_partition") == 0)
+    late = (F.col("_topic") == "click") & (F.col("_partition") == 1)
+    shifted = F.when(early, F.col("earliest") - 1).when(late, F.col("latest") + 1).otherwise(F.col("next_offset"))
+    absent = spark.createDataFrame([("click", 99, 0)], STARTS)
+    wrong = partitions.join(starts, KEY).select(*KEY, shifted.alias("next_offset")).unionByName(absent)
+    return start_problems(partitions, wrong)
+
+
+def offset_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges that a log lacks whose second of three appends is lost."""
+    log = grown_log(spark, sf_dir)
+    starts = log.partitions().select(*KEY, F.col("earliest").alias("next_offset"))
+    return gaps_after(log.manifest().where("_append <> 1"), starts)
+
+
+def source_batch_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The named source as a batch; predicates on topic, partition and offset reach its planning."""
+    log = event_log(spark, sf_dir)
+    register(spark)
+    reader = spark.read.format("topiclog").option("topics", ",".join(_topics(log))).option("group.id", "g_batch")
+    rows = reader.load(log.root)
+    return readable(
+        rows.where(F.col("_topic").isin(*TOPICS) & F.col("_partition").isin(1, 2) & (F.col("_offset") >= 100) & (F.col("_offset") < 300))
+    )
+
+
+def append_continues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three appends whose records are ordered by a hash of their id."""
+    records = event_records(spark, sf_dir)
+    log = TopicLog(spark, f"{scratch(spark)}/log")
+    for cut in event_cuts(records):
+        hashed = event_slice(records, cut).withColumn("place", F.expr("event_id * 1000003 % 2147483647 * 4294967296"))
+        log.append(hashed.drop("event_id"), "place")
+    return readable(log.rows())
 
 
 # --- positions ---
@@ -190,8 +237,11 @@ def group_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def broker_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with the columns of Spark's broker source, as envelopes."""
-    rows = event_log(spark, sf_dir).rows()
-    shaped = rows.select(
+    return readable(from_broker(_broker_shaped(event_log(spark, sf_dir).rows())))
+
+
+def _broker_shaped(rows: DataFrame) -> DataFrame:
+    return rows.select(
         F.col("_key").alias("key"),
         F.col("_message").alias("value"),
         F.col("_topic").alias("topic"),
@@ -200,18 +250,51 @@ def broker_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("2024-01-01").cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )
-    return readable(from_broker(shaped))
+
+
+def broker_group_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of broker rows that goes on from a group, commits batch by batch, and is started twice.
+
+    Its files come in three parts, the middle one last, so the position waits for it.
+    """
+    log, out = event_log(spark, sf_dir), scratch(spark)
+    shaped = _broker_shaped(subscribe(log.rows(), TOPICS))
+    ends = subscribe(log.partitions(), TOPICS).select(F.col("_topic").alias("topic"), F.col("_partition").alias("partition"), "latest")
+    dealt = shaped.join(F.broadcast(ends), ["topic", "partition"]).withColumn("part", F.expr("offset * 3 div latest"))
+    groups = GroupTable(spark, f"{out}/groups")
+    groups.commit("readers", "earlier", 0, halfway(subscribed(log)))
+    starts = freeze_starts(spark, f"{out}/starts", lambda: resolve_starts(subscribed(log), groups.latest("readers"), "smallest"))
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/rows/batch_id={batch_id}")
+
+    def run() -> None:
+        stream = spark.readStream.schema(shaped.schema).option("maxFilesPerTrigger", 4).parquet(f"{out}/broker")
+        start_grouped(
+            from_broker(stream), starts, sink,
+            groups=groups, group_id="readers", checkpoint=f"{out}/checkpoint", state=f"{out}/state", trigger={"availableNow": True},
+        ).awaitTermination()
+
+    for part in (0, 2, 1):
+        dealt.where(F.col("part") == part).select(*shaped.columns).write.mode("append").parquet(f"{out}/broker")
+    run()
+    run()
+    rows = spark.read.parquet(f"{out}/rows").groupBy(*KEY).agg(F.min("_offset").alias("first"), F.count("*").alias("records"))
+    return groups.latest("readers").join(rows, KEY).select(*KEY, "first", "records", "last_offset")
 
 
 # --- streams ---
 
 
+def _topics(log: TopicLog) -> list[str]:
+    return [row._topic for row in log.partitions().select("_topic").distinct().collect()]
+
+
 def _topiclog_stream(log: TopicLog, group: str, reset: str) -> DataFrame:
     register(log.spark)
-    topics = ",".join(row._topic for row in log.partitions().select("_topic").distinct().collect())
     return (
         log.spark.readStream.format("topiclog")
-        .option("topics", topics)
+        .option("topics", ",".join(_topics(log)))
         .option("group.id", group)
         .option("auto.offset.reset", reset)
         .option("commit", "false")
@@ -240,14 +323,45 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A log that grows in three appends, read by three runs on one checkpoint."""
     records, out = event_records(spark, sf_dir), scratch(spark)
     log = TopicLog(spark, f"{out}/log")
-    span = records.agg(F.min("event_id").alias("low"), F.max("event_id").alias("high")).first()
-    cuts = [span.low + (span.high + 1 - span.low) * i // 3 for i in range(4)]
-    for low, high in zip(cuts, cuts[1:]):
-        log.append(records.where((F.col("event_id") >= low) & (F.col("event_id") < high)), "event_id")
+    for cut in event_cuts(records):
+        log.append(event_slice(records, cut), "event_id")
         _drain(_topiclog_stream(log, "g_stream", "smallest"), out)
     return readable(to_envelope(spark.read.parquet(f"{out}/rows")))
 
 
+def scan_stream_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch read of what a stream has not read, from where its checkpoint stands."""
+    records, out = event_records(spark, sf_dir), scratch(spark)
+    log = TopicLog(spark, f"{out}/log")
+    first, second, third = event_cuts(records)
+    log.append(event_slice(records, first), "event_id")
+    _drain(_topiclog_stream(log, "g_stream", "smallest"), out)
+    for cut in (second, third):
+        log.append(event_slice(records, cut), "event_id")
+    return readable(log.resume(_topics(log), checkpoint_starts(spark, f"{out}/checkpoint")))
+
+
+def stream_native_growing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log that grows in three appends, the second of them after one that failed half-way, read natively by three runs."""
+    records, out = event_records(spark, sf_dir), scratch(spark)
+    log = TopicLog(spark, f"{out}/log")
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/rows/batch_id={batch_id}")
+
+    for no, cut in enumerate(event_cuts(records)):
+        if no == 1:
+            log.rows().write.partitionBy(*KEY).parquet(f"{log.data_path}/_append=1")
+        log.append(event_slice(records, cut), "event_id")
+        starts = freeze_starts(spark, f"{out}/starts", lambda: log.partitions().select(*KEY, F.col("earliest").alias("next_offset")))
+        query = start_committing(
+            log, _topics(log), starts, sink,
+            group_id="g_growing", checkpoint=f"{out}/checkpoint", trigger={"availableNow": True}, new_partitions=True,
+        )
+        query.awaitTermination()
+    return readable(to_envelope(spark.read.parquet(f"{out}/rows")))
+
+
 def _native(spark: SparkSession, sf_dir: str, out: str, group: str) -> TopicLog:
     log = event_log(spark, sf_dir)
     starts = freeze_starts(spark, f"{out}/starts", lambda: _starts(log, "g_none", "smallest"))
@@ -313,6 +427,9 @@ QUERIES: dict[str, Query] = {
     "scan_checkpoint": scan_checkpoint,
     "scan_task_ranges": scan_task_ranges,
     "missing_starts": missing_starts,
+    "source_batch_filtered": source_batch_filtered,
+    "offset_gaps": offset_gaps,
+    "append_continues": append_continues,
     "read_progress": read_progress,
     "merge_offsets_idle": merge_offsets_idle,
     "offsets_json": offsets_json,
@@ -322,8 +439,11 @@ QUERIES: dict[str, Query] = {
     "commit_latest": commit_latest,
     "group_commit": group_commit,
     "broker_projection": broker_projection,
+    "broker_group_commit": broker_group_commit,
     "stream_available_now": stream_available_now,
     "stream_resume": stream_resume,
+    "scan_stream_checkpoint": scan_stream_checkpoint,
     "stream_native": stream_native,
+    "stream_native_growing": stream_native_growing,
     "stream_native_commit": stream_native_commit,
 }

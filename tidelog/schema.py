@@ -8,6 +8,7 @@ is the first record a scan returns, always ``last_offset + 1``.
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    ArrayType,
     BinaryType,
     IntegerType,
     LongType,
@@ -52,10 +53,27 @@ MANIFEST = StructType(
         StructField("min_offset", LongType()),
         StructField("max_offset", LongType()),
         StructField("rows", LongType()),
+        StructField("bytes", LongType()),
+        # Rows and bytes of each row group; null where they could not be read.
+        StructField("group_rows", ArrayType(LongType())),
+        StructField("group_bytes", ArrayType(LongType())),
+        # The append before this one that has records of the partition, -1 if none has.
+        StructField("previous", LongType()),
         StructField("_append", LongType()),
     ]
 )
 
+#: One row per topic-partition after an append, below ``<root>/heads/_append=<n>``; ``append`` is its newest one with records.
+HEADS = StructType(
+    [
+        StructField("_topic", StringType()),
+        StructField("_partition", IntegerType()),
+        StructField("earliest", LongType()),
+        StructField("latest", LongType()),
+        StructField("append", LongType()),
+    ]
+)
+
 #: Committed positions; the first three columns are directories of the table.
 GROUP_OFFSETS = StructType(
     [
@@ -69,16 +87,6 @@ GROUP_OFFSETS = StructType(
     ]
 )
 
-#: Files a stream has read beyond its contiguous position.
-PENDING = StructType(
-    [
-        StructField("_topic", StringType()),
-        StructField("_partition", IntegerType()),
-        StructField("file", StringType()),
-        StructField("max_offset", LongType()),
-    ]
-)
-
 #: Where a scan begins in every topic-partition.
 STARTS = StructType(
     [
@@ -88,5 +96,8 @@ STARTS = StructType(
     ]
 )
 
-#: Rows of both kinds: starts without a file, pending files without a start.
-BATCH_STATE = StructType(STARTS.fields + PENDING.fields[2:])
+#: Positions of a stream after a batch, and the append that it has read up to.
+BATCH_STATE = StructType([*STARTS.fields, StructField("append", LongType())])
+
+#: Ranges of offsets without a hole, both ends included.
+RUNS = StructType([*STARTS.fields[:2], StructField("first", LongType()), StructField("last", LongType())])

@@ -1,13 +1,13 @@
 """Committed consumer-group positions as a table.
 
-Layout: ``group_id=<g>/query_id=<q>/batch_id=<n>/*.parquet``. A replayed batch
+Layout: ``group_id=<g>/query_id=<q>/batch_id=<n>/*.parquet``, and ``_order``, see ``group_log``. A replayed batch
 overwrites its own directory, so commits are idempotent. ``committed_at`` orders
 the commits of different queries.
 """
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from tidelog.operators.pin import pin
 from tidelog.operators.progress import merge_offsets, progress
 from tidelog.schema import GROUP_OFFSETS, KEY
-from tidelog.sources.files import exists
+from tidelog.sources.files import children, directory, exists, file_names, touch
+from tidelog.sources.group_log import ORDER, Marker, decisive, microseconds, parse_markers
 
 
 class GroupTable:
@@ -30,18 +31,28 @@ class GroupTable:
         table = self.spark.read.schema(GROUP_OFFSETS).parquet(self.path).select(*GROUP_OFFSETS.names)
         return table if group_id is None else table.where(F.col("group_id") == group_id)
 
+    def _folders(self, group: str) -> list[str]:
+        """Folders of the commits that hold a group's newest positions."""
+        names = file_names(self.spark, f"{self.path}/{ORDER}/{group}")
+        return [f"{self.path}/{group}/{marker.folder}" for marker in decisive(parse_markers(names))]
+
     def latest(self, group_id: str | None = None) -> DataFrame:
         """``group_id, _topic, _partition, last_offset`` of the newest commit.
 
-        Newest, not largest: a group may be rewound. ``max_by`` combines map-side,
-        so a long history of one partition never gathers in one task.
+        Newest, not largest: a group may be rewound. Of a group's history only the commits back to
+        the newest complete one are opened; ``max_by`` combines map-side.
         """
+        if group_id is not None:
+            groups = [directory("group_id", group_id)]
+        else:
+            groups = [name for name in children(self.spark, f"{self.path}/{ORDER}") if name.startswith("group_id=")]
+        folders = [folder for group in groups for folder in self._folders(group)]
+        if not folders:
+            commits = self.spark.createDataFrame([], GROUP_OFFSETS)
+        else:
+            commits = self.spark.read.schema(GROUP_OFFSETS).option("basePath", self.path).parquet(*folders)
         newest = F.struct("committed_at", "batch_id", "query_id")
-        return (
-            self.commits(group_id)
-            .groupBy("group_id", *KEY)
-            .agg(F.max_by("last_offset", newest).alias("last_offset"))
-        )
+        return commits.groupBy("group_id", *KEY).agg(F.max_by("last_offset", newest).alias("last_offset"))
 
     def commit(
         self,
@@ -50,25 +61,21 @@ class GroupTable:
         batch_id: int,
         offsets: DataFrame,
         committed_at: datetime | None = None,
-        known: DataFrame | None = None,
     ) -> bool:
-        """Store ``_topic, _partition, last_offset``; False if the group is already there.
-
-        A caller that has the position of its last commit passes it as ``known``,
-        which saves reading the group's history.
-        """
+        """Store ``_topic, _partition, last_offset``; False if the group is already there."""
         # Pinned, so that the records behind the offsets are read once.
         offsets = pin(offsets.select(*KEY, "last_offset")).frame
-        if known is None:
-            known = self.latest(group_id)
+        known = pin(self.latest(group_id).select(*KEY, "last_offset")).frame
         if offsets.join(known, [*KEY, "last_offset"], "left_anti").isEmpty():
             return False
-        when = F.current_timestamp() if committed_at is None else F.lit(committed_at)
+        complete = known.join(offsets, KEY, "left_anti").isEmpty()
+        when = committed_at or datetime.now(timezone.utc)
+        marker = Marker(microseconds(when), batch_id, query_id, complete, "0")
         rows = offsets.select(
             F.lit(group_id).alias("group_id"),
             F.lit(query_id).alias("query_id"),
             F.lit(batch_id).cast("bigint").alias("batch_id"),
-            when.alias("committed_at"),
+            F.lit(when).alias("committed_at"),
             *KEY,
             "last_offset",
         )
@@ -80,6 +87,7 @@ class GroupTable:
             .partitionBy("group_id", "query_id", "batch_id")
             .parquet(self.path)
         )
+        touch(self.spark, f"{self.path}/{ORDER}/{directory('group_id', group_id)}/{marker.name}")
         return True
 
     def commit_read(

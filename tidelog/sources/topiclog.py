@@ -1,51 +1,55 @@
-"""``spark.readStream.format("topiclog")``: exact offset ranges of a topic log.
+"""``spark.read`` and ``spark.readStream`` of ``format("topiclog")``: exact offset ranges of a topic log.
 
 Offsets are ``{topic: {partition: next_offset}}``. Planning reads only metadata
-(manifest and group table); records are read in the tasks as Arrow batches.
+(heads, manifests and group table); records are read in the tasks as Arrow batches.
 """
 
 from __future__ import annotations
 
-import time
+import copy
+import json
 import uuid
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
+from dataclasses import replace
 from datetime import datetime, timezone
-from typing import NamedTuple
 
 import pyarrow as pa
-import pyarrow.compute as pc
-import pyarrow.dataset as ds
-import pyarrow.parquet as pq
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceReader,
+    DataSourceStreamReader,
+    EqualTo,
+    Filter,
+    GreaterThan,
+    GreaterThanOrEqual,
+    In,
+    IsNotNull,
+    LessThan,
+    LessThanOrEqual,
+)
 from pyspark.sql.types import StructType
 
 import tidelog
-from tidelog.options import SMALLEST, ReadOptions
+from tidelog.options import SMALLEST, ReadOptions, lowered
 from tidelog.schema import ENVELOPE
-from tidelog.sources.files import arrow_children, arrow_exists, directory, numbers, open_arrow
-
-#: ``{topic: {partition as text: offset}}``, the shape Spark stores as JSON.
-Offsets = dict[str, dict[str, int]]
-
-
-@dataclass
-class RangeTask(InputPartition):
-    """Offsets ``[start, end)`` of one topic-partition and the file that holds them."""
-
-    topic: str
-    partition: int
-    start: int
-    end: int
-    file: str
+from tidelog.sources.files import default_file_system, on_file_system
+from tidelog.sources.group_log import GroupLog
+from tidelog.sources.planning import LogIndex, Offsets, ScanTask, read_ranges
 
 
 class TopicLogSource(DataSource):
+    #: Where paths without a scheme lie; set from the session when the source is registered.
+    file_system = "file:///"
+
     def __init__(self, options):
         super().__init__(options)
-        self.settings = ReadOptions.parse(options)
+        given = lowered(options)
+        settings = ReadOptions.parse(options)
+        self.settings = replace(settings, path=on_file_system(settings.path, self.file_system))
+        # A batch ends at the end of the log, so it begins at the first record unless told otherwise.
+        self.batch_settings = self.settings if "auto.offset.reset" in given else replace(self.settings, reset=SMALLEST)
 
     @classmethod
     def name(cls) -> str:
@@ -54,122 +58,53 @@ class TopicLogSource(DataSource):
     def schema(self) -> StructType:
         return ENVELOPE
 
-    def streamReader(self, schema: StructType) -> DataSourceStreamReader:
+    def _check(self, schema: StructType) -> None:
         wanted = [(f.name, f.dataType) for f in schema.fields]
         if wanted != [(f.name, f.dataType) for f in ENVELOPE.fields]:
             raise ValueError(f"the schema is fixed: {ENVELOPE.simpleString()}")
-        return TopicLogStreamReader(self.settings)
 
+    def reader(self, schema: StructType) -> DataSourceReader:
+        self._check(schema)
+        return TopicLogReader(self.batch_settings)
 
-class LogFile(NamedTuple):
-    low: int
-    high: int  # one past the last offset
-    name: str
+    def streamReader(self, schema: StructType) -> DataSourceStreamReader:
+        self._check(schema)
+        return TopicLogStreamReader(self.settings)
 
 
-class TopicLogStreamReader(DataSourceStreamReader):
+class _Planner:
+    """Positions and tasks of a read; on the driver."""
+
     def __init__(self, settings: ReadOptions):
         self.settings = settings
-        self.writer = uuid.uuid4().hex
-        self.last_commit: Offsets | None = None
-        # What the manifest says about the subscribed topics. Appends never change, so
-        # each is read once; files that have been consumed are forgotten.
-        self.loaded: set[int] = set()
-        self.earliest: Offsets = {topic: {} for topic in settings.topics}
-        self.latest: Offsets = {topic: {} for topic in settings.topics}
-        self.files: dict[tuple[str, str], list[LogFile]] = {}
-        self.consumed: dict[tuple[str, str], int] = {}
-
-    # --- planning, on the driver ---
-
-    def _refresh(self) -> None:
-        """Take in appends that have completed since the last call."""
-        manifest = f"{self.settings.path}/manifest"
-        for number in numbers(arrow_children(manifest), "_append"):
-            path = f"{manifest}/_append={number}"
-            if number in self.loaded or not arrow_exists(f"{path}/_SUCCESS"):
-                continue
-            filesystem, base = open_arrow(path)
-            wanted = ds.field("_topic").isin(self.settings.topics)
-            table = ds.dataset(base, filesystem=filesystem, format="parquet").to_table(filter=wanted)
-            for row in table.to_pylist():
-                topic, partition = row["_topic"], str(row["_partition"])
-                file = LogFile(row["min_offset"], row["max_offset"] + 1, row["file"])
-                lows, highs = self.earliest[topic], self.latest[topic]
-                lows[partition] = min(file.low, lows.get(partition, file.low))
-                highs[partition] = max(file.high, highs.get(partition, file.high))
-                self.files.setdefault((topic, partition), []).append(file)
-            self.loaded.add(number)
-        unknown = [topic for topic in self.settings.topics if not self.latest[topic]]
-        if unknown:
-            raise ValueError(f"no partition found for topic(s): {', '.join(unknown)}")
-
-    def _committed(self) -> Offsets:
-        """Newest committed ``last_offset`` of the group, by partition."""
-        folder = f"{self.settings.path}/groups"
-        group = directory("group_id", self.settings.group_id)
-        if group not in arrow_children(folder):
-            return {}
-        filesystem, base = open_arrow(folder)
-        keys = pa.schema([("query_id", pa.string()), ("batch_id", pa.int64())])
-        commits = ds.dataset(
-            f"{base}/{group}", filesystem=filesystem, format="parquet",
-            partitioning=ds.partitioning(keys, flavor="hive"),
-        ).to_table(columns=["committed_at", "batch_id", "query_id", "_topic", "_partition", "last_offset"])
-        ordered = commits.sort_by(
-            [("committed_at", "ascending"), ("batch_id", "ascending"), ("query_id", "ascending")]
-        )
-        newest: Offsets = {}
-        for row in ordered.to_pylist():
-            newest.setdefault(row["_topic"], {})[str(row["_partition"])] = row["last_offset"]
-        return newest
-
-    def initialOffset(self) -> Offsets:
-        """Group positions if they cover every partition, else the reset policy."""
-        self._refresh()
-        committed = self._committed()
-        covered = all(
-            partition in committed.get(topic, {})
-            for topic, parts in self.latest.items()
-            for partition in parts
-        )
-        if covered:
-            return {t: {p: committed[t][p] + 1 for p in parts} for t, parts in self.latest.items()}
-        return self.earliest if self.settings.reset == SMALLEST else self.latest
-
-    def latestOffset(self) -> Offsets:
-        self._refresh()
-        return self.latest
-
-    def partitions(self, start: Offsets, end: Offsets) -> list[RangeTask]:
-        self._refresh()
+        self.index = LogIndex(settings.path, settings.topics)
+        self.groups = GroupLog(f"{settings.path}/groups")
+
+    def _initial(self) -> Offsets:
+        """Given offsets, else group positions if they cover every partition, else the reset policy."""
+        self.index.refresh()
+        if self.settings.starting_offsets:
+            return json.loads(self.settings.starting_offsets)
+        latest = self.index.latest
+        committed = self.groups.newest(self.settings.group_id)
+        if all(p in committed.get(topic, {}) for topic, parts in latest.items() for p in parts):
+            return {t: {p: committed[t][p] + 1 for p in parts} for t, parts in latest.items()}
+        return copy.deepcopy(self.index.earliest if self.settings.reset == SMALLEST else latest)
+
+    def _checked(self, start: Offsets, end: Offsets) -> Offsets:
+        """``start`` of every partition in ``end``; fails if one cannot be read from there."""
         for topic, parts in start.items():
             for partition in parts:
                 if partition not in end.get(topic, {}):
                     raise ValueError(f"{topic}/{partition}: partition is gone from the log")
-        tasks: list[RangeTask] = []
-        for topic, parts in end.items():
-            for partition, stop in parts.items():
-                first = self._checked_start(topic, partition, start, stop)
-                unread = self._unread(topic, partition, first)
-                tasks.extend(self._split(topic, int(partition), first, stop, unread))
-        return tasks
-
-    def _unread(self, topic: str, partition: str, first: int) -> list[LogFile]:
-        """Files that reach past ``first``; the others are forgotten."""
-        key = (topic, partition)
-        if first < self.consumed.get(key, first):  # asked for forgotten files again
-            self.loaded.clear()
-            self.files.clear()
-            self.consumed.clear()
-            self._refresh()
-        self.files[key] = [file for file in self.files.get(key, []) if file.high > first]
-        self.consumed[key] = first
-        return self.files[key]
+        return {
+            topic: {partition: self._checked_start(topic, partition, start, stop) for partition, stop in parts.items()}
+            for topic, parts in end.items()
+        }
 
     def _checked_start(self, topic: str, partition: str, start: Offsets, stop: int) -> int:
         name = f"{topic}/{partition}"
-        earliest = self.earliest.get(topic, {}).get(partition)
+        earliest = self.index.earliest.get(topic, {}).get(partition)
         if earliest is None:
             raise ValueError(f"{name}: partition is gone from the log")
         first = start.get(topic, {}).get(partition)
@@ -181,86 +116,124 @@ class TopicLogStreamReader(DataSourceStreamReader):
             raise ValueError(f"{name}: start offset lies beyond the end of the log")
         if first < earliest:
             raise ValueError(f"{name}: records before the earliest are gone")
-        if stop > self.latest[topic][partition]:
+        if stop > self.index.latest[topic][partition]:
             raise ValueError(f"{name}: the log ends before the planned offset")
         return first
 
-    def _split(
-        self, topic: str, partition: int, first: int, stop: int, files: list[LogFile]
-    ) -> Iterator[RangeTask]:
-        step = self.settings.rows_per_task
-        for file in sorted(files):
-            high = min(stop, file.high)
-            for begin in range(max(first, file.low), high, step):
-                yield RangeTask(topic, partition, begin, min(begin + step, high), file.name)
+    def _tasks(self, start: Offsets, end: Offsets) -> list[ScanTask]:
+        return self.index.tasks(start, end, self.settings.rows_per_task, self.settings.bytes_per_task)
+
+
+class TopicLogReader(_Planner, DataSourceReader):
+    """Everything from the start position to the end of the log; predicates on the position narrow what is planned."""
+
+    def __init__(self, settings: ReadOptions):
+        super().__init__(settings)
+        self.topics: set[str] = set(settings.topics)
+        self.partition_numbers: set[int] | None = None
+        self.low, self.high = 0, 2**63 - 1
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        """Take over predicates on topic, partition and offset; Spark evaluates the others."""
+        for given in filters:
+            if not self._taken(given):
+                yield given
+
+    def _taken(self, given: Filter) -> bool:
+        column = getattr(given, "attribute", None)
+        if column is None or len(column) != 1:
+            return False
+        name, value = column[0], getattr(given, "value", None)
+        if isinstance(given, IsNotNull):
+            return name in ("_topic", "_partition", "_offset")  # never null
+        if isinstance(given, (EqualTo, In)) and name in ("_topic", "_partition"):
+            values = set(value) if isinstance(given, In) else {value}
+            if name == "_topic":
+                self.topics &= values
+            else:
+                self.partition_numbers = values if self.partition_numbers is None else self.partition_numbers & values
+            return True
+        if name != "_offset" or value is None:
+            return False
+        if isinstance(given, EqualTo):
+            self.low, self.high = max(self.low, value), min(self.high, value + 1)
+        elif isinstance(given, (GreaterThan, GreaterThanOrEqual)):
+            self.low = max(self.low, value + isinstance(given, GreaterThan))
+        elif isinstance(given, (LessThan, LessThanOrEqual)):
+            self.high = min(self.high, value + isinstance(given, LessThanOrEqual))
+        else:
+            return False
+        return True
+
+    def _wanted(self, topic: str, partition: str) -> bool:
+        return topic in self.topics and (self.partition_numbers is None or int(partition) in self.partition_numbers)
+
+    def partitions(self) -> list[ScanTask]:
+        start = self._initial()
+        start = self._checked(start, self.index.latest)  # every start is checked, also of partitions that are filtered out
+        narrowed: Offsets = {}
+        ends: Offsets = {}
+        for topic, parts in start.items():
+            for partition, first in parts.items():
+                if self._wanted(topic, partition):
+                    stop = min(self.high, self.index.latest[topic][partition])
+                    narrowed.setdefault(topic, {})[partition] = max(first, self.low)
+                    ends.setdefault(topic, {})[partition] = stop
+        return self._tasks(narrowed, ends)
+
+    def read(self, task: ScanTask) -> Iterator[pa.RecordBatch]:
+        return read_ranges(self.settings.path, task)
+
+
+class TopicLogStreamReader(_Planner, DataSourceStreamReader):
+    def __init__(self, settings: ReadOptions):
+        super().__init__(settings)
+        self.writer = uuid.uuid4().hex
+        self.last_commit: Offsets | None = None
+        #: Whether this process began the stream, rather than going on from a checkpoint.
+        self.began = False
+
+    def initialOffset(self) -> Offsets:
+        self.began = True
+        return self._initial()
+
+    def latestOffset(self) -> Offsets:
+        self.index.refresh()
+        return copy.deepcopy(self.index.latest)
+
+    def partitions(self, start: Offsets, end: Offsets) -> list[ScanTask]:
+        self.index.refresh()
+        return self._tasks(self._checked(start, end), end)
 
     def commit(self, end: Offsets) -> None:
         """Store consumed positions for the group, unless it is already there.
 
         Spark calls this when the following batch is planned, so the group may lag
-        one batch behind the checkpoint but never runs ahead of the sink.
+        one batch behind the checkpoint but never runs ahead of the sink. After a
+        restart Spark repeats the last call. If the group has held these very positions
+        before, the repeat is left out, so that it does not overrule a rewind since then.
         """
         if not self.settings.commit:
             return
         consumed = {t: {p: offset - 1 for p, offset in parts.items()} for t, parts in end.items()}
-        known = self._committed() if self.last_commit is None else self.last_commit
-        if all(known.get(t, {}).get(p) == last for t, parts in consumed.items() for p, last in parts.items()):
-            self.last_commit = consumed
-            return
-        rows = [(t, int(p), last) for t, parts in consumed.items() for p, last in parts.items()]
-        now = datetime.now(timezone.utc)
-        table = pa.table(
-            {
-                "committed_at": pa.array([now] * len(rows), pa.timestamp("us", "UTC")),
-                "_topic": pa.array([topic for topic, _, _ in rows], pa.string()),
-                "_partition": pa.array([partition for _, partition, _ in rows], pa.int32()),
-                "last_offset": pa.array([last for _, _, last in rows], pa.int64()),
-            }
-        )
-        filesystem, base = open_arrow(f"{self.settings.path}/groups")
-        group = directory("group_id", self.settings.group_id)
-        folder = f"{base}/{group}/query_id=source-{self.writer}/batch_id={time.time_ns()}"
-        filesystem.create_dir(folder, recursive=True)
-        # Readers skip names that begin with an underscore, so they never see a half-written file.
-        pq.write_table(table, f"{folder}/_offsets.tmp", filesystem=filesystem)
-        filesystem.move(f"{folder}/_offsets.tmp", f"{folder}/offsets.parquet")
+        repeated = self.last_commit is None and not self.began and self.groups.held(self.settings.group_id, consumed)
+        known = self.groups.newest(self.settings.group_id) if self.last_commit is None else self.last_commit
+        same = all(known.get(t, {}).get(p) == last for t, parts in consumed.items() for p, last in parts.items())
+        if not same and not repeated:
+            self.groups.commit(self.settings.group_id, f"source-{self.writer}", consumed, datetime.now(timezone.utc))
         self.last_commit = consumed
 
-    # --- reading, in the tasks ---
-
-    def read(self, task: RangeTask) -> Iterator[pa.RecordBatch]:
-        filesystem, base = open_arrow(self.settings.path)
-        wanted = (ds.field("_offset") >= task.start) & (ds.field("_offset") < task.end)
-        data = ds.dataset(f"{base}/data/{task.file}", filesystem=filesystem, format="parquet")
-        # The filter skips row groups by their statistics before rows are decoded. Small
-        # batches and little read-ahead keep a task's memory low when payloads are large.
-        batches = data.to_batches(
-            columns=["_key", "_message", "_offset"],
-            filter=wanted,
-            batch_size=8192,
-            batch_readahead=2,
-            fragment_readahead=1,
-            use_threads=False,
-        )
-        for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pc.cast(batch.column("_key"), pa.binary()),
-                        pc.cast(batch.column("_message"), pa.binary()),
-                        pa.repeat(pa.scalar(task.topic, pa.string()), batch.num_rows),
-                        pa.repeat(pa.scalar(task.partition, pa.int32()), batch.num_rows),
-                        batch.column("_offset"),
-                    ],
-                    names=ENVELOPE.names,
-                )
+    def read(self, task: ScanTask) -> Iterator[pa.RecordBatch]:
+        return read_ranges(self.settings.path, task)
 
 
 def register(spark: SparkSession) -> None:
-    """Make ``format("topiclog")`` known to the session.
+    """Make ``format("topiclog")`` known to the session, and let Spark hand it predicates.
 
     The source travels to the workers by value, so they need not have the package.
     """
+    TopicLogSource.file_system = default_file_system(spark)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     cloudpickle.register_pickle_by_value(tidelog)
     try:
         spark.dataSource.register(TopicLogSource)

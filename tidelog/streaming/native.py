@@ -1,8 +1,9 @@
-"""Streaming a topic log with Spark's file source, all inside the JVM.
+"""Streaming a topic log inside the JVM: the stream follows the manifest, whose rows name the files to read.
 
-The file source hands out files by modification time, not by offset, so a batch may
-hold a later file of a partition before an earlier one. Each file is still read once;
-the group position moves only up to the first file that has not been seen.
+A manifest becomes visible at once, when its append is complete, so a half-written append is never read. A batch reads
+everything between the append that the batch before has reached and the newest one it was handed, whatever the order in which
+the file source lists them; batches follow the order of offsets. Positions come from the manifest alone: the
+records of a batch are read once, by the sink.
 """
 
 from __future__ import annotations
@@ -14,10 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.operators.envelope import subscribe
-from tidelog.operators.pin import Pinned, pin
-from tidelog.operators.scan import after_starts
-from tidelog.operators.starts import starts_after
-from tidelog.schema import BATCH_STATE, DATA_FILES, ENVELOPE, KEY, PENDING, STARTS
+from tidelog.operators.pin import pin
+from tidelog.operators.progress import merge_offsets
+from tidelog.operators.starts import require_no_gaps, starts_after
+from tidelog.schema import BATCH_STATE, KEY, MANIFEST, STARTS
 from tidelog.sources.files import is_complete
 from tidelog.sources.group_table import GroupTable
 from tidelog.sources.log_table import TopicLog
@@ -35,88 +36,51 @@ def freeze_starts(spark: SparkSession, path: str, resolve: Callable[[], DataFram
     return spark.read.schema(STARTS).parquet(path)
 
 
-def read_stream(
-    log: TopicLog,
-    topics: Sequence[str],
-    starts: DataFrame | Pinned,
-    *,
-    new_partitions: bool = False,
-    max_files_per_trigger: int | None = None,
-) -> DataFrame:
-    """Streaming envelopes past ``starts``, with the name of their data file in ``_file``.
-
-    A file name is unique within its partition. Unless ``new_partitions`` are read, a record
-    of a partition without a start fails the batch before its files count as read, also if
-    the manifest does not name the partition yet.
-    """
-    reader = log.spark.readStream.schema(DATA_FILES)
-    if max_files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    files = subscribe(reader.parquet(log.data_path), topics)
-    return after_starts(
-        files.select(*ENVELOPE.names, F.col("_metadata.file_name").alias("_file")),
-        starts,
-        new_partitions=new_partitions,
-        required=not new_partitions,
-    )
-
-
-def contiguous_offsets(
-    log: TopicLog, topics: Sequence[str], starts: DataFrame, seen: DataFrame
-) -> DataFrame:
-    """``last_offset`` per partition below which every ``file`` past ``starts`` is seen."""
-    due = (
-        subscribe(log.manifest(), topics)
-        .join(starts, KEY, "left")
-        .where(F.col("max_offset") >= F.coalesce("next_offset", F.lit(0)))
-    )
-    named = due.withColumn("file", F.substring_index("file", "/", -1))
-    flagged = named.join(seen.select(*KEY, "file", F.lit(True).alias("seen")), [*KEY, "file"], "left")
-    first_gap = F.min(F.when(F.col("seen").isNull(), F.col("min_offset")))
-    ends = flagged.groupBy(*KEY).agg(
-        F.coalesce(first_gap, F.max("max_offset") + 1).alias("reached")
-    )
-    began = F.col("next_offset") - 1
-    return starts.join(ends, KEY, "full").select(
-        *KEY, F.greatest(began, F.coalesce(F.col("reached") - 1, began)).alias("last_offset")
-    )
+def contiguous_offsets(starts: DataFrame, files: DataFrame) -> DataFrame:
+    """``last_offset`` of every started partition after reading ``files`` (manifest rows); fails, naming it, if a range is missing."""
+    require_no_gaps(files, starts)
+    return merge_offsets(starts, files.groupBy(*KEY).agg(F.max("max_offset").alias("last_offset")))
 
 
 class BatchState:
-    """What a query knows after a batch: its position, and files read beyond it.
+    """Where a query stands after a batch: its positions and the newest append that it has read.
 
-    Each batch needs the state of the one before, and the manifest. A replayed batch overwrites its own state.
+    Each batch needs the state of the one before. A replayed batch overwrites its own state.
     """
 
     def __init__(self, spark: SparkSession, log: TopicLog, query_id: str):
         self.spark = spark
         self.path = f"{log.root}/progress/{query_id}"
 
-    def load(self, batch_id: int, first: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Starts and still pending files of a batch; ``first`` begins the query."""
+    def load(self, batch_id: int, first: DataFrame) -> tuple[DataFrame, int]:
+        """Starts of a batch, and the append read last; ``first`` begins the query."""
         if batch_id == 0:
-            return first, self.spark.createDataFrame([], PENDING)
+            return first, -1
         previous = f"{self.path}/{batch_id - 1}"
         if not is_complete(self.spark, previous):
-            raise ValueError(f"no position after batch {batch_id - 1}: commits must be on from the start")
+            raise ValueError(f"no position after batch {batch_id - 1}")
         state = self.spark.read.schema(BATCH_STATE).parquet(previous)
-        return (
-            state.where("file IS NULL").select(*STARTS.names),
-            state.where("file IS NOT NULL").select(*PENDING.names),
-        )
-
-    def save(self, batch_id: int, offsets: DataFrame, seen: DataFrame) -> None:
-        beyond = seen.join(offsets, KEY).where("max_offset > last_offset").select(*PENDING.names)
-        state = starts_after(offsets).unionByName(beyond, allowMissingColumns=True)
-        state.write.mode("overwrite").parquet(f"{self.path}/{batch_id}")
-
-
-def _require_known(partitions: DataFrame, starts: DataFrame) -> None:
-    born = partitions.join(starts, KEY, "left_anti").orderBy(*KEY)
-    first = born.limit(5).collect()
-    if first:
+        done = state.agg(F.max("append")).first()[0]
+        return state.select(*STARTS.names), -1 if done is None else done
+
+    def save(self, batch_id: int, offsets: DataFrame, append: int) -> DataFrame:
+        """Keep the state; returns the positions, read back."""
+        path = f"{self.path}/{batch_id}"
+        starts_after(offsets).withColumn("append", F.lit(append).cast("bigint")).write.mode("overwrite").parquet(path)
+        state = self.spark.read.schema(BATCH_STATE).parquet(path)
+        return state.select(*KEY, (F.col("next_offset") - 1).alias("last_offset"))
+
+
+def _with_new_partitions(files: DataFrame, starts: DataFrame, allowed: bool) -> DataFrame:
+    """Starts extended by partitions that ``files`` are the first of; these are an error unless ``allowed``."""
+    born = files.join(starts, KEY, "left_anti").groupBy(*KEY).agg(F.min("min_offset").alias("next_offset"))
+    first = born.orderBy(*KEY).limit(5).collect()
+    if not first:
+        return starts
+    if not allowed:
         names = ", ".join(f"{row._topic}/{row._partition}" for row in first)
         raise ValueError(f"partition has no start offset: {names} ({born.count()} in all)")
+    return pin(starts.unionByName(born)).frame
 
 
 def start_committing(
@@ -133,46 +97,35 @@ def start_committing(
     new_partitions: bool = False,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Run ``sink`` on each batch, then commit the group's position.
+    """Run ``sink`` on the records of each batch, then commit the group's position.
 
-    A batch whose commit fails is failed and replayed, so ``sink`` must accept the
-    same ``batch_id`` again. Delivery to the group is at least once.
+    ``max_files_per_trigger`` counts appends, as each has one manifest file. A partition without a start is an
+    error, or with ``new_partitions`` read from its beginning; so is a hole in the offsets. A batch whose commit
+    fails is failed and replayed, so ``sink`` must accept the same ``batch_id`` again. Delivery to the group is at least once.
     """
     table = log.groups_path if groups is None else groups.path
-    pinned = pin(starts)
-    starts = pinned.frame
+    starts = pin(starts).frame
 
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+    def on_batch(manifests: DataFrame, batch_id: int) -> None:
+        spark = manifests.sparkSession
         here = TopicLog(spark, log.root)
-        if not commit:
-            if not new_partitions:
-                _require_known(subscribe(here.partitions(), topics), starts)
-            sink(batch.drop("_file"), batch_id)
-            return
         query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         state = BatchState(spark, here, query_id)
-        before, pending = state.load(batch_id, starts)
-        sink(batch.drop("_file"), batch_id)
-        # A second look at the files costs less than keeping the whole batch would.
-        files = batch.groupBy(*KEY, F.col("_file").alias("file")).agg(
-            F.max("_offset").alias("max_offset")
-        )
-        seen = pin(pending.unionByName(files)).frame
-        offsets = pin(contiguous_offsets(here, topics, before, seen)).frame
-        if not new_partitions:
-            _require_known(offsets, starts)
-        state.save(batch_id, offsets, seen)
-        known = None if batch_id == 0 else before.withColumn("last_offset", F.col("next_offset") - 1)
-        GroupTable(spark, table).commit(group_id, query_id, batch_id, offsets, known=known)
-
-    stream = read_stream(
-        log,
-        topics,
-        pinned,
-        new_partitions=new_partitions,
-        max_files_per_trigger=max_files_per_trigger,
-    )
+        before, done = state.load(batch_id, starts)
+        newest = manifests.agg(F.max("_append")).first()[0]
+        upto = done if newest is None else max(done, newest)
+        files = pin(subscribe(here.manifest(after=done, upto=upto), topics)).frame
+        before = _with_new_partitions(files, before, new_partitions)
+        offsets = contiguous_offsets(before, files)
+        sink(here.rows_after(before, files), batch_id)
+        offsets = state.save(batch_id, offsets, upto)
+        if commit:
+            GroupTable(spark, table).commit(group_id, query_id, batch_id, offsets)
+
+    reader = log.spark.readStream.schema(MANIFEST)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.parquet(log.manifest_path)
     return (
         stream.writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
