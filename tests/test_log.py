@@ -105,17 +105,25 @@ def test_scan_at_the_end_is_empty(spark, log):
 
 
 @pytest.mark.parametrize("new_partitions", [False, True])
-def test_large_starts_table_uses_salted_join(spark, log, new_partitions):
+def test_pinned_in_the_plan_or_in_a_file(spark, log, new_partitions):
     begin = starts(spark, ("hot", 0, 120), ("cold", 0, 10))
-    options = {"new_partitions": new_partitions, "salts": 8}
-    small = after_starts(log.rows(), begin, **options)
-    pinned = pin(begin, rows=1)
-    assert not pinned.small
-    large = after_starts(log.rows(), pinned, **options)
-    assert offsets_of(small) == offsets_of(large)
-    assert (("cold", 1) in offsets_of(small)) is new_partitions
-    assert "_salt" in large._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" not in small._jdf.queryExecution().optimizedPlan().toString()
+    kept, written = pin(begin), pin(begin, rows=1)
+    assert kept.rows is not None and written.rows is None
+    found = [offsets_of(after_starts(log.rows(), pinned, new_partitions=new_partitions)) for pinned in (kept, written)]
+    assert found[0] == found[1] and (("cold", 1) in found[0]) is new_partitions
+
+
+def test_same_plan_for_few_and_many_starts(spark, log):
+    """Operators of a scan after 10 and after 200,000 starts."""
+
+    def operators(count):
+        rows = spark.range(count).selectExpr("concat('t', id) AS _topic", "cast(id % 7 AS int) AS _partition", "id AS next_offset")
+        frame = after_starts(log.rows(), pin(rows.unionByName(starts(spark, ("hot", 0, 5)))))
+        assert offsets_of(frame) == {("hot", 0): list(range(5, 200))}
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        return [name for name in ("BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin", "Exchange hash") if name in plan]
+
+    assert operators(10) == operators(200_000) == ["BroadcastHashJoin"]
 
 
 def test_offset_range_is_half_open(log):

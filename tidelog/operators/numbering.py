@@ -67,7 +67,7 @@ def _with_chunks(rows: DataFrame, order: str, bits: int) -> DataFrame:
     total = bounds.agg(F.sum(F.size("bounds"))).first()[0]
     if not total:
         return rows.withColumn("_chunk", F.lit(0))
-    if pinned.small and total <= BROADCAST_BOUNDS:
+    if total <= BROADCAST_BOUNDS:
         bounds = F.broadcast(bounds)
     return rows.join(bounds, KEY, "left").withColumn("_chunk", _chunk(F.col("bounds"), F.col(order))).drop("bounds")
 

@@ -9,9 +9,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.scratch import ensure_checkpoints
+from tidelog.scratch import scratch
 
-#: Largest table that is kept in the plan and broadcast (rows of about 50 bytes).
+#: Most rows (of about 50 bytes) that are kept in the plan instead of a file.
 PIN_ROWS = 100_000
 
 
@@ -19,10 +19,6 @@ class Pinned(NamedTuple):
     frame: DataFrame
     rows: pa.Table | None  # the content, while it is small
 
-    @property
-    def small(self) -> bool:
-        return self.rows is not None
-
     def lowest(self, column: str) -> int | None:
         if self.rows is not None:
             return pc.min(self.rows[column]).as_py()
@@ -33,11 +29,13 @@ def pin(frame: DataFrame, rows: int = PIN_ROWS) -> Pinned:
     """Fix a table of one row per topic-partition; more than ``rows`` rows are evaluated twice.
 
     Everything derived from it then agrees even if the table it came from changes
-    meanwhile. Up to ``rows`` rows become part of the plan; more are checkpointed.
+    meanwhile. Up to ``rows`` rows become part of the plan, more are written to the shared folder. Joins are
+    planned alike for both, by Spark from the size in bytes.
     """
     spark = frame.sparkSession
     taken = frame.limit(rows + 1).toArrow()
     if taken.num_rows <= rows:
         return Pinned(spark.createDataFrame(taken, schema=frame.schema), taken)
-    ensure_checkpoints(spark)
-    return Pinned(frame.checkpoint(), None)
+    path = scratch(spark)
+    frame.write.parquet(path)
+    return Pinned(spark.read.schema(frame.schema).parquet(path), None)

@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from tidelog.operators.pin import Pinned, pin
 from tidelog.schema import ENVELOPE, KEY
 
-#: Number of ways a partition is spread when the starts table is too large to broadcast.
-SALTS = 64
-
 
 def after_starts(
     records: DataFrame,
@@ -18,14 +15,12 @@ def after_starts(
     *,
     new_partitions: bool = False,
     required: bool = False,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Records at or past the start of their partition, as envelopes plus extra columns.
 
     Works on batch and streaming records. ``starts`` holds one row per partition; it
-    is pinned, and broadcast while it is small, which leaves the log unshuffled.
-    Otherwise the join shuffles on partition and a salt taken from the offset, so
-    one hot partition still spreads over ``salts`` tasks. With ``new_partitions`` a
+    is pinned and joined on the partition: Spark broadcasts it below its own threshold in bytes, which leaves the log
+    unshuffled, and splits hot partitions of a shuffled join otherwise. With ``new_partitions`` a
     partition without a start is read from its beginning; with ``required`` a record
     of such a partition fails the job. Otherwise it is left out.
     """
@@ -36,12 +31,7 @@ def after_starts(
             records = records.where(F.col("_offset") >= low)  # reaches the parquet scan
     how = "left" if new_partitions or required else "inner"
     columns = records.columns
-    if pinned.small:
-        joined = records.join(F.broadcast(pinned.frame), KEY, how)
-    else:
-        salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-        records = records.withColumn("_salt", F.pmod("_offset", F.lit(salts)).cast("int"))
-        joined = records.join(pinned.frame.withColumn("_salt", salt), [*KEY, "_salt"], how)
+    joined = records.join(pinned.frame, KEY, how)
     absent = F.lit(0)
     if required:
         name = F.concat(F.col("_topic"), F.lit("/"), F.col("_partition").cast("string"))
