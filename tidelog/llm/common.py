@@ -6,18 +6,21 @@ that is exactly ``bytes.split()``, and ``bytes.lower()`` lowers exactly A-Z, so
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import uuid
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.scratch import scratch
 
 #: A hash memo is dropped at this many words, so that a task's memory does not grow with its vocabulary.
 MEMO_WORDS = 300_000
+#: Tables of up to this many ids (of 8 bytes) are broadcast to the rows that they decide about.
+SENT_ROWS = 1_000_000
 #: Odd multipliers for hashing a sequence of word hashes; fixed values, so that hashes agree between jobs.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -34,6 +37,21 @@ def stored(frame: DataFrame) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def fresh_name(what: str) -> str:
+    """A column name that no table has."""
+    return f"_{what}_{uuid.uuid4().hex}"
+
+
+def sent(ids: DataFrame) -> DataFrame:
+    """A written table of ids, marked for broadcast if it has at most ``SENT_ROWS`` rows; a larger one is joined by shuffle."""
+    return F.broadcast(ids) if ids.count() <= SENT_ROWS else ids
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` worked out once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def smallest_hashes(frame: DataFrame, column: str, most: int) -> DataFrame:
     """At most ``most`` rows of ``frame``, those with the smallest values of ``column``, a 64-bit hash of distinct keys.
 

@@ -28,16 +28,19 @@ domains are equally likely. Empty tables give empty results; other columns are n
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import smallest_hashes, stored
+from tidelog.llm.common import let, smallest_hashes, stored
 
 #: Domain and its share of all tokens in the mix.
 DOMAINS = {"good": 0.90, "poor": 0.06, "toxic": 0.04}
 FIT_ROWS = 20_000
 BUCKETS = 1 << 16
+#: Bytes of a row number of the word weights.
+PLACE_BYTES = 3
 SMOOTHING = 0.5
 #: Chi-squared value from which a word bucket counts, and labelled documents it must be in.
 TELLING, LEAST_SEEN = 25.0, 5
@@ -76,9 +79,14 @@ def _evidence(buckets: Column, model: tuple[list[int], list[float]]) -> Column:
     """Summed log-odds of each domain over the distinct telling words of a text: an array in the order of the domains."""
     place, weights = model
     count = len(_NAMES)
-    rows = F.split(F.lit(",".join(map(str, place))), ",").cast("array<int>")
+    # Bytes, not an array: every task holds a copy of the plan, and numbers in a plan's array are objects.
+    rows = F.lit(b"".join(row.to_bytes(PLACE_BYTES, "big") for row in place))
     table = _constant(weights or [0.0])
-    told = F.array_distinct(F.array_remove(F.transform(buckets, lambda b: F.element_at(rows, b + 1)), 0))
+
+    def row_of(bucket: Column) -> Column:
+        return F.conv(F.hex(F.substring(rows, bucket * PLACE_BYTES + 1, F.lit(PLACE_BYTES))), 16, 10).cast("int")
+
+    told = F.array_remove(F.transform(F.array_distinct(buckets), row_of), 0)
 
     def add(total: Column, row: Column) -> Column:
         return F.struct(*[(total[f"d{d}"] + F.element_at(table, (row - 1) * count + d + 1)).alias(f"d{d}") for d in range(count)])
@@ -100,7 +108,10 @@ class Membership:
     def __init__(self, weights: tuple[list[int], list[float]], priors: list[float], temperature: float):
         self.weights, self.priors, self.temperature = weights, priors, temperature
 
-    def of(self, means: str) -> list[Column]:
+    def posteriors(self, means: str | Column) -> list[Column]:
+        return [F.round(p, PLACES).alias(f"p_{name}") for name, p in zip(_NAMES, self.of(means))]
+
+    def of(self, means: str | Column) -> list[Column]:
         return _softmax([self.temperature * F.get(means, F.lit(d)) + math.log(p) for d, p in enumerate(self.priors)])
 
 
@@ -160,10 +171,10 @@ def memberships(docs: DataFrame, model: Membership) -> DataFrame:
         F.size(F.array_remove(F.split(text, "[\\x20\\x09-\\x0D]+"), "")).cast("bigint").alias("n_tokens"),
         _evidence(_buckets(text), model.weights).alias("means"),
     )
-    return means.select("doc_id", "source", "n_tokens", *[F.round(p, PLACES).alias(f"p_{name}") for name, p in zip(_NAMES, model.of("means"))])
+    return means.select("doc_id", "source", "n_tokens", *model.posteriors("means"))
 
 
-def _rates(steps: list[tuple[list[float], float]], start: Column) -> Column:
+def _rates(steps: list[tuple[list[float], float]], start: Column, posterior: Callable[[str], Column] = F.col) -> Column:
     """The rate (``r``) and its extrapolation (``y``) after the given steps, each a slope per domain and a momentum."""
     if not steps:
         return start
@@ -171,28 +182,36 @@ def _rates(steps: list[tuple[list[float], float]], start: Column) -> Column:
     width = len(_NAMES) + 1
 
     def move(state: Column, at: Column) -> Column:
-        slope = sum((F.element_at(flat, at * width + d + 1) * F.col(f"p_{name}") for d, name in enumerate(_NAMES)), F.lit(0.0))
+        slope = sum((F.element_at(flat, at * width + d + 1) * posterior(f"p_{name}") for d, name in enumerate(_NAMES)), F.lit(0.0))
         new = F.greatest(F.lit(0.0), state["y"] - slope)
         return F.struct(new.alias("r"), (new + F.element_at(flat, at * width + width) * (new - state["r"])).alias("y"))
 
     return F.aggregate(F.sequence(F.lit(0), F.lit(len(steps) - 1)), start, move)
 
 
-def fit_rates(rows: DataFrame, targets: dict[str, float] | None = None) -> tuple[Column, dict[str, float]]:
-    """The fitted rate as an expression over ``rows`` (n_tokens, p_<domain>), and each domain's expected tokens.
+def _begin() -> Column:
+    return F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y"))
+
+
+def rate_after(steps: list[tuple[list[float], float]], posterior: Callable[[str], Column] = F.col) -> Column:
+    """The rate of a row after the fitted steps; ``posterior`` gives its ``p_<domain>``."""
+    return F.round(_rates(steps, _begin(), posterior)["r"], 6)
+
+
+def fit_rates(rows: DataFrame, targets: dict[str, float] | None = None) -> tuple[list[tuple[list[float], float]], dict[str, float]]:
+    """The steps that lead to the fitted rates of ``rows`` (n_tokens, p_<domain>), and each domain's expected tokens.
 
     Accelerated projected gradient in the metric of the documents' tokens, in which the step size is at least the
     inverse of the weighted Gram matrix' trace.
     """
     shares = targets or DOMAINS
     posteriors = [f"p_{name}" for name in _NAMES]
-    begin = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y"))
-    rows = stored(rows.groupBy(*posteriors).agg(F.sum("n_tokens").alias("n_tokens")).withColumn("at", begin))
+    rows = stored(rows.groupBy(*posteriors).agg(F.sum("n_tokens").alias("n_tokens")).withColumn("at", _begin()))
     sums = [F.sum("n_tokens").alias("total")]
     sums += [F.sum(F.col("n_tokens") * F.col(f"p_{name}") ** 2).alias(name) for name in _NAMES]
     first = rows.agg(*sums).first()
     if not first.total:
-        return F.lit(1.0), {name: 0.0 for name in _NAMES}
+        return [], {name: 0.0 for name in _NAMES}
     goal = {name: max(shares[name], 1e-9) for name in _NAMES}
     # Errors count relative to a domain's target, but for targets near 0.
     weight = {name: 1 / max(goal[name], LEAST_SHARE) for name in _NAMES}
@@ -219,7 +238,7 @@ def fit_rates(rows: DataFrame, targets: dict[str, float] | None = None) -> tuple
         steps.append((slopes, (t - 1) / following))
         fresh.append(steps[-1])
         t = following
-    return _rates(steps, begin)["r"], {name: reached[name] * first.total for name in _NAMES}
+    return steps, {name: reached[name] * first.total for name in _NAMES}
 
 
 def thinned_targets(rows: DataFrame, domain: str) -> dict[str, float] | None:
@@ -239,23 +258,45 @@ def thinned_targets(rows: DataFrame, domain: str) -> dict[str, float] | None:
     return {name: round(grown * found[name] / found.total, 10) for name in _NAMES}
 
 
+def _copies(rate: Column, key: Column) -> Column:
+    """How often to read a row: its rate, with the fraction settled by a hash of its key."""
+    place = F.pmod(F.xxhash64(key, F.lit("copies")), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    return (F.floor(rate) + (place < rate - F.floor(rate)).cast("int")).cast("bigint")
+
+
 def document_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, thinned: str | None = None) -> DataFrame:
     """``doc_id, source, n_tokens, p_<domain>, rate, copies`` of every row of ``docs``.
 
     ``thinned`` names a domain to thin out, in place of given targets.
     """
     rows = stored(memberships(docs, learn(docs, labels)))
-    rate, _ = fit_rates(rows, thinned_targets(rows, thinned) if thinned else targets)
-    rated = rows.withColumn("rate", F.round(rate, 6))
-    place = F.pmod(F.xxhash64("doc_id", F.lit("copies")), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    return rated.withColumn("copies", (F.floor("rate") + (place < F.col("rate") - F.floor("rate")).cast("int")).cast("bigint"))
+    steps, _ = fit_rates(rows, thinned_targets(rows, thinned) if thinned else targets)
+    rated = rows.withColumn("rate", rate_after(steps))
+    return rated.withColumn("copies", _copies(F.col("rate"), F.col("doc_id")))
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, thinned: str | None = None) -> DataFrame:
-    """The rows of ``docs`` with at least one copy, with ``rate`` and ``copies``; of a repeated doc_id the largest rate
-    counts, and rows without doc_id have the rate 1."""
-    found = document_rates(docs, labels, targets, thinned).where("doc_id IS NOT NULL")
-    found = found.groupBy(F.col("doc_id").alias("_id")).agg(F.max("rate").alias("rate"), F.max("copies").alias("copies"))
-    clear = docs.drop("rate", "copies")
-    joined = clear.join(found, clear.doc_id.cast("bigint") == F.col("_id"), "left").drop("_id")
-    return joined.fillna({"rate": 1.0, "copies": 1}).where("copies > 0")
+    """The rows of ``docs`` with at least one copy, with ``rate`` and ``copies``, which replace columns of these names.
+
+    Of a repeated doc_id the largest rate counts, and rows without doc_id have the rate 1. A rate is an expression over a row's
+    own text, so the texts are rated where they are; only rows that share a doc_id are looked up among these.
+    """
+    model = learn(docs, labels)
+    rows = stored(memberships(docs, model))
+    steps, _ = fit_rates(rows, thinned_targets(rows, thinned) if thinned else targets)
+    # All columns of the caller in one, so that none is mistaken for a column of ours.
+    kept = [c for c in docs.columns if c not in ("rate", "copies")]
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    packed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text, F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"))
+    again = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"), F.max(rate_after(steps)).alias("best"))
+    again = stored(again.where("n > 1").select("doc_id", "best"))
+    packed = packed.withColumn("best", F.lit(None).cast("double")) if again.isEmpty() else packed.join(again, "doc_id", "left")
+
+    def decided(p: Column) -> Column:
+        return let(F.coalesce("best", rate_after(steps, lambda name: p[name])), lambda rate: F.struct(rate.alias("rate"), _copies(rate, F.col("doc_id")).alias("copies")))
+
+    own = let(_evidence(_buckets(F.col("text")), model.weights), lambda means: let(F.struct(*model.posteriors(means)), decided))
+    nameless = F.struct(F.lit(1.0).alias("rate"), F.lit(1).cast("bigint").alias("copies"))
+    # One row or none for each, made in one step: a filter would work out every text's rate twice.
+    mixed = F.filter(F.array(F.when(F.col("doc_id").isNull(), nameless).otherwise(own)), lambda m: m["copies"] > 0)
+    return packed.select("row", F.explode(mixed).alias("mixed")).select("row.*", "mixed.rate", "mixed.copies")

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import WordHashes, gram_hashes, raw_texts, signed, small_batches, stored
+from tidelog.llm.common import WordHashes, fresh_name, gram_hashes, raw_texts, sent, signed, small_batches, stored
 from tidelog.llm.components import forest
 
 SHINGLE = 5
@@ -271,12 +271,15 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     Of rows that share a doc_id one stays (smallest text first); those are gathered only where an id repeats.
     """
     found = stored(near_duplicates(docs).where("doc_id IS NOT NULL"))
-    dropped = found.where("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    again = stored(found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again")))
-    kept = docs.join(dropped, docs.doc_id == F.col("_dropped"), "left_anti")
+    gone, repeated, place = fresh_name("gone"), fresh_name("repeated"), fresh_name("place")
+    dropped = stored(found.where("NOT kept").select(F.col("doc_id").alias(gone)).distinct())
+    again = stored(found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(repeated)))
+    kept = docs.join(sent(dropped), F.col("doc_id").cast("bigint") == F.col(gone), "left_anti")
     if again.isEmpty():
         return kept
-    one = Window.partitionBy("doc_id").orderBy(*[F.col(f"`{c}`") for c in ["text", *[c for c in docs.columns if c != "text"]]])
-    single = kept.join(again, F.col("doc_id") == F.col("_again"), "left_anti")
-    first = kept.join(again, F.col("doc_id") == F.col("_again"), "left_semi").withColumn("_no", F.row_number().over(one))
-    return single.unionByName(first.where("_no = 1").drop("_no"))
+    # Rows as text, as columns of some kinds have no order.
+    one = Window.partitionBy("doc_id").orderBy("text", F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))
+    same = F.col("doc_id").cast("bigint") == F.col(repeated)
+    single = kept.join(again, same, "left_anti")
+    first = kept.join(again, same, "left_semi").withColumn(place, F.row_number().over(one))
+    return single.unionByName(first.where(F.col(place) == 1).drop(place))

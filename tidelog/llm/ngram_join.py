@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import WordHashes, gram_hashes, raw_texts, signed, small_batches, stored
+from tidelog.llm.common import WordHashes, gram_hashes, raw_texts, sent, signed, small_batches, stored
 from tidelog.llm.components import forest
 
 GRAM = 4
@@ -43,8 +43,6 @@ WIDER = 5
 ROUNDS = 2
 #: Blocks of columns in which full overlaps are accumulated.
 BLOCKS = 8
-#: Node tables of up to this many rows (of 16 bytes) are broadcast to the texts; larger ones are joined by shuffle.
-BROADCAST_ROWS = 1_000_000
 
 ROWS = "doc_id bigint, n bigint, set_id binary, block array<bigint>"
 SETS = "set_id binary, grams array<bigint>"
@@ -143,10 +141,8 @@ def _with_company(rows: DataFrame) -> DataFrame:
 
 
 def _only(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
-    """The rows whose ``column`` is among ``wanted`` (stored); the latter is broadcast if it is known to be small."""
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    return rows.join(wanted, column, "left_semi")
+    """The rows whose ``column`` is among ``wanted`` (a written table)."""
+    return rows.join(sent(wanted), column, "left_semi")
 
 
 # --- the product ---

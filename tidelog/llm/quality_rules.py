@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import stored
+from tidelog.llm.common import fresh_name, sent, stored
 
 #: ``[^\\x20\\x09-\\x0D]+`` words lie between these.
 SPACES = "[\\x20\\x09-\\x0D]+"
@@ -254,10 +254,10 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep. Rows that share a doc_id go if one of them is rejected; rows without
     doc_id are judged by the base rules alone."""
     verdicts = judged(docs.where("doc_id IS NOT NULL"))
-    rejected = verdicts.where("NOT kept").select(F.col("doc_id").alias("_rejected")).distinct()
-    named = docs.where("doc_id IS NOT NULL").join(rejected, F.col("doc_id").cast("bigint") == F.col("_rejected"), "left_anti")
-    nameless = docs.where("doc_id IS NULL").withColumn("_kept", ~_failed())
-    return named.unionByName(nameless.where("_kept").drop("_kept"))
+    name = fresh_name("rejected")
+    rejected = stored(verdicts.where("NOT kept").select(F.col("doc_id").alias(name)).distinct())
+    named = docs.where("doc_id IS NOT NULL").join(sent(rejected), F.col("doc_id").cast("bigint") == F.col(name), "left_anti")
+    return named.unionByName(docs.where("doc_id IS NULL").where(~_failed()))
 
 
 def _failed() -> Column:
