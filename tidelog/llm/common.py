@@ -78,6 +78,8 @@ def small_batches(batches: Iterable[pa.RecordBatch], column: str, most: int = 8
             end = max(begin + 1, int(np.searchsorted(ends, floor + most, side="right")))
             yield batch.slice(begin, end - begin)
             begin = end
+    # Workers outlive their task; what Arrow keeps for later would count against the next one's memory.
+    pa.default_memory_pool().release_unused()
 
 
 def raw_texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:

@@ -39,6 +39,8 @@ SAMPLE = 16
 BLOCK_ITEMS = 20_000
 #: Bytes of shards' texts that wait for each other; a longer single document is a shard of its own.
 SHARD_BYTES = 6 << 20
+#: The same where texts are rewritten, which holds each of them several times.
+REWRITTEN_BYTES = 2 << 20
 
 #: On UTF-8 bytes: all bytes of characters beyond ASCII are word bytes.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -287,7 +289,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     columns, at = docs.columns, docs.columns.index("text")
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text", SHARD_BYTES):
+        for batch in small_batches(batches, "text", REWRITTEN_BYTES):
             raw = batch.column("text").to_pylist()
             texts = [words_of((t or "").encode()) for t in raw]
             new = list(raw)
