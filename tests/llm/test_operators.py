@@ -110,7 +110,7 @@ def test_substring_duplicates(docs, rows, monkeypatch):
 
     wanted = {i: expected(w) for i, w in split.items()}
     assert any(n for _, n, _ in wanted.values())
-    for block in (4096, 2):  # the second sends all shared seeds through longer phrases and window counts
+    for block in (8192, 2, 1):  # the last sends all shared seeds through longer phrases and window counts
         monkeypatch.setattr(substring_duplicates, "BLOCK", block)
         found = by_id(substring_duplicates.digests(docs))
         assert {i: (r.n_words, r.n_removed, r.kept_sha256) for i, r in found.items()} == wanted

@@ -37,6 +37,16 @@ def stored(frame: DataFrame) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Removes tables of ``stored`` that no later work reads."""
+    for frame in frames:
+        spark = frame.sparkSession
+        for folder in {name.rsplit("/", 1)[0] for name in frame.inputFiles()}:
+            if folder.rsplit("/", 1)[1].startswith("tidelog-"):
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh_name(what: str) -> str:
     """A column name that no table has."""
     return f"_{what}_{uuid.uuid4().hex}"

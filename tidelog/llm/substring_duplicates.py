@@ -6,19 +6,20 @@ Anchors route the work. A window's anchor is its smallest run of ``SEED`` words
 so equal windows have equal anchors at equal places in them. An anchor's context is what any window around it can hold:
 ``WINDOW - SEED`` words before and after it, less at the ends of a text.
 
-1. Each text gives its anchors, some 7 for 100 words, as (seed, context) hashes. A context that occurs twice repeats all
-   windows in it, in groups of any size, by a combined count.
-2. Seeds that have several contexts are shared by texts that differ nearby. One passage of each such context goes to the
-   reference block of its seed. A block's passages are indexed by sorted suffixes, aligned at their seeds; each passage is
-   factored greedily against all others: a factor is the longest match from where the last one ended. Factors of
-   ``WINDOW`` words or more are repeated spans. Windows across the end of a factor are checked on their own, as a greedy
-   factor may end inside a window that repeats elsewhere.
-3. A seed with more than ``BLOCK`` contexts (a very common phrase) would make a block too large. Every window around it
+1. Each text gives its anchors, some 7 for 100 words, as (seed, context) hashes. Contexts are counted, and two places of
+   each are kept. Only seeds that stand in two places or more can hold repeats.
+2. One passage of each context of such a seed goes to the seed's reference block, and a second one, from another place, if
+   the context occurs twice or more; further copies add nothing. A block's passages are indexed by sorted suffixes, aligned
+   at their seeds. Each passage is parsed greedily against all others: a factor is the longest match from where the last
+   one ended. Windows inside a factor are repeated; only those across the end of a factor are looked up on their own, as
+   a greedy factor may end inside a window that repeats elsewhere. Nothing is repeated but by such a factor or look-up.
+3. A seed with more than ``BLOCK`` passages (a very common phrase) would make a block too large. Every window around it
    holds ``HALF`` more words on its left or on its right, so its passages go to the blocks of these two longer phrases.
    If one of these is still too common, its windows' hashes are counted instead: linear, exact, and never gathered.
-4. Each text gets its repeated windows back, by document, and drops their words.
+4. The verdict of a context holds wherever it occurs. Each text gets its repeated windows back and drops their words.
 
-Hashes have 64 bits for seed and context each; passages are compared word by word (64-bit hashes of words).
+Hashes have 64 bits for seed and context each, 128 bits for a row; passages are compared word by word (64-bit hashes of
+words).
 
 Nulls and repeats: a null or short text has no windows. Rows without doc_id, and rows that share one, are told apart by
 their text: rows with equal id and text are one text that occurs that many times. Empty tables give empty results; other
@@ -27,36 +28,36 @@ columns are not read.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import BASE, WordHashes, gram_hashes, mixed, raw_texts, signed, small_batches, stored
+from tidelog.llm.common import BASE, WordHashes, discard, gram_hashes, mixed, raw_texts, signed, small_batches, stored
 
 WINDOW = 35
 SEED = 8
 REACH = WINDOW - SEED
 #: Words of a full passage: a seed and its reach on both sides.
 PASSAGE = 2 * REACH + SEED
-#: Most contexts of one seed in a reference block.
-BLOCK = 4096
+#: Most passages of one seed in a reference block.
+BLOCK = 8192
 #: Words that every window has beside its seed on one side or the other.
 HALF = (REACH + 1) // 2
-#: All windows of a full passage.
-ALL = (1 << (REACH + 1)) - 1
+#: Passages that are handed on together.
+BATCH = 16_384
 
-ANCHORS = "seed bigint, context bigint, doc bigint, at int"
+ANCHORS = "seed bigint, context bigint, doc binary, at int"
 
 
-def _document(doc_id, text: bytes) -> int:
-    """Key of a row: its id and text, as a long."""
-    return xxhash.xxh3_64_intdigest(text, 0 if doc_id is None else (doc_id + 1) & (2**64 - 1)) - (1 << 63)
+def _document(doc_id, text: bytes) -> bytes:
+    """Key of a row: 128 bits of its id and text."""
+    return xxhash.xxh3_128_digest(text, 0 if doc_id is None else (doc_id + 1) & (2**64 - 1))
 
 
 def anchors(words: np.ndarray) -> np.ndarray:
@@ -77,8 +78,8 @@ def _powers(count: int) -> np.ndarray:
 INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
 
 
-def _contexts(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bounds and hashes of the contexts of anchors; the hash also holds where in its context an anchor lies."""
+def _contexts(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hashes of the contexts of anchors, which also hold where in its context an anchor lies."""
     low, high = np.maximum(at - REACH, 0), np.minimum(at + SEED + REACH, len(words))
     powers = _powers(len(words))
     sums = np.zeros(len(words) + 1, np.uint64)
@@ -87,7 +88,7 @@ def _contexts(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     back[0] = 1
     back = np.multiply.accumulate(back)
     spread = (sums[high] - sums[low]) * back[low]
-    return low, high, mixed(spread ^ mixed((at - low).astype(np.uint64) * np.uint64(131) + (high - at).astype(np.uint64)))
+    return mixed(spread ^ mixed((at - low).astype(np.uint64) * np.uint64(131) + (high - at).astype(np.uint64)))
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,10 +100,11 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = anchors(words)
             if len(at):
                 seeds = gram_hashes(words, SEED)[at]
-                found.append((seeds, _contexts(words, at)[2], np.full(len(at), _document(doc_id, text)), at))
+                found.append((seeds, _contexts(words, at), at, pa.repeat(pa.scalar(_document(doc_id, text), pa.binary()), len(at))))
         if found:
-            seeds, contexts, docs, at = map(np.concatenate, zip(*found))
-            columns = [pa.array(signed(seeds)), pa.array(signed(contexts)), pa.array(docs), pa.array(at.astype(np.int32))]
+            *numbers, docs = zip(*found)
+            seeds, contexts, at = map(np.concatenate, numbers)
+            columns = [pa.array(signed(seeds)), pa.array(signed(contexts)), pa.concat_arrays(docs), pa.array(at.astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, ["seed", "context", "doc", "at"])
 
 
@@ -113,14 +115,24 @@ def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Passages of the wanted anchors of each text: ``wanted`` lists (at, seed, context, large)."""
     memo = WordHashes()
     for batch in small_batches(batches, "text"):
-        rows = []
-        for text, wanted in zip(raw_texts(batch), batch.column("wanted").to_pylist()):
+        wanted = batch.column("wanted")
+        places, seeds, contexts, large = wanted.flatten().flatten()
+        places, begin = places.to_numpy().astype(np.int64), 0
+        for text, count in zip(raw_texts(batch), pc.list_value_length(wanted).to_pylist()):
             words = memo.of(text.split())
-            for want in wanted:
-                at = want["at"]
-                low, high = max(at - REACH, 0), min(at + SEED + REACH, len(words))
-                rows.append((want["seed"], want["seed"], want["context"], want["large"], at - low, words[low:high].tobytes()))
-        yield _passage_batch(rows)
+            for first in range(begin, begin + count, BATCH):
+                many = min(BATCH, begin + count - first)
+                at = places[first : first + many]
+                low = np.maximum(at - REACH, 0)
+                sizes = np.minimum(at + SEED + REACH, len(words)) - low
+                ends = np.cumsum(sizes)
+                taken = words[np.arange(ends[-1]) + np.repeat(low - ends + sizes, sizes)]
+                offsets = np.concatenate([[0], 8 * ends]).astype(np.int32)
+                cut = pa.Array.from_buffers(pa.binary(), many, [None, pa.py_buffer(offsets), pa.py_buffer(taken)])
+                seed = seeds.slice(first, many)
+                columns = [seed, seed, contexts.slice(first, many), large.slice(first, many), pa.array((at - low).astype(np.int32)), cut]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "seed", "context", "large", "left", "words"])
+            begin += count
 
 
 def _passage_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -143,205 +155,185 @@ def _halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class ReferenceBlock:
-    """Suffixes of a block's passages in sorted order, with the length that each shares with its best neighbour.
+    """The sorted suffixes of a block's passages, and the greedy parse of each passage against all others.
 
-    Passages stand in rows of ``PASSAGE`` symbols, their seeds in one column. A symbol is a word at its column of one
-    seed's passages, so that only aligned passages of one seed match; what a passage lacks is unlike everything.
+    Passages stand in rows of ``PASSAGE`` symbols, their seeds in one column. A symbol is a word among the passages of one
+    key, so that only aligned passages of one key match; what a passage lacks is 0.
     """
 
-    def __init__(self, groups: np.ndarray, lefts: np.ndarray, passages: list[np.ndarray]):
-        rows = len(passages)
-        grid = np.zeros((rows, PASSAGE), np.uint64)
-        self.real = np.zeros((rows, PASSAGE), bool)
-        for row, (left, words) in enumerate(zip(lefts, passages)):
-            begin = REACH - left
-            grid[row, begin : begin + len(words)] = words
-            self.real[row, begin : begin + len(words)] = True
-        place = np.arange(PASSAGE, dtype=np.uint64) * MULTIPLIER
-        grid = mixed(grid ^ mixed(groups.astype(np.uint64)[:, None] * BASE + place))
-        lacking = ~self.real
-        grid[lacking] = mixed(np.arange(1, int(lacking.sum()) + 1, dtype=np.uint64))
-        self.longest = self._longest_matches(grid)
-
-    @staticmethod
-    def _longest_matches(grid: np.ndarray) -> np.ndarray:
-        """For each place the longest match of its suffix with another passage: doubling ranks, then neighbours."""
-        rows, width = grid.shape
-        rank = np.unique(grid, return_inverse=True)[1].reshape(grid.shape).astype(np.int64) + 1
-        ranks, length = [rank], 1
-        while length < width:
-            # The pair of ranks at i and i + length orders suffixes by twice the length; 0 is past the passage's end.
-            pair = rank * (rows * width + 2)
-            pair[:, : width - length] += rank[:, length:]
-            rank = np.unique(pair, return_inverse=True)[1].reshape(grid.shape).astype(np.int64) + 1
-            ranks.append(rank)
-            length *= 2
-        order = np.argsort(rank.reshape(-1), kind="stable")
-        one, two = order[:-1], order[1:]
-        shared = np.zeros(len(one), np.int64)
-        for level in range(len(ranks) - 1, -1, -1):
-            flat = ranks[level].reshape(-1)
-            inside = np.flatnonzero((one % width + shared < width) & (two % width + shared < width))
-            same = flat[one[inside] + shared[inside]] == flat[two[inside] + shared[inside]]
-            shared[inside] += same * (1 << level)
-        shared = np.minimum(shared, width - np.maximum(one % width, two % width))
-        best = np.zeros(rows * width, np.int64)
-        np.maximum.at(best, one, shared)
-        np.maximum.at(best, two, shared)
-        return best.reshape(grid.shape)
+    def __init__(self, keys: np.ndarray, lefts: np.ndarray, sizes: np.ndarray, words: np.ndarray):
+        self.first = REACH - lefts
+        self.stop = self.first + sizes
+        column = np.arange(PASSAGE)
+        real = (column >= self.first[:, None]) & (column < self.stop[:, None])
+        self.symbols = np.zeros(real.shape, np.uint64)
+        self.symbols[real] = mixed(words ^ np.repeat(mixed(keys.astype(np.uint64)), sizes))
+        # Suffixes are sorted from the last column on: a stable sort by one symbol keeps the order of what follows it.
+        order = np.arange(len(keys))
+        self.order, self.place = {}, {}
+        for at in range(PASSAGE - 1, -1, -1):
+            order = order[np.argsort(self.symbols[order, at], kind="stable")]
+            if at <= REACH:
+                self.order[at], self.place[at] = order, np.empty_like(order)
+                self.place[at][order] = np.arange(len(order))
+
+    def longest(self, rows: np.ndarray, column: int) -> np.ndarray:
+        """Length of the longest match with another passage, from a column on: one of the suffix's two neighbours has it."""
+        order, place = self.order[column], self.place[column][rows]
+        best = np.zeros(len(rows), np.int64)
+        for side in (-1, 1):
+            there = np.flatnonzero((place + side >= 0) & (place + side < len(order)))
+            same = self.symbols[rows[there], column:] == self.symbols[order[place[there] + side], column:]
+            length = np.where(same.all(axis=1), PASSAGE - column, same.argmin(axis=1))
+            best[there] = np.maximum(best[there], length)
+        return np.minimum(best, self.stop[rows] - column)
 
     def repeated_windows(self) -> np.ndarray:
         """For each passage a mask of its repeated windows; bit j is the window from column j."""
-        rows = len(self.longest)
-        masks = np.zeros(rows, np.int64)
-        at = np.where(self.real.any(axis=1), self.real.argmax(axis=1), PASSAGE)
-        live = np.arange(rows)
-        last = PASSAGE - WINDOW
-        while len(live):
-            begin = at[live]
-            factor = np.maximum(self.longest[live, begin], 1)
-            end = begin + factor
-            for column in range(last + 1):
-                # Inside a long factor; or across its end, where the window's own match decides.
-                inside = (begin <= column) & (column + WINDOW <= end)
-                across = (begin <= column) & (column < end) & (column + WINDOW > end)
-                hit = inside | (across & (self.longest[live, column] >= WINDOW))
-                masks[live[hit]] |= 1 << column
-            at[live] = end
-            live = live[end <= last]
+        masks, end = np.zeros(len(self.first), np.int64), self.first.copy()
+        for column in range(REACH + 1):
+            here = (self.first <= column) & (column + WINDOW <= self.stop)
+            inside = here & (column + WINDOW <= end)
+            masks[inside] |= 1 << column
+            # What is left starts a factor, or lies across the end of one.
+            rows = np.flatnonzero(here & ~inside)
+            length = self.longest(rows, column)
+            masks[rows[length >= WINDOW]] |= 1 << column
+            begins = end[rows] == column
+            end[rows[begins]] = column + np.maximum(length[begins], 1)
         return masks
 
 
-MULTIPLIER = np.uint64(0xD6E8FEB86659FD93)
+def _differs(rows: pa.Table, back: int) -> np.ndarray:
+    """Which rows have another key, seed or context than the one so many rows before."""
+    out = np.ones(rows.num_rows, bool)
+    if rows.num_rows > back:
+        out[back:] = False
+        for name in ("key", "seed", "context"):
+            values = rows.column(name).to_numpy()
+            out[back:] |= values[back:] != values[:-back]
+    return out
 
 
 def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Repeated windows of the passages of one partition; its rows come sorted by key, seed and context."""
-    kept: list[tuple] = []
+    kept = None
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("key", "seed", "context", "left", "words"))):
-            if not kept or row[:3] != kept[-1][:3]:  # a passage comes again where rows share id and text
-                kept.append(row)
-        while len(kept) > 2 * BLOCK:
-            # Cut at the end of a key after a full block; a key has at most BLOCK passages.
-            cut = BLOCK
-            while cut < len(kept) and kept[cut][0] == kept[cut - 1][0]:
-                cut += 1
-            if cut == len(kept):
-                break
-            yield _block(kept[:cut])
-            kept = kept[cut:]
-    if kept:
-        yield _block(kept)
-
-
-def _block(rows: list[tuple]) -> pa.RecordBatch:
-    keys, seeds, contexts, lefts, words = zip(*rows)
-    block = ReferenceBlock(np.array(keys), np.array(lefts), [np.frombuffer(w, np.uint64) for w in words])
-    columns = [pa.array(seeds, pa.int64()), pa.array(contexts, pa.int64()), pa.array(block.repeated_windows())]
-    return pa.RecordBatch.from_arrays(columns, ["seed", "context", "mask"])
+        rows = pa.Table.from_batches([batch])
+        kept = rows if kept is None else pa.concat_tables([kept, rows])
+        # Two passages of a context tell all; more come where rows share id and text.
+        kept = kept.filter(pa.array(_differs(kept, 2)))
+        if kept.num_rows > 2 * BLOCK:
+            keys = kept.column("key").to_numpy()
+            cut = int(np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))[-1])
+            if cut:  # the last key may go on
+                yield from _blocks(kept.slice(0, cut))
+                kept = kept.slice(cut).combine_chunks()
+    if kept is not None and kept.num_rows:
+        yield from _blocks(kept)
+
+
+def _blocks(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    words = rows.column("words")
+    block = ReferenceBlock(
+        rows.column("key").to_numpy(),
+        rows.column("left").to_numpy().astype(np.int64),
+        pc.binary_length(words).to_numpy().astype(np.int64) // 8,
+        np.frombuffer(b"".join(words.to_pylist()), np.uint64),
+    )
+    masks = block.repeated_windows()
+    told = np.flatnonzero((masks != 0) & _differs(rows, 1))
+    columns = [rows.column(c).to_numpy()[told] for c in ("seed", "context")]
+    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(masks[told])], ["seed", "context", "mask"])
+
+
+WINDOWS = "key bigint, seed bigint, context bigint, column int, window bigint"
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Window hashes of passages: (seed, context, column, window)."""
+    """Window hashes of passages."""
     for batch in batches:
         out = []
-        for seed, context, left, words in zip(*(batch.column(c).to_pylist() for c in ("seed", "context", "left", "words"))):
+        for key, seed, context, left, words in zip(*(batch.column(c).to_pylist() for c in ("key", "seed", "context", "left", "words"))):
             hashes = gram_hashes(np.frombuffer(words, np.uint64), WINDOW)
-            out += [(seed, context, REACH - left + k, h) for k, h in enumerate(signed(hashes).tolist())]
-        columns = list(zip(*out)) if out else [(), (), (), ()]
-        types = [pa.int64(), pa.int64(), pa.int32(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], ["seed", "context", "column", "window"])
+            out += [(key, seed, context, REACH - left + k, h) for k, h in enumerate(signed(hashes).tolist())]
+        columns = list(zip(*out)) if out else [()] * 5
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], ["key", "seed", "context", "column", "window"])
 
 
 def repeated_contexts(texts: DataFrame) -> DataFrame:
     """``doc, spots``: for each text with repeated windows the anchors' places and masks of windows."""
     found = stored(texts.mapInArrow(_anchor_rows, ANCHORS))
-    contexts = stored(
-        found.groupBy("seed", "context").agg(F.count("*").alias("n"), F.min(F.struct("doc", "at")).alias("first"))
+    place = F.struct("doc", "at")
+    contexts = stored(found.groupBy("seed", "context").agg(F.count("*").alias("n"), F.min(place).alias("one"), F.max(place).alias("other")))
+    seeds = contexts.groupBy("seed").agg(F.sum(F.least("n", F.lit(2))).alias("passages")).where("passages > 1")
+    wanted = contexts.join(seeds, "seed").select(
+        "seed", "context", (F.col("passages") > BLOCK).alias("large"), F.explode(F.array_distinct(F.array("one", "other"))).alias("place")
     )
-    seeds = contexts.groupBy("seed").agg(F.count("*").alias("contexts")).where("contexts > 1")
-    several = contexts.join(seeds, "seed")
-    # Contexts that occur twice are repeated as a whole; they stay in the blocks as a reference for the others.
-    wanted = several.select(
-        F.col("first.doc").alias("doc"), F.struct(F.col("first.at").alias("at"), "seed", "context", (F.col("contexts") > BLOCK).alias("large")).alias("want")
-    )
-    wanted = wanted.groupBy("doc").agg(F.collect_list("want").alias("wanted"))
+    wanted = wanted.groupBy("place.doc").agg(F.collect_list(F.struct("place.at", "seed", "context", "large")).alias("wanted"))
     passages = stored(texts.join(wanted, "doc").select("text", "wanted").mapInArrow(_passages, PASSAGES))
     columns = ["key", "seed", "context", "left", "words"]
-    longer = stored(passages.where("large").mapInArrow(_halves, PASSAGES))
-    sizes = longer.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    longer = longer.join(sizes, "key")
+    halves = stored(passages.where("large").mapInArrow(_halves, PASSAGES))
+    sizes = halves.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    longer = halves.join(sizes, "key")
     small = passages.where("NOT large").select(*columns).unionByName(longer.where(F.col("n") <= BLOCK).select(*columns))
     blocks = small.repartition("key").sortWithinPartitions("key", "seed", "context")
     factored = blocks.mapInArrow(_block_rows, "seed bigint, context bigint, mask bigint")
-    windows = longer.where(F.col("n") > BLOCK).mapInArrow(_window_rows, "seed bigint, context bigint, column int, window bigint")
-    common = windows.groupBy("seed", "column", "window").agg(F.min("context").alias("a"), F.max("context").alias("b"))
-    common = common.where("a <> b").drop("a", "b")
-    counted = windows.join(common, ["seed", "column", "window"]).groupBy("seed", "context").agg(
+    windows = longer.where(F.col("n") > BLOCK).mapInArrow(_window_rows, WINDOWS)
+    # Two passages of one key are two places, so a window that comes twice there is repeated.
+    common = windows.groupBy("key", "column", "window").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    counted = windows.join(common, ["key", "column", "window"]).groupBy("seed", "context").agg(
         F.expr("bit_or(shiftleft(1L, `column`))").alias("mask")
     )
-    whole = contexts.where("n > 1").select("seed", "context", F.lit(ALL).cast("bigint").alias("mask"))
-    masks = stored(whole.unionByName(factored).unionByName(counted).where("mask <> 0"))
+    masks = stored(factored.unionByName(counted))
+    discard(contexts, passages, halves)
     return found.join(masks, ["seed", "context"]).groupBy("doc").agg(F.collect_set(F.struct("at", "mask")).alias("spots"))
 
 
-def removed_words(count: int, spots: list[dict]) -> np.ndarray:
-    """Which of a text's words lie in a repeated window."""
-    edges = np.zeros(count + 1, np.int64)
-    for spot in spots:
-        if spot["mask"] == ALL:  # its windows join up
-            low, high = max(spot["at"] - REACH, 0), min(spot["at"] + SEED + REACH, count)
-            edges[low] += 1
-            edges[high] -= 1
-            continue
-        for column in range(REACH + 1):
-            begin = spot["at"] - REACH + column
-            if spot["mask"] >> column & 1 and 0 <= begin <= count - WINDOW:
-                edges[begin] += 1
-                edges[begin + WINDOW] -= 1
-    return np.cumsum(edges[:-1]) > 0
+def removed_words(count: int, at: np.ndarray, masks: np.ndarray) -> np.ndarray:
+    """Which of a text's words lie in a repeated window, by the places of its anchors and their masks."""
+    column = np.arange(REACH + 1)
+    begins = (at[:, None] - REACH + column)[(masks[:, None] >> column & 1) > 0]
+    edges = np.bincount(begins, minlength=count + 1) - np.bincount(begins + WINDOW, minlength=count + 1)
+    return np.cumsum(edges[:count]) > 0
 
 
-CUT = "doc_id bigint, n_words bigint, removed binary, kept string"
+CUT = "doc_id bigint, n_words bigint, n_removed bigint, removed array<array<int>>, kept string"
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches, "text"):
-        counts, masks, kept = [], [], []
-        for text, spots in zip(raw_texts(batch), batch.column("spots").to_pylist()):
+        counts, gone, spans, kept, begin = [], [], [], [], 0
+        spots = batch.column("spots")
+        places, masks = (x.to_numpy().astype(np.int64) for x in spots.flatten().flatten())
+        for text, size in zip(raw_texts(batch), pc.list_value_length(spots).fill_null(0).to_pylist()):
             words = text.split()
-            removed = removed_words(len(words), spots or [])
-            counts.append(len(words)), masks.append(removed.tobytes())
-            kept.append(b" ".join([w for w, r in zip(words, removed) if not r] if removed.any() else words).decode())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(masks, pa.binary()), pa.array(kept)], ["doc_id", "n_words", "removed", "kept"]
-        )
+            removed = removed_words(len(words), places[begin : begin + size], masks[begin : begin + size])
+            begin += size
+            counts.append(len(words)), gone.append(int(removed.sum()))
+            spans.append(np.flatnonzero(np.diff(removed, prepend=False, append=False)).reshape(-1, 2).tolist())
+            kept.append(b" ".join([w for w, r in zip(words, removed) if not r] if removed.any() else words))
+        columns = [pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, pa.list_(pa.list_(pa.int32())))]
+        columns.append(pa.array(kept, pa.binary()).cast(pa.string()))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n_words", "n_removed", "removed", "kept"])
 
 
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys = [_document(i, t) for i, t in zip(batch.column("doc_id").to_pylist(), raw_texts(batch))]
-        yield batch.append_column("doc", pa.array(keys, pa.int64()))
+        yield batch.append_column("doc", pa.array(keys, pa.binary()))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_words, removed, kept`` of every row of ``docs``: a byte per word, and the text without them."""
+    """``doc_id, n_words, n_removed, removed, kept`` of every row of ``docs``: the removed spans ``[begin, end)`` of words,
+    and the text without them."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    keyed = texts.mapInArrow(_keyed, "doc_id bigint, text string, doc bigint")
+    keyed = texts.mapInArrow(_keyed, "doc_id bigint, text string, doc binary")
     spots = repeated_contexts(keyed)
     return keyed.join(spots, "doc", "left").select("doc_id", "text", "spots").mapInArrow(_cut, CUT)
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        hashes = [hashlib.sha256(t).hexdigest() for t in raw_texts(batch, "kept")]
-        removed = [sum(m) for m in batch.column("removed").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("n_words"), pa.array(removed, pa.int64()), pa.array(hashes)],
-            ["doc_id", "n_words", "n_removed", "kept_sha256"],
-        )
-
-
 def digests(docs: DataFrame) -> DataFrame:
-    return without_repeats(docs).mapInArrow(_digest, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
+    """The counts of ``without_repeats`` and the hash of what it keeps."""
+    return without_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
