@@ -2,6 +2,50 @@
 
 from __future__ import annotations
 
+#: Query parameters that name a visit.
+_VISIT = "^(utm_[a-z]+|gclid|fbclid|sessionid|sid|phpsessid|ref)="
+
+OP5 = rf"""
+WITH page AS (
+  SELECT page_id, url, md5(coalesce(html, '')) AS digest, 1700000000 + 60 * page_id AS ts, 'day ' || (page_id // 100) AS day,
+    regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare
+  FROM pages
+), part AS (
+  SELECT *, regexp_replace(lower(regexp_extract(bare, '^[^/?]*')), ':(80|443)$', '') AS host, regexp_replace(bare, '^[^/?]*', '') AS rest
+  FROM page
+), place AS (
+  SELECT * REPLACE (
+    regexp_replace(host, '^(www|m)\.', '') || regexp_replace(regexp_extract(rest, '^[^?]*'), '/+$', '') || CASE WHEN kept = '' THEN '' ELSE '?' || kept END AS url
+  ) FROM (
+    SELECT *, array_to_string(list_sort(list_filter(
+      string_split(regexp_replace(rest, '^[^?]*\??', ''), '&'), lambda q: q <> '' AND NOT regexp_matches(q, '{_VISIT}'))), '&') AS kept
+    FROM part
+  )
+), response AS (
+  SELECT url, ts, 4 * page_id AS response_id, digest AS tag, day FROM place
+  UNION ALL
+  SELECT url, ts + 43200, 4 * page_id + 1, CASE WHEN page_id % 3 = 0 THEN md5(digest || '-2') ELSE digest END, day FROM place
+), newest AS (
+  SELECT * FROM response WHERE url IS NOT NULL AND ts IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY url, ts ORDER BY response_id DESC, tag DESC) = 1
+), revisit AS (
+  SELECT 4 * page_id + 2 AS record_id, url, ts + CASE WHEN page_id % 13 = 0 THEN -3600 WHEN page_id % 2 = 0 THEN 86400 ELSE 20000 END AS ts,
+    CASE WHEN page_id % 11 = 0 OR page_id % 7 = 0 THEN NULL WHEN page_id % 5 = 0 THEN 'changed' ELSE digest END AS named_tag,
+    CASE WHEN page_id % 11 <> 0 AND page_id % 7 = 0 THEN day END AS named_day
+  FROM place
+), found AS (
+  SELECT r.record_id, r.url, named_tag, named_day, response_id, tag, day,
+    CASE WHEN response_id IS NULL THEN 'no-earlier-response' WHEN named_tag IS NULL AND named_day IS NULL THEN 'no-validator'
+      WHEN coalesce(named_tag = tag, named_day = day) THEN 'resolved' ELSE 'stale' END AS outcome
+  FROM revisit AS r ASOF LEFT JOIN newest AS s ON r.url = s.url AND r.ts > s.ts
+)
+SELECT record_id, url, outcome, CASE WHEN outcome = 'resolved' THEN response_id END AS response_id,
+  CASE WHEN outcome = 'resolved' THEN CAST(200 AS INTEGER) END AS status, CASE WHEN outcome = 'resolved' THEN tag END AS payload_digest,
+  CASE WHEN outcome = 'resolved' THEN 'cache-control: max-age=120' || chr(10) || 'content-type: text/html' || chr(10) ||
+    'etag: ' || coalesce('W/"' || named_tag || '"', '"' || tag || '"') || chr(10) || 'last-modified: ' || coalesce(named_day, day) END AS headers
+FROM found
+"""
+
 #: Words of the lower-cased text, by the class that decontamination uses.
 _ITEM_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -30,6 +74,24 @@ FROM doc LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
+OP8 = f"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents
+), place AS (
+  SELECT r, k, array_to_string(w[k:k + 34], ' ') AS g FROM doc, unnest(range(1, len(w) - 33)) AS u(k) WHERE len(w) >= 35
+), repeated AS (
+  SELECT r, k FROM place WHERE g IN (SELECT g FROM place GROUP BY g HAVING count(*) > 1)
+), gone AS (
+  SELECT DISTINCT r, p FROM repeated, unnest(range(k, k + 35)) AS u(p)
+), word AS (
+  SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM doc
+), kept AS (
+  SELECT r, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (r, p) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (r)
+"""
+
 OP10 = f"""
 WITH RECURSIVE doc AS (
   SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w
@@ -167,7 +229,9 @@ FROM doc LEFT JOIN class USING (doc_id) LEFT JOIN component ON node = class.rep
 """
 
 ORACLE = {
+    "op5_revisits": OP5,
     "op6_decontamination": OP6,
+    "op8_substring_dedup": OP8,
     "op10_near_duplicates": OP10,
     "op11_merkle_manifest": OP11,
     "op12_centroid_clusters": OP12,

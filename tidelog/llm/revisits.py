@@ -11,8 +11,8 @@ means for the following ones is carried by one row for each URL and partition it
 result refers to the record that has it.
 
 Nulls and repeats: records without URL or time are not resolved ("no-earlier-response"); of several responses at one
-time the largest record id counts; a response at the revisit's own time is not earlier; repeated revisits each give a
-row. Empty tables give empty results; other columns are not read.
+time the largest record id counts (none is smallest), then the largest payload digest; a response at the revisit's own
+time is not earlier; repeated revisits each give a row. Empty tables give empty results; other columns are not read.
 """
 
 from __future__ import annotations
@@ -71,12 +71,12 @@ def latest_responses(records: DataFrame) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     response = F.struct("ts", "record_id", "status", "headers", "payload_digest")
     placed = records.where("url IS NOT NULL AND ts IS NOT NULL").select(
-        "record_id", "kind", "url", "ts", "headers", F.when(F.col("kind") == "response", response).alias("response")
+        "record_id", "kind", "url", "ts", "headers", "payload_digest", F.when(F.col("kind") == "response", response).alias("response")
     )
     placed = stored(placed.repartitionByRange(parts, "url", "ts").withColumn("part", F.spark_partition_id()))
     # Structs with maps have no order, so the running maximum is over time and id, and keeps the rest beside it.
     earlier = Window.partitionBy("url", "part").orderBy("ts").rangeBetween(Window.unboundedPreceding, -1)
-    best = F.max_by("response", F.when(F.col("response").isNotNull(), F.struct("ts", "record_id")))
+    best = F.max_by("response", F.when(F.col("response").isNotNull(), F.struct("ts", "record_id", "payload_digest")))
     found = placed.withColumn("found", best.over(earlier)).where("kind = 'revisit'")
     ends = placed.groupBy("url", "part").agg(best.alias("last"))
     spanning = ends.groupBy("url").agg(F.count("*").alias("n")).where("n > 1").select("url")
@@ -126,39 +126,46 @@ def resolve(records: DataFrame) -> DataFrame:
 
 
 def captures_of(pages: DataFrame) -> DataFrame:
-    """WARC records derived from a table of pages: a response of every page, and revisits of most.
+    """WARC records derived from a table of pages: two dated responses and one revisit of every page.
 
-    A page's response has its id and is dated by it. Pages with an even id are visited again a day later; every fifth
-    visit finds a changed entity tag, every seventh names a date only, every eleventh has no validator at all.
+    A page's first response is dated by its id, the second one follows half a day later; every third page has changed by
+    then, and with it its entity tag and payload. Every page is visited again: even ids a day after the first response,
+    odd ones between the two, every thirteenth id before both. The visit names the first response's tag; every fifth one
+    finds another tag, every seventh names a date only, every eleventh has no validator at all. Rows without page_id or
+    url give records that are not resolved.
     """
-    page = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", F.md5(F.coalesce("html", F.lit(""))).alias("digest"))
-    ts = F.col("page_id") * 60 + EPOCH
-    date = F.concat(F.lit("day "), F.floor(F.col("page_id") / 100).cast("string"))
-    response = page.select(
-        (2 * F.col("page_id")).alias("record_id"),
-        F.lit("response").alias("kind"),
-        F.col("url").alias("target_uri"),
-        ts.alias("ts"),
-        F.lit(200).alias("status"),
-        F.concat(
-            F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nETag: \""), F.col("digest"), F.lit("\"\r\nLast-Modified: "), date,
-            F.lit("\r\nCache-Control: max-age=60\r\n\r\n"),
-        ).alias("http"),
-        F.col("digest").alias("payload_digest"),
-    )
-    tag = F.when(F.col("page_id") % 5 == 0, F.lit("changed")).otherwise(F.col("digest"))
+    number = F.col("page_id")
+    page = pages.select(number.cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.md5(F.coalesce("html", F.lit(""))).alias("digest"))
+    ts = number * 60 + EPOCH
+    date = F.concat(F.lit("day "), F.floor(number / 100).cast("string"))
+
+    def response(place: int, seconds: int, digest: Column) -> DataFrame:
+        head = F.concat(F.lit('HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nETag: "'), digest, F.lit('"\r\nLast-Modified: '), date)
+        return page.select(
+            (4 * number + place).alias("record_id"),
+            F.lit("response").alias("kind"),
+            F.col("url").alias("target_uri"),
+            (ts + seconds).alias("ts"),
+            F.lit(200).alias("status"),
+            F.concat(head, F.lit("\r\nCache-Control: max-age=60\r\n\r\n")).alias("http"),
+            digest.alias("payload_digest"),
+        )
+
+    tag = F.when(number % 5 == 0, F.lit("changed")).otherwise(F.col("digest"))
     validator = (
-        F.when(F.col("page_id") % 11 == 0, F.lit(""))
-        .when(F.col("page_id") % 7 == 0, F.concat(F.lit("Last-Modified: "), date, F.lit("\r\n")))
-        .otherwise(F.concat(F.lit("ETag: W/\""), tag, F.lit("\"\r\n")))
+        F.when(number % 11 == 0, F.lit(""))
+        .when(number % 7 == 0, F.concat(F.lit("Last-Modified: "), date, F.lit("\r\n")))
+        .otherwise(F.concat(F.lit('ETag: W/"'), tag, F.lit('"\r\n')))
     )
-    revisit = page.where("page_id % 2 = 0").select(
-        (2 * F.col("page_id") + 1).alias("record_id"),
+    later = F.when(number % 13 == 0, -3600).when(number % 2 == 0, 86_400).otherwise(20_000)
+    revisit = page.select(
+        (4 * number + 2).alias("record_id"),
         F.lit("revisit").alias("kind"),
         F.col("url").alias("target_uri"),
-        (ts + 86_400).alias("ts"),
+        (ts + later).alias("ts"),
         F.lit(304).alias("status"),
         F.concat(F.lit("HTTP/1.1 304 Not Modified\r\n"), validator, F.lit("Cache-Control: max-age=120\r\nContent-Type: text/plain\r\n\r\n")).alias("http"),
         F.lit(None).cast("string").alias("payload_digest"),
     )
-    return response.unionByName(revisit)
+    changed = F.when(number % 3 == 0, F.md5(F.concat("digest", F.lit("-2")))).otherwise(F.col("digest"))
+    return response(0, 0, F.col("digest")).unionByName(response(1, 43_200, changed)).unionByName(revisit)
