@@ -3,8 +3,8 @@
 A window is ``WINDOW`` consecutive words. Every word covered by a window that also starts elsewhere is removed.
 
 Anchors route the work. A window's anchor is its smallest run of ``SEED`` words by hash (the first one, if it repeats),
-so equal windows have equal anchors at equal places in them. An anchor's context is what any window around it can hold:
-``WINDOW - SEED`` words before and after it, less at the ends of a text.
+so equal windows have equal anchors at equal places in them. The windows of one anchor follow each other; its context is
+what they hold, at most ``WINDOW - SEED`` words before and after it.
 
 1. Each text gives its anchors, some 7 for 100 words, as (seed, context) hashes. Contexts are counted, and two places of
    each are kept. Only seeds that stand in two places or more can hold repeats.
@@ -52,7 +52,7 @@ HALF = (REACH + 1) // 2
 #: Passages that are handed on together.
 BATCH = 16_384
 
-ANCHORS = "seed bigint, context bigint, doc binary, at int"
+ANCHORS = "seed bigint, context bigint, doc binary, spot bigint"
 
 
 def _document(doc_id, text: bytes) -> bytes:
@@ -60,12 +60,26 @@ def _document(doc_id, text: bytes) -> bytes:
     return xxhash.xxh3_128_digest(text, 0 if doc_id is None else (doc_id + 1) & (2**64 - 1))
 
 
-def anchors(words: np.ndarray) -> np.ndarray:
-    """Places of the anchors of all windows of one text."""
-    seeds = gram_hashes(words, SEED)
+def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors of all windows of one text: their hashes, places, and how many words their windows hold before and after."""
     if len(words) < WINDOW:
-        return np.zeros(0, np.int64)
-    return np.unique(sliding_window_view(seeds, REACH + 1).argmin(axis=1) + np.arange(len(words) - WINDOW + 1))
+        none = np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), none, none, none
+    seeds = gram_hashes(words, SEED)
+    owners = sliding_window_view(seeds, REACH + 1).argmin(axis=1) + np.arange(len(words) - WINDOW + 1)
+    first = np.flatnonzero(np.diff(owners, prepend=-1))
+    at = owners[first]
+    last = np.append(first[1:], len(owners)) - 1
+    return seeds[at], at, at - first, last + REACH - at
+
+
+def _spots(at: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Place and reach of anchors in one number each."""
+    return at << 12 | left << 6 | right
+
+
+def _unpacked(spots: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return spots >> 12, spots >> 6 & 63, spots & 63
 
 
 def _powers(count: int) -> np.ndarray:
@@ -78,9 +92,9 @@ def _powers(count: int) -> np.ndarray:
 INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
 
 
-def _contexts(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+def _contexts(words: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Hashes of the contexts of anchors, which also hold where in its context an anchor lies."""
-    low, high = np.maximum(at - REACH, 0), np.minimum(at + SEED + REACH, len(words))
+    low, high = at - left, at + SEED + right
     powers = _powers(len(words))
     sums = np.zeros(len(words) + 1, np.uint64)
     np.cumsum(words * powers[: len(words)], out=sums[1:])
@@ -88,7 +102,7 @@ def _contexts(words: np.ndarray, at: np.ndarray) -> np.ndarray:
     back[0] = 1
     back = np.multiply.accumulate(back)
     spread = (sums[high] - sums[low]) * back[low]
-    return mixed(spread ^ mixed((at - low).astype(np.uint64) * np.uint64(131) + (high - at).astype(np.uint64)))
+    return mixed(spread ^ mixed((left << 6 | right).astype(np.uint64)))
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,40 +111,39 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), raw_texts(batch)):
             words = memo.of(text.split())
-            at = anchors(words)
-            if len(at):
-                seeds = gram_hashes(words, SEED)[at]
-                found.append((seeds, _contexts(words, at), at, pa.repeat(pa.scalar(_document(doc_id, text), pa.binary()), len(at))))
+            seeds, *reach = anchors(words)
+            if len(seeds):
+                doc = pa.repeat(pa.scalar(_document(doc_id, text), pa.binary()), len(seeds))
+                found.append((seeds, _contexts(words, *reach), _spots(*reach), doc))
         if found:
             *numbers, docs = zip(*found)
-            seeds, contexts, at = map(np.concatenate, numbers)
-            columns = [pa.array(signed(seeds)), pa.array(signed(contexts)), pa.concat_arrays(docs), pa.array(at.astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, ["seed", "context", "doc", "at"])
+            seeds, contexts, spots = map(np.concatenate, numbers)
+            columns = [pa.array(signed(seeds)), pa.array(signed(contexts)), pa.concat_arrays(docs), pa.array(spots)]
+            yield pa.RecordBatch.from_arrays(columns, ["seed", "context", "doc", "spot"])
 
 
 PASSAGES = "key bigint, seed bigint, context bigint, large boolean, left int, words binary"
 
 
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Passages of the wanted anchors of each text: ``wanted`` lists (at, seed, context, large)."""
+    """Passages of the wanted anchors of each text: ``wanted`` lists (spot, seed, context, large)."""
     memo = WordHashes()
     for batch in small_batches(batches, "text"):
         wanted = batch.column("wanted")
-        places, seeds, contexts, large = wanted.flatten().flatten()
-        places, begin = places.to_numpy().astype(np.int64), 0
+        spots, seeds, contexts, large = wanted.flatten().flatten()
+        spots, begin = spots.to_numpy(), 0
         for text, count in zip(raw_texts(batch), pc.list_value_length(wanted).to_pylist()):
             words = memo.of(text.split())
             for first in range(begin, begin + count, BATCH):
                 many = min(BATCH, begin + count - first)
-                at = places[first : first + many]
-                low = np.maximum(at - REACH, 0)
-                sizes = np.minimum(at + SEED + REACH, len(words)) - low
+                at, left, right = _unpacked(spots[first : first + many])
+                sizes = left + SEED + right
                 ends = np.cumsum(sizes)
-                taken = words[np.arange(ends[-1]) + np.repeat(low - ends + sizes, sizes)]
+                taken = words[np.arange(ends[-1]) + np.repeat(at - left - ends + sizes, sizes)]
                 offsets = np.concatenate([[0], 8 * ends]).astype(np.int32)
                 cut = pa.Array.from_buffers(pa.binary(), many, [None, pa.py_buffer(offsets), pa.py_buffer(taken)])
                 seed = seeds.slice(first, many)
-                columns = [seed, seed, contexts.slice(first, many), large.slice(first, many), pa.array((at - low).astype(np.int32)), cut]
+                columns = [seed, seed, contexts.slice(first, many), large.slice(first, many), pa.array(left.astype(np.int32)), cut]
                 yield pa.RecordBatch.from_arrays(columns, ["key", "seed", "context", "large", "left", "words"])
             begin += count
 
@@ -265,13 +278,13 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_contexts(texts: DataFrame) -> DataFrame:
     """``doc, spots``: for each text with repeated windows the anchors' places and masks of windows."""
     found = stored(texts.mapInArrow(_anchor_rows, ANCHORS))
-    place = F.struct("doc", "at")
+    place = F.struct("doc", "spot")
     contexts = stored(found.groupBy("seed", "context").agg(F.count("*").alias("n"), F.min(place).alias("one"), F.max(place).alias("other")))
     seeds = contexts.groupBy("seed").agg(F.sum(F.least("n", F.lit(2))).alias("passages")).where("passages > 1")
     wanted = contexts.join(seeds, "seed").select(
         "seed", "context", (F.col("passages") > BLOCK).alias("large"), F.explode(F.array_distinct(F.array("one", "other"))).alias("place")
     )
-    wanted = wanted.groupBy("place.doc").agg(F.collect_list(F.struct("place.at", "seed", "context", "large")).alias("wanted"))
+    wanted = wanted.groupBy("place.doc").agg(F.collect_list(F.struct("place.spot", "seed", "context", "large")).alias("wanted"))
     passages = stored(texts.join(wanted, "doc").select("text", "wanted").mapInArrow(_passages, PASSAGES))
     columns = ["key", "seed", "context", "left", "words"]
     halves = stored(passages.where("large").mapInArrow(_halves, PASSAGES))
@@ -288,7 +301,7 @@ def repeated_contexts(texts: DataFrame) -> DataFrame:
     )
     masks = stored(factored.unionByName(counted))
     discard(contexts, passages, halves)
-    return found.join(masks, ["seed", "context"]).groupBy("doc").agg(F.collect_set(F.struct("at", "mask")).alias("spots"))
+    return found.join(masks, ["seed", "context"]).groupBy("doc").agg(F.collect_set(F.struct("spot", "mask")).alias("spots"))
 
 
 def removed_words(count: int, at: np.ndarray, masks: np.ndarray) -> np.ndarray:
@@ -306,7 +319,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches, "text"):
         counts, gone, spans, kept, begin = [], [], [], [], 0
         spots = batch.column("spots")
-        places, masks = (x.to_numpy().astype(np.int64) for x in spots.flatten().flatten())
+        places, masks = (x.to_numpy() for x in spots.flatten().flatten())
+        places = _unpacked(places)[0]
         for text, size in zip(raw_texts(batch), pc.list_value_length(spots).fill_null(0).to_pylist()):
             words = text.split()
             removed = removed_words(len(words), places[begin : begin + size], masks[begin : begin + size])
