@@ -18,8 +18,8 @@ what they hold, at most ``WINDOW - SEED`` words before and after it.
    If one of these is still too common, its windows' hashes are counted instead: linear, exact, and never gathered.
 4. The verdict of a context holds wherever it occurs. Each text gets its repeated windows back and drops their words.
 
-Hashes have 64 bits for seed and context each, 128 bits for a row; passages are compared word by word (64-bit hashes of
-words).
+Hashes have 64 bits for seed and context each; a row is named by its id and 64 bits of its text; passages are compared word
+by word (64-bit hashes of words).
 
 Nulls and repeats: a null or short text has no windows. Rows without doc_id, and rows that share one, are told apart by
 their text: rows with equal id and text are one text that occurs that many times. Empty tables give empty results; other
@@ -52,12 +52,12 @@ HALF = (REACH + 1) // 2
 #: Passages that are handed on together.
 BATCH = 16_384
 
-ANCHORS = "seed bigint, context bigint, doc binary, spot bigint"
+ANCHORS = "seed bigint, context bigint, id bigint, mark bigint, spot bigint"
 
 
-def _document(doc_id, text: bytes) -> bytes:
-    """Key of a row: 128 bits of its id and text."""
-    return xxhash.xxh3_128_digest(text, 0 if doc_id is None else (doc_id + 1) & (2**64 - 1))
+def _document(doc_id, text: bytes) -> tuple[int, int]:
+    """Key of a row: its id and 64 bits of its text, so that only texts of one id could be mistaken for each other."""
+    return doc_id or 0, xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
 def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -113,13 +113,11 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = memo.of(text.split())
             seeds, *reach = anchors(words)
             if len(seeds):
-                doc = pa.repeat(pa.scalar(_document(doc_id, text), pa.binary()), len(seeds))
-                found.append((seeds, _contexts(words, *reach), _spots(*reach), doc))
+                row = [np.full(len(seeds), number, np.int64) for number in _document(doc_id, text)]
+                found.append((signed(seeds), signed(_contexts(words, *reach)), *row, _spots(*reach)))
         if found:
-            *numbers, docs = zip(*found)
-            seeds, contexts, spots = map(np.concatenate, numbers)
-            columns = [pa.array(signed(seeds)), pa.array(signed(contexts)), pa.concat_arrays(docs), pa.array(spots)]
-            yield pa.RecordBatch.from_arrays(columns, ["seed", "context", "doc", "spot"])
+            columns = [pa.array(np.concatenate(column)) for column in zip(*found)]
+            yield pa.RecordBatch.from_arrays(columns, ["seed", "context", "id", "mark", "spot"])
 
 
 PASSAGES = "key bigint, seed bigint, context bigint, large boolean, left int, words binary"
@@ -276,16 +274,20 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_contexts(texts: DataFrame) -> DataFrame:
-    """``doc, spots``: for each text with repeated windows the anchors' places and masks of windows."""
+    """``id, mark, spots``: for each text with repeated windows the anchors' places and masks of windows."""
     found = stored(texts.mapInArrow(_anchor_rows, ANCHORS))
-    place = F.struct("doc", "spot")
-    contexts = stored(found.groupBy("seed", "context").agg(F.count("*").alias("n"), F.min(place).alias("one"), F.max(place).alias("other")))
-    seeds = contexts.groupBy("seed").agg(F.sum(F.least("n", F.lit(2))).alias("passages")).where("passages > 1")
+    place = F.struct("id", "mark", "spot")
+    contexts = found.groupBy("seed", "context").agg(F.count("*").alias("n"), F.min(place).alias("one"), F.max(place).alias("other"))
+    # A second place is kept only where there is one: null, but for repeats.
+    other = F.when(F.col("other") != F.col("one"), F.col("other"))
+    contexts = stored(contexts.select("seed", "context", (F.col("n") > 1).alias("twice"), "one", other.alias("other")))
+    seeds = contexts.groupBy("seed").agg(F.sum(F.when(F.col("twice"), 2).otherwise(1)).alias("passages")).where("passages > 1")
     wanted = contexts.join(seeds, "seed").select(
-        "seed", "context", (F.col("passages") > BLOCK).alias("large"), F.explode(F.array_distinct(F.array("one", "other"))).alias("place")
+        "seed", "context", (F.col("passages") > BLOCK).alias("large"), F.explode(F.array_compact(F.array("one", "other"))).alias("place")
     )
-    wanted = wanted.groupBy("place.doc").agg(F.collect_list(F.struct("place.spot", "seed", "context", "large")).alias("wanted"))
-    passages = stored(texts.join(wanted, "doc").select("text", "wanted").mapInArrow(_passages, PASSAGES))
+    want = F.struct("place.spot", "seed", "context", "large")
+    wanted = wanted.groupBy("place.id", "place.mark").agg(F.collect_list(want).alias("wanted"))
+    passages = stored(texts.join(wanted, ["id", "mark"]).select("text", "wanted").mapInArrow(_passages, PASSAGES))
     columns = ["key", "seed", "context", "left", "words"]
     halves = stored(passages.where("large").mapInArrow(_halves, PASSAGES))
     sizes = halves.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
@@ -301,7 +303,7 @@ def repeated_contexts(texts: DataFrame) -> DataFrame:
     )
     masks = stored(factored.unionByName(counted))
     discard(contexts, passages, halves)
-    return found.join(masks, ["seed", "context"]).groupBy("doc").agg(F.collect_set(F.struct("spot", "mask")).alias("spots"))
+    return found.join(masks, ["seed", "context"]).groupBy("id", "mark").agg(F.collect_set(F.struct("spot", "mask")).alias("spots"))
 
 
 def removed_words(count: int, at: np.ndarray, masks: np.ndarray) -> np.ndarray:
@@ -336,16 +338,17 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys = [_document(i, t) for i, t in zip(batch.column("doc_id").to_pylist(), raw_texts(batch))]
-        yield batch.append_column("doc", pa.array(keys, pa.binary()))
+        ids, marks = zip(*keys) if keys else ((), ())
+        yield batch.append_column("id", pa.array(ids, pa.int64())).append_column("mark", pa.array(marks, pa.int64()))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_removed, removed, kept`` of every row of ``docs``: the removed spans ``[begin, end)`` of words,
     and the text without them."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    keyed = texts.mapInArrow(_keyed, "doc_id bigint, text string, doc binary")
+    keyed = texts.mapInArrow(_keyed, "doc_id bigint, text string, id bigint, mark bigint")
     spots = repeated_contexts(keyed)
-    return keyed.join(spots, "doc", "left").select("doc_id", "text", "spots").mapInArrow(_cut, CUT)
+    return keyed.join(spots, ["id", "mark"], "left").select("doc_id", "text", "spots").mapInArrow(_cut, CUT)
 
 
 def digests(docs: DataFrame) -> DataFrame:
