@@ -221,7 +221,7 @@ def estimates(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def judged(docs: DataFrame) -> DataFrame:
-    """``doc_id``, base counts, ``base_failed``, ``distance`` (squared) and ``kept`` of every row of ``docs``."""
+    """``doc_id``, base counts, ``base_failed``, ``kept`` and ``distance`` (squared) of every row of ``docs``."""
     rows = stored(transformed(statistics(docs)))
     # Each document counts in its own group and in that of all documents, so one pass fits both.
     own = F.struct(F.col("lang"), F.col("source"))
@@ -245,8 +245,8 @@ def judged(docs: DataFrame) -> DataFrame:
         "n_dup_lines",
         "n_repeat_words",
         "base_failed",
-        F.round("distance", 6).alias("distance"),
         (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= CUTOFF)).alias("kept"),
+        F.round("distance", 6).alias("distance"),
     )
 
 
