@@ -302,3 +302,12 @@ def test_odd_tables(spark, odd, none):
         assert stage(odd).count() <= size
         assert stage(none).count() == 0
     assert mixing.mix(odd, labels).count() >= 1
+
+
+def test_repeated_rows_are_repeats(odd, none):
+    found = substring_duplicates.digests(odd)
+    assert found.columns == ["doc_id", "n_words", "n_removed", "kept_sha256"]
+    got = [r for r in found.collect() if r.doc_id is not None and r.doc_id < 5]
+    assert len({tuple(r) for r in got}) == 5 and all(r.n_removed == r.n_words for r in got if r.n_words >= 35)
+    assert substring_duplicates.digests(odd.where("doc_id IS NULL")).count() == 2
+    assert quality_rules.judged(none).columns[-2:] == ["kept", "distance"]
