@@ -1,14 +1,20 @@
 """Quality rules: counts per text, fixed limits, and robust multivariate outliers per language and source.
 
-The verdict is a minimum-covariance-determinant (MCD) estimate for every group of language and source: starting from
-each group's median and spread, ``STEPS`` concentration steps fit centre and covariance of the ``SUBSET`` share of
-documents that lie nearest. Documents farther than the ``CUTOFF`` from the group's centre, by Mahalanobis distance, are
-rejected. Groups whose subset has fewer than ``LEAST_GROUP`` documents, and those of null language or source, are judged by
-the estimate over all documents.
+The verdict is a minimum-covariance-determinant (MCD) estimate for every group of language and source. From each of the
+``STARTS``, concentration steps fit centre and covariance of the ``SUBSET`` share of documents that lie nearest, until no
+estimate changes; of a group's estimates the one with the smallest determinant counts. Documents farther than the
+``CUTOFF`` from the group's centre, by Mahalanobis distance, are rejected. Groups whose subset has fewer than
+``LEAST_GROUP`` documents, and those of null language or source, are judged by the estimate over all documents.
+
+The nearest share is taken in whole classes of distance (``CLASSES`` for each factor of two), so a subset may be larger
+than the share by its last class; determinants are compared as they are. Sums are exact, so a subset that stays the same
+gives the very same estimate, and the steps of a group end there. Steps over classes can also come back to an earlier
+subset; ``MOST_STEPS`` ends these, and the smallest determinant that a start has reached is kept all along.
 
 Only DataFrame functions: the words of a text stay in its row, statistics are whole numbers (so that sums do not depend
 on the order of rows), each group's estimate is a row of combined sums, and the share nearest to a centre is found from
-sums per distance class, in one pass a step. No step sorts, shuffles or gathers a group, whatever its size.
+sums per distance class, in one pass a step. The steps run over distinct statistic vectors with their numbers of
+documents, counted once, so repeated texts cost nothing there. No step sorts, shuffles or gathers a group, whatever its size.
 
 Nulls and repeats: a null text is empty and fails the base rules; language and source may be null; each row gives one
 row. Ties share a distance and a verdict. Empty tables give empty results; other columns are not read.
@@ -28,7 +34,12 @@ LEAST_WORDS = 20
 MOST_REPEATED = 30
 #: Share of a group that is taken as clean; the rest may be arbitrarily bad.
 SUBSET = 0.75
-STEPS = 4
+#: Where concentration begins: median and spread without correlation; the moments of documents within ``FENCE`` spreads
+#: of the median in every statistic; the moments of all documents.
+STARTS = ("median", "fenced", "all")
+FENCE = 3.0
+#: Steps after which estimates that still change are taken as they are.
+MOST_STEPS = 40
 LEAST_GROUP = 50
 #: Squared Mahalanobis distance beyond which a document is rejected. Far past the 0.9999 quantile of the chi-squared
 #: distribution with four degrees of freedom (23.5): most clean texts have no symbols and no repeats at all, so the
@@ -137,7 +148,7 @@ def transformed(stats: DataFrame) -> DataFrame:
 
 
 def _moments(sums: DataFrame, keys: list[str]) -> DataFrame:
-    """Centre and covariance of each group from the exact sums of its classes (see ``_class_sums``)."""
+    """Centre and covariance of each group from the exact sums of its classes (see ``_sums``)."""
     total = sums.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums.columns if c not in (*keys, "class")])
     mean = {i: F.col(f"t{i}").cast("double") / F.col("n") for i in range(len(DIMENSIONS))}
     out = [F.col(k) for k in keys] + [F.col("n")] + [mean[i].alias(f"m{i}") for i in mean]
@@ -170,12 +181,13 @@ def _distance() -> Column:
     return sum((v * v for v in solved[1:]), solved[0] * solved[0])
 
 
-def _class_sums(placed: DataFrame, keys: list[str]) -> DataFrame:
-    """Count ``n`` and exact sums of the statistics and their products for each group and distance class."""
-    sums = [F.count("*").alias("n")]
-    sums += [F.sum(F.col(d).cast("decimal(38,0)")).alias(f"t{i}") for i, d in enumerate(DIMENSIONS)]
-    sums += [F.sum((F.col(DIMENSIONS[i]) * F.col(DIMENSIONS[j])).cast("decimal(38,0)")).alias(f"t{i}{j}") for i, j in PAIRS]
-    return placed.groupBy(*keys, "class").agg(*sums)
+def _sums(vectors: DataFrame, keys: list[str]) -> DataFrame:
+    """Count ``n`` and exact sums of the statistics and their products for each of ``keys``, over weighted vectors."""
+    weight = F.col("weight").cast("decimal(38,0)")
+    sums = [F.sum("weight").alias("n")]
+    sums += [F.sum((F.col(d) * F.col("weight")).cast("decimal(38,0)")).alias(f"t{i}") for i, d in enumerate(DIMENSIONS)]
+    sums += [F.sum(((F.col(DIMENSIONS[i]) * F.col(DIMENSIONS[j])).cast("decimal(38,0)") * weight).cast("decimal(38,0)")).alias(f"t{i}{j}") for i, j in PAIRS]
+    return vectors.groupBy(*keys).agg(*sums)
 
 
 def _nearest(sums: DataFrame, keys: list[str]) -> DataFrame:
@@ -198,26 +210,59 @@ def _sent(estimate: DataFrame) -> DataFrame:
     return F.broadcast(estimate) if estimate.count() <= BROADCAST_GROUPS else estimate
 
 
-def estimates(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The MCD estimate of each group of ``rows``: its size ``n`` (of the subset), centre and factor in one row.
-
-    The first estimate takes a group's quartiles, with no correlation; each further one fits the nearest share.
-    """
+def _spreads(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Each group's median and spread (from its quartiles) as an estimate without correlation."""
+    quartiles = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
     first = rows.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        *[F.percentile_approx(d, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias(f"q{i}") for i, d in enumerate(DIMENSIONS)],
+        F.count("*").alias("n"), *[F.percentile_approx(d, quartiles, 1000).alias(f"q{i}") for i, d in enumerate(DIMENSIONS)]
     )
     columns = [F.col(k) for k in keys] + [F.col("n")]
-    for i in range(len(DIMENSIONS)):
+    columns += [F.get(f"q{i}", F.lit(1)).cast("double").alias(f"m{i}") for i in range(len(DIMENSIONS))]
+    for i, j in PAIRS:
         spread = (F.get(f"q{i}", F.lit(2)) - F.get(f"q{i}", F.lit(0))) / 1.349
-        columns.append(F.get(f"q{i}", F.lit(1)).cast("double").alias(f"m{i}"))
-        columns += [(spread * spread + RIDGE[i] * SCALE * SCALE if i == j else F.lit(0.0)).alias(f"c{i}{j}") for j in range(i + 1)]
-    estimate = stored(_factor(first.select(*columns)))
-    for _ in range(STEPS):
-        placed = rows.join(_sent(estimate.drop("n")), keys)
-        placed = placed.select(*keys, *DIMENSIONS, _distance_class(_distance()).alias("class"))
-        estimate = stored(_factor(_moments(_nearest(_class_sums(placed, keys), keys), keys)))
-    return estimate
+        columns.append((spread * spread + RIDGE[i] * SCALE * SCALE if i == j else F.lit(0.0)).alias(f"c{i}{j}"))
+    return first.select(*columns)
+
+
+def _fenced() -> Column:
+    """Whether a vector lies within the fence around its group's median (``m``, ``l`` of ``_spreads``)."""
+    inside = F.lit(True)
+    for i, dimension in enumerate(DIMENSIONS):
+        inside = inside & (F.abs(F.col(dimension) - F.col(f"m{i}")) <= FENCE * F.col(f"l{i}{i}"))
+    return inside
+
+
+def _log_determinant() -> Column:
+    """Logarithm of the covariance's determinant, from its factor; rounded, so that equal estimates tie."""
+    return F.round(2 * sum((F.log(f"l{i}{i}") for i in range(1, len(DIMENSIONS))), F.log("l00")), 9)
+
+
+def estimates(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The MCD estimate of each group of ``rows``: its size ``n`` (of the subset), centre and factor in one row."""
+    vectors = stored(rows.groupBy(*keys, *DIMENSIONS).agg(F.count("*").alias("weight")))
+    by_start = [*keys, "start"]
+    spreads = stored(_factor(_spreads(rows, keys)))
+    fenced = vectors.join(_sent(spreads.drop("n")), keys).where(_fenced()).select(*vectors.columns)
+    begun = {"fenced": _moments(_sums(fenced, keys), keys), "all": _moments(_sums(vectors, keys), keys)}
+    current = spreads.withColumn("start", F.lit("median"))
+    for start in STARTS[1:]:
+        current = current.unionByName(_factor(begun[start]).withColumn("start", F.lit(start)))
+    current, fitted = stored(current), [c for c in spreads.columns if c not in keys]
+    best = None
+    for _ in range(MOST_STEPS):
+        placed = vectors.join(_sent(current.drop("n")), keys)
+        placed = placed.select(*by_start, *DIMENSIONS, "weight", _distance_class(_distance()).alias("class"))
+        moved = _factor(_moments(_nearest(_sums(placed, [*by_start, "class"]), by_start), by_start))
+        before = current.select(*by_start, F.struct(*fitted).alias("before"))
+        moved = stored(moved.join(before, by_start).withColumn("open", F.struct(*fitted) != F.col("before")).drop("before"))
+        found = moved.select(*keys, F.struct(_log_determinant().alias("d"), "start", *fitted).alias("fit"))
+        found = found if best is None else found.union(best)
+        best = stored(found.groupBy(*keys).agg(F.min("fit").alias("fit")))
+        # Groups whose subset stays the same are done.
+        current = stored(moved.where("open").drop("open"))
+        if current.isEmpty():
+            break
+    return best.select(*keys, *[F.col(f"fit.{c}").alias(c) for c in fitted])
 
 
 def judged(docs: DataFrame) -> DataFrame:
