@@ -11,9 +11,11 @@ Words: A-Z lowered, then runs of characters other than ASCII ones that are no di
 The tree's alphabet is the phrases' vocabulary. All other words, and the end of each document, are one symbol there and
 unlike each other in the sort, so a suffix is told apart at its first such word; their positions are all sampled.
 
-Phrases are a stated query set: they are searched in blocks of at most ``BLOCK_ITEMS`` items, each collected and sent
-to the tasks on its own, so that what a task holds does not grow with the benchmark. Documents are only read, never
-shuffled; the result of a shard is one row for each document.
+Phrases are a stated query set. Items are cut into pieces that overlap, so that each phrase is whole in one, and pieces
+are dealt by hash to blocks of about half of ``BLOCK_WORDS`` words. Each block is collected, sent to the tasks and
+searched in a job of its own, and destroyed before the next is sent: neither the driver nor a task holds two blocks,
+however large the benchmark and its items are. With one block, documents are only read; with more, they are written
+once with a key for each row, and what the blocks found is merged by that key.
 
 Nulls and repeats: null or wordless texts have no words and no hits. An item without words has no phrase; an item
 without id is searched under the empty id. Every document row gives one result row, also where ids are null or repeat.
@@ -22,21 +24,24 @@ Empty tables give empty results.
 
 from __future__ import annotations
 
-import hashlib
+import functools
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import raw_texts, small_batches
+from tidelog.llm.common import discard, fresh_name, raw_texts, small_batches, stored
 
 WINDOW = 10
 SHARD_WORDS = 1 << 20
 SAMPLE = 16
-BLOCK_ITEMS = 20_000
+BLOCK_WORDS = 400_000
+#: Phrases that begin in one piece of an item.
+PIECE = 4096
 #: Bytes of shards' texts that wait for each other; a longer single document is a shard of its own.
 SHARD_BYTES = 6 << 20
 #: The same where texts are rewritten, which holds each of them several times.
@@ -213,55 +218,115 @@ def spans(mask: np.ndarray) -> list[list[int]]:
 
 
 FOUND = "doc_id bigint, n_words bigint, n_hit bigint, items array<string>, spans array<array<int>>"
+#: Separators of words in lower-cased text, as ``WORD`` has it.
+BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[list[bytes]]]]:
-    ids, texts, size = [], [], 0
+def _shards(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[list, list[list[bytes]]]]:
+    keys, texts, size = [], [], 0
     for batch in small_batches(batches, "text", SHARD_BYTES):
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), raw_texts(batch)):
+        for one, text in zip(batch.column(key).to_pylist(), raw_texts(batch)):
             words = words_of(text)
             if size and size + len(words) > SHARD_WORDS:
-                yield ids, texts
-                ids, texts, size = [], [], 0
-            ids.append(doc_id), texts.append(words)
+                yield keys, texts
+                keys, texts, size = [], [], 0
+            keys.append(one), texts.append(words)
             size += len(words) + 1
-    if ids:
-        yield ids, texts
+    if keys:
+        yield keys, texts
 
 
-def phrase_blocks(benchmark: DataFrame):
-    """Broadcast phrases of the benchmark, in blocks of a bounded number of items."""
-    spark = benchmark.sparkSession
+def pieces(benchmark: DataFrame) -> DataFrame:
+    """``item, words, n`` of the benchmark's pieces: every phrase of an item is whole in one of its pieces."""
     named = benchmark.select(
-        F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+        F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
+        F.array_remove(F.split(F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), UPPER, LOWER), BETWEEN), "").alias("all"),
     )
-    blocks = max(1, -(-2 * named.count() // BLOCK_ITEMS))
-    out = []
+    begins = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("all") - WINDOW), F.lit(PIECE))
+    cut_up = named.where(F.size("all") > 0).select("item", "all", F.explode(begins).alias("begin"))
+    words = F.slice("all", F.col("begin") + 1, F.lit(PIECE + WINDOW - 1))
+    return cut_up.select("item", F.array_join(words, " ").alias("words"), F.size(words).cast("bigint").alias("n"))
+
+
+def phrase_blocks(benchmark: DataFrame) -> tuple[int, Callable[[int], Broadcast]]:
+    """The number of blocks of the benchmark's phrases, and how to collect and send one of them."""
+    cut_up = stored(pieces(benchmark))
+    blocks = max(1, -(-2 * (cut_up.agg(F.sum("n").alias("n")).first().n or 0) // BLOCK_WORDS))
+
+    def send(block: int) -> Broadcast:
+        rows = cut_up.where(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == block).collect()
+        return cut_up.sparkSession.sparkContext.broadcast(Phrases([(r.item, r.words.encode()) for r in rows]))
+
+    return blocks, send
+
+
+def _found(rows: DataFrame, key: str, kind: str, block: Broadcast) -> DataFrame:
+    """``key, n_words, items, spans`` of every row of ``rows`` (key, text), for the phrases of one block."""
+
+    def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, texts in _shards(batches, key):
+            found = search_shard(texts, [block])
+            columns = [
+                pa.array(keys, pa.int64() if kind == "bigint" else pa.string()),
+                pa.array([len(t) for t in texts], pa.int64()),
+                pa.array([sorted(items) for _, items in found], pa.list_(pa.string())),
+                pa.array([spans(mask) for mask, _ in found], pa.list_(pa.list_(pa.int32()))),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, [key, "n_words", "items", "spans"])
+
+    return rows.mapInArrow(searched, f"`{key}` {kind}, n_words bigint, items array<string>, spans array<array<int>>")
+
+
+def union_of(parts: list[list[list[int]]]) -> list[list[int]]:
+    """Merged spans of several blocks; spans that touch become one, as in a mask."""
+    out: list[list[int]] = []
+    for begin, end in sorted(tuple(s) for part in parts for s in part):
+        if out and begin <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([begin, end])
+    return out
+
+
+def _hits(rows: DataFrame, key: str, blocks: int, send: Callable[[int], Broadcast]) -> DataFrame:
+    """``key, items, spans`` of the written ``rows`` (key, text) with a hit, over all blocks, one job each."""
+    parts = []
     for block in range(blocks):
-        rows = named.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()
-        out.append(spark.sparkContext.broadcast(Phrases([(r.item, r.text.encode()) for r in rows])))
+        phrases = send(block)
+        parts.append(stored(_found(rows, key, "string", phrases).where(F.size("items") > 0).drop("n_words")))
+        phrases.destroy()
+    every = functools.reduce(DataFrame.union, parts)
+    # At most one entry for each block and row.
+    every = every.groupBy(key).agg(F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), F.collect_list("spans").alias("parts"))
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            joined = pa.array([union_of(p) for p in batch.column("parts").to_pylist()], pa.list_(pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays([batch.column(key), batch.column("items"), joined], [key, "items", "spans"])
+
+    out = stored(every.mapInArrow(merged, f"`{key}` string, items array<string>, spans array<array<int>>"))
+    discard(*parts)
     return out
 
 
+def _hit_words() -> Column:
+    return F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + F.get(s, F.lit(1)) - F.get(s, F.lit(0)))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_hit, items, spans`` of every row of ``docs``; spans are merged runs of hit words."""
-    blocks = phrase_blocks(benchmark)
-
-    def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in _shards(batches):
-            found = search_shard(texts, blocks)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids, pa.int64()),
-                    pa.array([len(t) for t in texts], pa.int64()),
-                    pa.array([int(mask.sum()) for mask, _ in found], pa.int64()),
-                    pa.array([sorted(items) for _, items in found], pa.list_(pa.string())),
-                    pa.array([spans(mask) for mask, _ in found], pa.list_(pa.list_(pa.int32()))),
-                ],
-                ["doc_id", "n_words", "n_hit", "items", "spans"],
-            )
-
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(searched, FOUND)
+    blocks, send = phrase_blocks(benchmark)
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if blocks == 1:
+        found = _found(texts, "doc_id", "bigint", send(0))
+        return found.select("doc_id", "n_words", _hit_words().alias("n_hit"), "items", "spans")
+    rows = stored(texts.withColumn("key", F.expr("uuid()")))
+    hits = _hits(rows.select("key", "text"), "key", blocks, send)
+    words = F.array_remove(F.split(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), BETWEEN), "")
+    counted = rows.select("doc_id", "key", F.size(words).cast("bigint").alias("n_words")).join(hits, "key", "left")
+    counted = counted.withColumns({c: F.coalesce(c, F.array().cast(hits.schema[c].dataType)) for c in ("items", "spans")})
+    return counted.select("doc_id", "n_words", _hit_words().alias("n_hit"), "items", "spans")
 
 
 def digest_items(items: str):
@@ -280,27 +345,47 @@ def cut(text: bytes, removed: list[list[int]]) -> bytes:
     return b"".join(out)
 
 
+def _without(batch: pa.RecordBatch, new: list, at: int) -> pa.RecordBatch:
+    """The batch with new texts; ``n_chars``, if there, is counted again where a text changed."""
+    raw = batch.column(at).to_pylist()
+    out = batch.set_column(at, batch.schema.field(at), pa.array(new, batch.schema.field(at).type))
+    if "n_chars" in batch.schema.names:
+        place = batch.schema.names.index("n_chars")
+        counts = [c if x == y else len(y) for x, y, c in zip(raw, new, batch.column(place).to_pylist())]
+        out = out.set_column(place, batch.schema.field(place), pa.array(counts, batch.schema.field(place).type))
+    return out
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` with the benchmark's words cut out of their texts; all other columns stay as they are.
 
     A text without hits stays as it is, byte for byte; ``n_chars``, if there, is counted again where text was cut.
     """
-    blocks = phrase_blocks(benchmark)
-    columns, at = docs.columns, docs.columns.index("text")
+    blocks, send = phrase_blocks(benchmark)
+    at, block = docs.columns.index("text"), send(0) if blocks == 1 else None
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", REWRITTEN_BYTES):
-            raw = batch.column("text").to_pylist()
-            texts = [words_of((t or "").encode()) for t in raw]
-            new = list(raw)
-            for row, (mask, _) in enumerate(search_shard(texts, blocks)):
+            new = batch.column("text").to_pylist()
+            texts = [words_of((t or "").encode()) for t in new]
+            for row, (mask, _) in enumerate(search_shard(texts, [block])):
                 if mask.any():
-                    new[row] = cut(raw[row].encode(), spans(mask)).decode()
-            out = batch.set_column(at, batch.schema.field(at), pa.array(new, batch.schema.field(at).type))
-            if "n_chars" in columns:
-                place = columns.index("n_chars")
-                counts = [c if x is y else len(y) for x, y, c in zip(raw, new, batch.column(place).to_pylist())]
-                out = out.set_column(place, batch.schema.field(place), pa.array(counts, batch.schema.field(place).type))
-            yield out
-
-    return docs.mapInArrow(cleaned, docs.schema)
+                    new[row] = cut(new[row].encode(), spans(mask)).decode()
+            yield _without(batch, new, at)
+
+    if block:
+        return docs.mapInArrow(cleaned, docs.schema)
+    key, removed = fresh_name("key"), fresh_name("spans")
+    rows = stored(docs.withColumn(key, F.expr("uuid()")))
+    hits = _hits(rows.select(key, F.col("text").cast("string").alias("text")), key, blocks, send)
+    marked = rows.join(hits.select(key, F.col("spans").alias(removed)), key, "left").select(*[F.col(f"`{c}`") for c in docs.columns], removed)
+
+    def rewritten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text", REWRITTEN_BYTES):
+            new = batch.column("text").to_pylist()
+            for row, found in enumerate(batch.column(removed).to_pylist()):
+                if found:
+                    new[row] = cut(new[row].encode(), found).decode()
+            yield _without(batch.drop_columns([removed]), new, at)
+
+    return marked.mapInArrow(rewritten, docs.schema)
