@@ -7,8 +7,13 @@ are linked when their sets overlap by ``THRESHOLD`` per cent or more, checked on
 Candidates come from bands of ``ROWS`` minima. Two sets at similarity 0.75 miss all ``BANDS`` bands with probability
 (1 - 0.75**4)**48, about 1e-8. A bucket of a band never yields all of its pairs: every member is compared with a centre,
 the member that meets most others, for ``STARS`` rounds; members that are by then in one component need no further
-comparison. Only pairs of different components that met in a bucket and were not yet compared are left. These are
-all compared, whatever their number, unless profiles of what a set shares with other ones rule the pair out.
+comparison, and a centre leaves its bucket. Only pairs of different components that are then left in a bucket are not yet
+compared. These are all compared, whatever their number, unless profiles of what a set shares with other ones rule the
+pair out.
+
+Most buckets of two to ``FEW`` members come by chance, and their number grows with the square of the input. All pairs of such
+buckets are compared by signature first; only documents that agree with another one there, or are in a larger bucket, go on.
+Sets are built and moved for these alone.
 
 Nulls and repeats: a null or wordless text has an empty set and is linked with nothing. Rows without doc_id are linked
 with nothing, have no component and are kept. Rows that share a doc_id are one document with the links of all its texts;
@@ -32,6 +37,8 @@ SHINGLE = 5
 THRESHOLD = 75
 BANDS, ROWS = 48, 4
 STARS = 2
+#: Members of a bucket of which all pairs are compared by signature before anything else.
+FEW = 4
 #: A pair whose signatures agree in fewer of the 192 places than this is no candidate: 5.5 standard errors below 0.75.
 LEAST_AGREEMENT = int(0.75 * BANDS * ROWS - 5.5 * (BANDS * ROWS * 0.75 * 0.25) ** 0.5)
 #: Most sets that a rare shingle is in.
@@ -100,8 +107,11 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     memo = WordHashes()
     for batch in small_batches(batches, "text", 4 << 20):
-        sets = [shingle_set(text.lower().split(), memo).tobytes() for text in raw_texts(batch)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "set"])
+        sets = [shingle_set(text.lower().split(), memo) for text in raw_texts(batch)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(map(len, sets), pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())],
+            ["doc_id", "size", "set"],
+        )
 
 
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,8 +166,8 @@ def _profiles(entries: DataFrame, sets: DataFrame) -> DataFrame:
     Shingles that no other set has are left out; those that up to ``RARE`` sets have are marked in 256 bits. Ids with
     several texts get no profile, which rules nothing out.
     """
-    own = sets.join(entries.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sizes = own.groupBy(F.col("doc_id").alias("doc")).agg(F.count("*").alias("texts"), F.max(F.length("set") / 8).cast("bigint").alias("size"))
+    own = sets.join(sent(stored(entries.select(F.col("doc").alias("doc_id")).distinct())), "doc_id", "left_semi")
+    sizes = own.groupBy(F.col("doc_id").alias("doc")).agg(F.count("*").alias("texts"), F.max("size").alias("size"))
     spread = stored(own.mapInArrow(_spread, "doc bigint, shingle bigint"))
     held = spread.join(spread.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1"), "shingle")
     rare = F.col("n") <= RARE
@@ -182,6 +192,25 @@ def _possible() -> Column:
     return F.coalesce(100 * shared >= THRESHOLD * (F.col("size_x") + F.col("size_y") - shared), F.lit(True))
 
 
+def _buckets(dealt: DataFrame) -> DataFrame:
+    """``key, doc, n``: members of the buckets of ``dealt`` (doc, key) that hold several, with their number."""
+    shared = dealt.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    met = stored(dealt.join(shared, "key").select("key", "doc", "n"))
+    members = met.groupBy("key", "n").agg(F.min("doc").alias("least"), F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("who"))
+    # Buckets with the same members, as most pairs have in many bands, count once.
+    once = members.groupBy("n", "least", "who").agg(F.min("key").alias("key")).select("key")
+    return stored(met.join(once, "key", "left_semi").distinct())
+
+
+def _promising(entries: DataFrame, signatures: DataFrame) -> DataFrame:
+    """``entries`` of large buckets, and of the documents that agree with another one in a bucket of ``FEW`` at most."""
+    few = entries.where(F.col("n") <= FEW).groupBy("key").agg(F.collect_set("doc").alias("docs"))
+    pairs = few.select(F.explode("docs").alias("a"), "docs").select("a", F.explode("docs").alias("b")).where("a < b").distinct()
+    near = stored(_with_both(pairs, signatures, "signature").mapInArrow(_agreeing, "a bigint, b bigint"))
+    agreeing = near.select(F.col("a").alias("doc")).union(near.select(F.col("b").alias("doc"))).distinct()
+    return stored(entries.where(F.col("n") > FEW).union(entries.where(F.col("n") <= FEW).join(agreeing, "doc", "left_semi").select(entries.columns)))
+
+
 def links_between_classes(signed_docs: DataFrame, texts: DataFrame) -> DataFrame:
     """Links ``a, b`` (each the smallest doc_id of its class) that connect what near-duplicate classes of ``signed_docs`` connect.
 
@@ -194,21 +223,18 @@ def links_between_classes(signed_docs: DataFrame, texts: DataFrame) -> DataFrame
         .agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("signature").alias("signature"))
     )
     dealt = reps.select(F.col("doc_id").alias("doc"), F.explode("bands").alias("key"))
-    sizes = dealt.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("doc").alias("least"), F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("who")
-    )
-    # Buckets with the same members, as most pairs have in many bands, count once.
-    kept = sizes.where("n > 1").groupBy("n", "least", "who").agg(F.min("key").alias("key"))
-    entries = stored(dealt.join(kept.select("key", "n"), "key").select("key", "doc", "n").distinct())
-    involved = entries.groupBy("doc").agg(F.sum("n").alias("meets"))
-    involved = stored(involved)
-    ids = involved.select(F.col("doc").alias("doc_id"))
-    signatures = stored(reps.select("doc_id", "signature").join(ids, "doc_id", "left_semi"))
-    sets = stored(texts.join(ids, "doc_id", "left_semi").mapInArrow(_sets, "doc_id bigint, set binary"))
+    entries = _buckets(dealt)
+    met = entries.select(F.col("doc").alias("doc_id")).distinct()
+    signatures = stored(reps.select("doc_id", "signature").join(met, "doc_id", "left_semi"))
+    entries = _promising(entries, signatures)
+    involved = stored(entries.groupBy("doc").agg(F.sum("n").alias("meets")))
+    sets = stored(texts.join(involved.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi").mapInArrow(_sets, "doc_id bigint, size bigint, set binary"))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        near = _with_both(pairs, signatures, "signature").mapInArrow(_agreeing, "a bigint, b bigint")
-        return stored(_with_both(near, sets, "set").mapInArrow(_linked, "a bigint, b bigint").distinct())
+        near = stored(_with_both(pairs, signatures, "signature").mapInArrow(_agreeing, "a bigint, b bigint"))
+        needed = stored(near.select(F.col("a").alias("doc_id")).union(near.select(F.col("b").alias("doc_id"))).distinct())
+        own = sets.join(sent(needed), "doc_id", "left_semi")
+        return stored(_with_both(near, own, "set").mapInArrow(_linked, "a bigint, b bigint").distinct())
 
     weighed = entries.join(involved, "doc")
     links = spark.createDataFrame([], "a bigint, b bigint")
@@ -226,6 +252,8 @@ def links_between_classes(signed_docs: DataFrame, texts: DataFrame) -> DataFrame
         pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"))
         tried = tried.union(pairs)
         links = forest(links.union(verified(pairs)))
+        # A pair with the centre has been compared or needs no comparison, so the centre leaves its bucket.
+        weighed = stored(labelled.join(centres, "key").where("doc <> centre.doc").select(*weighed.columns))
         labelled = _labels(weighed, links)
         largest = labelled.groupBy("key", "component").count().groupBy("key").agg(
             F.max_by("component", F.struct("count", -F.col("component"))).alias("most"), F.count("*").alias("parts")
