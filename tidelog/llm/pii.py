@@ -10,9 +10,11 @@ Training: labels come from the formats themselves. Positives are base matches re
 generators look for, in their own surroundings. Negatives are base candidates that failed their check (a sum, a length, a
 number over 255), look-alikes built in place of base matches (prose with "at", lists, dates, wrong sums), and what the
 generators propose away from base spans. Some of the last may be real: those that a model fitted without them scores above
-its lowest ``SPIES`` of positives are left out. Fitting takes ``FIT_ROWS`` examples of each kind and origin at most, those
-with the smallest hashes, found by a bounded top-k; this is the one bounded sample. The threshold of a kind is the lowest
-score at which held-out examples (every fifth hash in order, with all that was built from its match) reach ``PRECISION``. A
+its lowest ``SPIES`` of positives are left out. All examples of all documents are fitted: features are put into fixed bins
+(``CUTS``), equal rows are counted, and every level of a tree is one pass in which tasks add up histograms of gradients. These
+are whole numbers, so sums do not depend on how rows are dealt. The driver gets sums of fixed size only. The threshold of a
+kind is the lowest score at which all held-out examples (every fifth hash in order, with all that was built from its match)
+reach ``PRECISION``; margins are rounded to 1/``STEP``, so that these too are counted by value. A
 kind with fewer than two different base matches has no model and adds nothing.
 Every text is searched whole, and all its proposals are scored.
 
@@ -24,25 +26,34 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark import RDD
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import small_batches, stored
 
 KINDS = ("email", "ip", "card", "phone")
-FIT_ROWS = 4000
 PRECISION = 0.98
 #: Share of the positives, those with the lowest scores, that tells how low a real span may score.
 SPIES = 0.1
 TREES, DEPTH, RATE = 40, 3, 0.2
 #: Hashes of candidates lie below this.
 TOP = 1 << 62
+#: Cuts between the bins of a feature: shares, then whole numbers, then steps of 7 %, and the limit of an address part.
+CUTS = np.sort(np.concatenate([np.arange(32) / 32, np.arange(1, 64) + 0.5, 64.5 * 1.07 ** np.arange(143), [255.5]]))
+BINS = len(CUTS) + 1
+#: Units of a gradient and of a margin; sums of whole numbers are exact.
+UNIT, STEP = 1 << 20, 1 << 10
+#: Hashes that one task ranks, about, and distinct rows in one block of the passes.
+RANKED, BLOCK = 4096, 50_000
 
 Span = tuple[int, int]
 
@@ -221,82 +232,55 @@ class Boosted:
     slope: float
     shift: float
     threshold: float | None
+    #: Examples that it was fitted and calibrated on.
+    examples: int = 0
 
     def margin(self, x: np.ndarray) -> np.ndarray:
         out = np.full(len(x), self.base)
-        for column, cut, leaf in self.trees:
-            node = np.zeros(len(x), np.int64)
-            for _ in range(DEPTH):
-                node = 2 * node + 1 + (x[np.arange(len(x)), column[node]] > cut[node])
-            out += leaf[node - len(column)]
+        for tree in self.trees:
+            out += tree[2][places(x, *tree[:2], DEPTH)]
         return out
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.margin(x) + self.shift, -40, 40)))
-
-
-def _split(x: np.ndarray, gradient: np.ndarray, hessian: np.ndarray) -> tuple[int, float]:
-    """The cut that lowers the logistic loss most, by second-order gain."""
-    best, found = 1e-9, (0, np.inf)
-    total_g, total_h = gradient.sum(), hessian.sum()
-    for column in range(x.shape[1]):
-        order = np.argsort(x[:, column], kind="stable")
-        value = x[order, column]
-        g, h = np.cumsum(gradient[order])[:-1], np.cumsum(hessian[order])[:-1]
-        gain = g * g / (h + 1) + (total_g - g) ** 2 / (total_h - h + 1) - total_g**2 / (total_h + 1)
-        gain[value[1:] == value[:-1]] = 0
-        if len(gain) and gain.max() > best:
-            at = int(gain.argmax())
-            best, found = gain[at], (column, float((value[at] + value[at + 1]) / 2))
-    return found
-
-
-def fit(x: np.ndarray, y: np.ndarray, held: np.ndarray) -> Boosted:
-    """Boost on the rows that are not held out; calibrate and set the threshold on those that are."""
-    none = Boosted([], 0.0, 1.0, 0.0, None)
-    train, test = ~held, held
-    if min((y[train] == 1).sum(), (y[train] == 0).sum(), (y[test] == 1).sum(), (y[test] == 0).sum()) < 5:
-        return none
-    xt, yt = x[train], y[train]
-    model = Boosted([], float(np.log(yt.mean() / (1 - yt.mean()))), 1.0, 0.0, None)
-    margin = model.margin(xt)
-    for _ in range(TREES):
-        p = 1 / (1 + np.exp(-margin))
-        gradient, hessian = yt - p, p * (1 - p)
-        column, cut = np.zeros(2**DEPTH - 1, np.int64), np.full(2**DEPTH - 1, np.inf)
-        node = np.zeros(len(xt), np.int64)
-        for at in range(len(column)):
-            rows = np.flatnonzero(node == at)
-            if len(rows) > 1:
-                column[at], cut[at] = _split(xt[rows], gradient[rows], hessian[rows])
-            node[rows] = 2 * at + 1 + (xt[rows, column[at]] > cut[at])
-        leaves = node - len(column)
-        size = 2**DEPTH
-        step = np.bincount(leaves, gradient, size) / (np.bincount(leaves, hessian, size) + 1)
-        model.trees.append((column, cut, RATE * step))
-        margin += RATE * step[leaves]
-    held_margin, yh = model.margin(x[test]), y[test]
+        return self.scaled(np.rint(self.margin(x) * STEP))
+
+    def scaled(self, steps: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * (steps / STEP) + self.shift, -40, 40)))
+
+
+def places(x: np.ndarray, column: np.ndarray, cut: np.ndarray, depth: int) -> np.ndarray:
+    """Place of each row among the nodes of a tree at ``depth``."""
+    node = np.zeros(len(x), np.int64)
+    for _ in range(depth):
+        node = 2 * node + 1 + (x[np.arange(len(x)), column[node]] > cut[node])
+    return node - (2**depth - 1)
+
+
+def calibrated(model: Boosted, steps: np.ndarray, real: np.ndarray, weight: np.ndarray) -> None:
+    """Set scale and threshold from the held-out margins (in ``STEP``), with how many examples have each."""
+    held_margin, yh = steps / STEP, real.astype(float)
     slope, shift = 1.0, 0.0
     for _ in range(50):  # Newton steps for the two calibration parameters
         p = 1 / (1 + np.exp(-np.clip(slope * held_margin + shift, -40, 40)))
         design = np.stack([held_margin, np.ones_like(held_margin)])
-        change = np.linalg.solve((design * (p * (1 - p))) @ design.T + 1e-3 * np.eye(2), design @ (yh - p) - 1e-3 * np.array([slope - 1, shift]))
+        change = np.linalg.solve(
+            (design * (weight * p * (1 - p))) @ design.T + 1e-3 * np.eye(2), design @ (weight * (yh - p)) - 1e-3 * np.array([slope - 1, shift])
+        )
         slope, shift = slope + change[0], shift + change[1]
     model.slope, model.shift = float(max(slope, 1e-3)), float(shift)
-    score = model.score(x[test])
+    score = model.scaled(steps)
     order = np.argsort(-score, kind="stable")
-    precise = np.cumsum(yh[order]) / np.arange(1, len(order) + 1)
+    precise = np.cumsum((weight * yh)[order]) / np.cumsum(weight[order])
     ends = np.append(np.diff(score[order]) != 0, True)  # equal scores are taken together
     good = np.flatnonzero((precise >= PRECISION) & ends[: len(precise)])
     # Half-way to the next score below, as all scores between make the same choice of held-out rows.
     ranked = np.append(score[order], 0.0)
     model.threshold = max(0.5, float(ranked[good[-1]] + ranked[good[-1] + 1]) / 2) if len(good) else None
-    return model
 
 
 #: Labels of examples: a look-alike, a real one, and a proposal away from base spans.
 FAILED, REAL, PROPOSED = 0, 1, 2
-EXAMPLE = "kind string, label int, hash bigint, x array<double>"
+EXAMPLE = "kind string, label int, hash bigint, x binary"
 
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,47 +297,208 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 else:
                     rows.append((kind, FAILED if good is False else PROPOSED, mark, features(text, begin, end)))
         columns = list(zip(*rows)) if rows else [(), (), (), ()]
-        types = [pa.string(), pa.int32(), pa.int64(), pa.list_(pa.float64())]
+        columns[3] = [x.tobytes() for x in np.searchsorted(CUTS, np.array(columns[3])).astype(np.uint8)] if rows else ()
+        types = [pa.string(), pa.int32(), pa.int64(), pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], ["kind", "label", "hash", "x"])
 
 
-def train(docs: DataFrame) -> dict[str, Boosted]:
-    """A model for each kind, from a sample of fixed size of the candidates of all documents."""
+def counted_examples(docs: DataFrame) -> DataFrame:
+    """``kind, label, place, x, weight``: all examples by their bins, with how many there are.
+
+    ``place`` is the rank of the example's hash among the different ones of its kind and label, modulo 10. Equal candidates
+    in equal surroundings count once, however often they are copied. Ranks come from ranges of hashes of about ``RANKED``.
+    """
     found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_examples, EXAMPLE)
-    smallest = Window.partitionBy("kind", "label").orderBy("hash", "x")
-    # Equal candidates in equal surroundings count once, however often they are copied. The hash range is cut so that about
-    # FIT_ROWS of the rest remain before the window sees them: no window gathers all candidates, or all copies of one.
     found = stored(found.distinct())
-    sizes = {(r.kind, r.label): r["count"] for r in found.groupBy("kind", "label").count().collect()}
-    models = {}
-    for kind in KINDS:
-        most = {label: int(min(1.0, 1.5 * FIT_ROWS / max(1, sizes.get((kind, label), 0))) * TOP) for label in (FAILED, REAL, PROPOSED)}
-        limit = F.when(F.col("label") == REAL, F.lit(most[REAL])).when(F.col("label") == FAILED, F.lit(most[FAILED])).otherwise(F.lit(most[PROPOSED]))
-        near = found.where((F.col("kind") == kind) & (F.col("hash") <= limit))
-        rows = near.withColumn("no", F.row_number().over(smallest)).where(F.col("no") <= FIT_ROWS).collect()
-        rows.sort(key=lambda r: (r.label, r.hash, r.x))
-        if not rows:
-            models[kind] = Boosted([], 0.0, 1.0, 0.0, None)
+    marks = found.select("kind", "label", "hash").distinct()
+    part = F.floor(F.col("hash").cast("double") * (found.count() // RANKED + 1) / TOP)
+    ranked = marks.withColumn("part", part).withColumn("no", F.row_number().over(Window.partitionBy("kind", "label", "part").orderBy("hash")))
+    ranked = stored(ranked)
+    upto = Window.partitionBy("kind", "label").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = ranked.groupBy("kind", "label", "part").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0)))
+    placed = ranked.join(before, ["kind", "label", "part"]).select("kind", "label", "hash", ((F.col("no") - 1 + F.col("before")) % 10).alias("place"))
+    return stored(found.join(placed, ["kind", "label", "hash"]).groupBy("kind", "label", "place", "x").agg(F.count("*").alias("weight")))
+
+
+@dataclass
+class Block:
+    """Examples as arrays; ``margin`` has a column for each of the two models that leave out a half of the proposals."""
+
+    kind: np.ndarray
+    label: np.ndarray
+    place: np.ndarray
+    weight: np.ndarray
+    x: np.ndarray
+    margin: np.ndarray
+
+    def where(self, rows: np.ndarray) -> "Block":
+        return Block(self.kind[rows], self.label[rows], self.place[rows], self.weight[rows], self.x[rows], self.margin[rows])
+
+    def left_out(self, side: int) -> np.ndarray:
+        return (self.label == PROPOSED) & (self.place % 2 == side)
+
+
+def _blocks(rows: Iterable[Row]) -> Iterator[Block]:
+    rows = list(rows)
+    if rows:
+        kind, label, place, x, weight = zip(*rows)
+        bins = np.frombuffer(b"".join(x), np.uint8).reshape(-1, FEATURES)
+        numbers = (np.array(c, np.int64) for c in ([KINDS.index(k) for k in kind], label, place, weight))
+        yield Block(*numbers, bins, np.zeros((len(rows), 2)))
+
+
+Key = tuple[int, int]
+Tree = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _histograms(block: Block, trees: dict[Key, Tree], depth: int, spying: bool) -> dict[Key, np.ndarray]:
+    """Sums of gradient and curvature by feature, node at ``depth`` and bin, for each kind and model."""
+    out = {}
+    for (kind, side), (column, cut, _) in trees.items():
+        rows = (block.kind == kind) & (block.place % 5 != 0)
+        of = block.where(rows & ~block.left_out(side) if spying else rows)
+        if not len(of.kind):
             continue
-        models[kind] = fit_reliable(*(np.array(c) for c in ([r.x for r in rows], [r.label for r in rows], [r.hash for r in rows])))
-    return models
+        p = 1 / (1 + np.exp(-of.margin[:, side]))
+        sums = [np.rint(UNIT * v) * of.weight for v in ((of.label == REAL) - p, p * (1 - p))]
+        at = places(of.x, column, cut, depth) * BINS
+        size = BINS << depth
+        out[kind, side] = np.array([[np.bincount(at + of.x[:, c], v, size) for c in range(FEATURES)] for v in sums]).reshape(2, FEATURES, -1, BINS)
+    return out
+
+
+def _added(one: dict, two: dict) -> dict:
+    return {k: one[k] + two[k] if k in one and k in two else one.get(k, two.get(k)) for k in {**one, **two}}
 
 
-def fit_reliable(x: np.ndarray, label: np.ndarray, mark: np.ndarray) -> Boosted:
-    """Fit on all examples but those proposals that score like positives in a model that has not seen them."""
-    held, half = np.zeros(len(x), bool), np.zeros(len(x), bool)
-    for one in np.unique(label):
-        of = label == one
-        place = np.searchsorted(np.unique(mark[of]), mark[of])
-        held[of], half[of] = place % 5 == 0, place % 2 == 0
-    real, proposed = label == REAL, label == PROPOSED
-    y, sure = real.astype(float), np.ones(len(x), bool)
-    for part in (half, ~half) if proposed.any() else ():
-        seen = ~(proposed & part)
-        margin = fit(x[seen], y[seen], held[seen]).margin(x)
-        if real.any():
-            sure &= seen | (margin < np.quantile(margin[real], SPIES))
-    return fit(x[sure], y[sure], held[sure])
+def _tallies(block: Block) -> dict[tuple[int, int, int, int], Counter]:
+    """How many examples of each kind, label and place have each margin (in ``STEP``), for both models."""
+    out: dict = {}
+    steps = np.rint(block.margin * STEP).astype(np.int64)
+    for side in (0, 1):
+        keys, at = np.unique(np.stack([block.kind, block.label, block.place, steps[:, side]]), axis=1, return_inverse=True)
+        for key, n in zip(keys.T.tolist(), np.bincount(at.ravel(), block.weight).tolist()):
+            out.setdefault((*key[:3], side), Counter())[key[3]] += int(n)
+    return out
+
+
+def _advanced(block: Block, trees: dict[Key, Tree]) -> Block:
+    margin = block.margin.copy()
+    for (kind, side), (column, cut, leaf) in trees.items():
+        rows = np.flatnonzero(block.kind == kind)
+        margin[rows, side] += leaf[places(block.x[rows], column, cut, DEPTH)]
+    return Block(block.kind, block.label, block.place, block.weight, block.x, margin)
+
+
+def _begun(block: Block, base: dict[Key, float]) -> Block:
+    margin = np.zeros_like(block.margin)
+    for (kind, side), value in base.items():
+        margin[block.kind == kind, side] = value
+    return Block(block.kind, block.label, block.place, block.weight, block.x, margin)
+
+
+def _total(blocks: RDD, what) -> dict:
+    """Sums over all blocks; those of many blocks are added up in tasks first."""
+    return blocks.map(what).treeAggregate({}, _added, _added, depth=1 if blocks.getNumPartitions() <= 16 else 2)
+
+
+def _best(g: np.ndarray, h: np.ndarray) -> tuple[int, int, list[float]]:
+    """Feature and cut that lower the logistic loss most, by second-order gain, and the steps on both sides."""
+    left_g, left_h = np.cumsum(g, axis=1)[:, :-1], np.cumsum(h, axis=1)[:, :-1]
+    total_g, total_h = g[0].sum(), h[0].sum()
+    gain = left_g**2 / (left_h + 1) + (total_g - left_g) ** 2 / (total_h - left_h + 1) - total_g**2 / (total_h + 1)
+    gain[(left_h == 0) | (left_h == total_h)] = 0
+    column = int(gain.max(axis=1).argmax())
+    at = int(gain[column].argmax())
+    if gain[column, at] <= 1e-9:
+        return 0, BINS, [RATE * total_g / (total_h + 1), 0.0]
+    one, two = left_g[column, at], total_g - left_g[column, at]
+    steps = [RATE * one / (left_h[column, at] + 1), RATE * two / (total_h - left_h[column, at] + 1)]
+    # Cuts with no row in between are alike; the one half-way is taken.
+    alike = np.flatnonzero((left_g[column] == one) & (left_h[column] == left_h[column, at]))
+    return column, int(np.abs(CUTS[alike] - (CUTS[alike[0]] + CUTS[alike[-1]]) / 2).argmin()) + int(alike[0]), steps
+
+
+def boost(blocks: RDD, base: dict[Key, float], spying: bool) -> tuple[dict[Key, list[Tree]], RDD]:
+    """The trees (over bins) of every kind and model, one pass a level, and the blocks with their margins."""
+    grown: dict[Key, list[Tree]] = {key: [] for key in base}
+    blocks = blocks.map(partial(_begun, base=base)).persist()
+    for _ in range(TREES if base else 0):
+        size = 2**DEPTH
+        trees = {key: (np.zeros(size - 1, np.int64), np.full(size - 1, BINS), np.zeros(size)) for key in base}
+        for depth in range(DEPTH):
+            sums = _total(blocks, partial(_histograms, trees=trees, depth=depth, spying=spying))
+            for key, (g, h) in sums.items():
+                column, cut, leaf = trees[key]
+                for node in range(2**depth):
+                    at = 2**depth - 1 + node
+                    column[at], cut[at], steps = _best(g[:, node] / UNIT, h[:, node] / UNIT)
+                    if depth == DEPTH - 1:
+                        leaf[2 * node : 2 * node + 2] = steps
+        for key, tree in trees.items():
+            grown[key].append(tree)
+        last, blocks = blocks, blocks.map(partial(_advanced, trees=trees)).persist()
+        blocks.count()
+        last.unpersist()
+    return grown, blocks
+
+
+def _log_odds(tallies: dict, kind: int, side: int | None) -> float | None:
+    """Log-odds of the fitted examples of a kind, if there are enough to fit and to test."""
+    n: Counter = Counter()
+    for (k, label, place, of), margins in tallies.items():
+        if k == kind and of == 0 and not (side is not None and label == PROPOSED and place % 2 == side):
+            n[label == REAL, place % 5 == 0] += sum(margins.values())
+    if min(n[real, held] for real in (True, False) for held in (True, False)) < 5:
+        return None
+    return float(np.log(n[True, False] / n[False, False]))
+
+
+def _low(margins: Counter, share: float) -> int:
+    """The margin that ``share`` of the examples lie below."""
+    values, counts = (np.array(c) for c in zip(*sorted(margins.items())))
+    return int(values[np.searchsorted(np.cumsum(counts), share * (counts.sum() - 1), side="right")])
+
+
+def _sure(block: Block, low: dict[Key, int]) -> Block:
+    """Without the proposals that score like positives in the model that has not seen them."""
+    sure = np.ones(len(block.kind), bool)
+    for (kind, side), least in low.items():
+        sure &= ~((block.kind == kind) & block.left_out(side) & (np.rint(block.margin[:, side] * STEP) >= least))
+    return block.where(sure)
+
+
+def train(docs: DataFrame) -> dict[str, Boosted]:
+    """A model for each kind, fitted and calibrated on all examples of all documents."""
+    models = {kind: Boosted([], 0.0, 1.0, 0.0, None) for kind in KINDS}
+    examples = counted_examples(docs)
+    blocks = examples.repartition(examples.count() // BLOCK + 1).rdd.mapPartitions(_blocks).persist()
+    first = _total(blocks, _tallies)
+    odds = {(k, side): _log_odds(first, k, side) for k in range(len(KINDS)) for side in (0, 1)}
+    _, spied = boost(blocks, {key: base for key, base in odds.items() if base is not None}, True)
+    real = {}
+    for (kind, label, _, side), margins in _total(spied, _tallies).items():
+        if label == REAL:
+            real[kind, side] = real.get((kind, side), Counter()) + margins
+    sure = spied.map(partial(_sure, low={key: _low(margins, SPIES) for key, margins in real.items()})).persist()
+    base = {(k, 0): _log_odds(_total(sure, _tallies), k, None) for k in range(len(KINDS))}
+    base = {key: value for key, value in base.items() if value is not None}
+    grown, fitted = boost(sure, base, False)
+    last = _total(fitted, _tallies) if base else {}
+    for (kind, _), value in base.items():
+        cuts = np.append(CUTS, np.inf)
+        trees = [(column, cuts[np.minimum(cut, len(CUTS))], leaf) for column, cut, leaf in grown[kind, 0]]
+        held: Counter = Counter()
+        for (k, label, place, side), margins in last.items():
+            if k == kind and side == 0 and place % 5 == 0:
+                held.update({(m, label == REAL): n for m, n in margins.items()})
+        n = sum(sum(margins.values()) for (k, _, _, side), margins in last.items() if k == kind and side == 0)
+        models[KINDS[kind]] = Boosted(trees, value, 1.0, 0.0, None, n)
+        steps, is_real = zip(*sorted(held))
+        calibrated(models[KINDS[kind]], np.array(steps), np.array(is_real), np.array([held[x] for x in sorted(held)], float))
+    for kept in (blocks, spied, sure, fitted):
+        kept.unpersist()
+    return models
 
 
 def found_in(text: str, models: dict[str, Boosted]) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
