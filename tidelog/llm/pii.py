@@ -397,7 +397,7 @@ def _begun(block: Block, base: dict[Key, float]) -> Block:
     return Block(block.kind, block.label, block.place, block.weight, block.x, margin)
 
 
-def _total(blocks: RDD, what) -> dict:
+def _total(blocks: RDD[Block], what) -> dict:
     """Sums over all blocks; those of many blocks are added up in tasks first."""
     return blocks.map(what).treeAggregate({}, _added, _added, depth=1 if blocks.getNumPartitions() <= 16 else 2)
 
@@ -419,15 +419,17 @@ def _best(g: np.ndarray, h: np.ndarray) -> tuple[int, int, list[float]]:
     return column, int(np.abs(CUTS[alike] - (CUTS[alike[0]] + CUTS[alike[-1]]) / 2).argmin()) + int(alike[0]), steps
 
 
-def boost(blocks: RDD, base: dict[Key, float], spying: bool) -> tuple[dict[Key, list[Tree]], RDD]:
+def boost(blocks: RDD[Block], base: dict[Key, float], spying: bool) -> tuple[dict[Key, list[Tree]], RDD[Block]]:
     """The trees (over bins) of every kind and model, one pass a level, and the blocks with their margins."""
     grown: dict[Key, list[Tree]] = {key: [] for key in base}
-    blocks = blocks.map(partial(_begun, base=base)).persist()
+    last, blocks = None, blocks.map(partial(_begun, base=base)).persist()
     for _ in range(TREES if base else 0):
         size = 2**DEPTH
         trees = {key: (np.zeros(size - 1, np.int64), np.full(size - 1, BINS), np.zeros(size)) for key in base}
         for depth in range(DEPTH):
             sums = _total(blocks, partial(_histograms, trees=trees, depth=depth, spying=spying))
+            if last and depth == 0:  # this pass has kept the new margins
+                last.unpersist()
             for key, (g, h) in sums.items():
                 column, cut, leaf = trees[key]
                 for node in range(2**depth):
@@ -438,6 +440,7 @@ def boost(blocks: RDD, base: dict[Key, float], spying: bool) -> tuple[dict[Key,
         for key, tree in trees.items():
             grown[key].append(tree)
         last, blocks = blocks, blocks.map(partial(_advanced, trees=trees)).persist()
+    if last:
         blocks.count()
         last.unpersist()
     return grown, blocks
