@@ -99,3 +99,14 @@ def test_repeated_vectors_count_each_time(spark, groups, fitted):
 
 def test_no_rows_no_groups(spark):
     assert q.estimates(spark.createDataFrame([], SCHEMA), ["name"]).count() == 0
+
+
+def test_steps_end_where_an_estimate_comes_back(spark, monkeypatch):
+    x = grouped(117, 120, 0.2)  # from the moments of all, the steps go to and fro between two subsets
+    steps = []
+    nearest = q._nearest
+    monkeypatch.setattr(q, "_nearest", lambda *a: steps.append(1) or nearest(*a))
+    found = q.estimates(spark.createDataFrame([("a", *map(int, v)) for v in x], SCHEMA), ["name"]).first()
+    assert len(steps) < 15 < q.MOST_STEPS
+    _, centre, cov = reference(x)
+    assert np.allclose(estimate(found)[0], centre, rtol=1e-9) and np.allclose(estimate(found)[1], cov, rtol=1e-7, atol=1e-4)

@@ -9,7 +9,8 @@ estimate changes; of a group's estimates the one with the smallest determinant c
 The nearest share is taken in whole classes of distance (``CLASSES`` for each factor of two), so a subset may be larger
 than the share by its last class; determinants are compared as they are. Sums are exact, so a subset that stays the same
 gives the very same estimate, and the steps of a group end there. Steps over classes can also come back to an earlier
-subset; ``MOST_STEPS`` ends these, and the smallest determinant that a start has reached is kept all along.
+subset, and would go round from there; they end as soon as an estimate comes back, as the smallest determinant that a
+start has reached is kept all along. ``MOST_STEPS`` bounds paths that do neither.
 
 Only DataFrame functions: the words of a text stay in its row, statistics are whole numbers (so that sums do not depend
 on the order of rows), each group's estimate is a row of combined sums, and the share nearest to a centre is found from
@@ -249,9 +250,13 @@ def estimates(rows: DataFrame, keys: list[str]) -> DataFrame:
         current = current.unionByName(_factor(begun[start]).withColumn("start", F.lit(start)))
     fitted = [c for c in spreads.columns if c not in keys]
     fit = F.struct(_log_determinant().alias("d"), "start", *fitted)
-    current = stored(current.select("*", F.lit(None).cast(current.select(fit.alias("f")).schema["f"].dataType).alias("fit"), F.lit(True).alias("open")))
+    # Centre and covariance tell estimates apart; ``path`` holds those that a start has come through.
+    place = [c for c in fitted if c[0] in "mc"]
+    unfitted = F.lit(None).cast(current.select(fit.alias("f")).schema["f"].dataType).alias("fit")
+    current = stored(current.select("*", unfitted, F.array(F.struct(*place)).alias("path"), F.lit(True).alias("open")))
     for _ in range(MOST_STEPS):
-        # Groups whose subset stays the same are done. All there is to a step is one small table: estimates, the best so far, what is open.
+        # Groups whose subset stays the same or comes back are done. All there is to a step is one small table: estimates,
+        # the best so far, the way there, what is open.
         opened = current.where("open").select(*by_start, *[c for c in fitted if c != "n"])
         groups = opened.count()
         if not groups:
@@ -260,13 +265,13 @@ def estimates(rows: DataFrame, keys: list[str]) -> DataFrame:
         placed = placed.select(*by_start, *DIMENSIONS, "weight", _distance_class(_distance()).alias("class"))
         moved = _factor(_moments(_nearest(_sums(placed, [*by_start, "class"]), by_start), by_start))
         moved = moved.select(*by_start, F.struct(*fitted).alias("moved"), fit.alias("found"))
-        stepped = current.select(*by_start, F.struct(*fitted).alias("before"), "fit", "open").join(moved, by_start, "left")
+        stepped = current.select(*by_start, F.struct(*fitted).alias("before"), "fit", "path", "open").join(moved, by_start, "left")
         after = F.coalesce("moved", "before")
-        current = stored(
-            stepped.select(
-                *by_start, *[after[c].alias(c) for c in fitted], F.least("fit", "found").alias("fit"), (F.col("open") & (after != F.col("before"))).alias("open")
-            )
-        )
+        at = F.struct(*[after[c].alias(c) for c in place])
+        fresh = F.col("open") & ~F.array_contains("path", at)
+        path = F.when(fresh, F.array_append("path", at)).otherwise(F.col("path"))
+        columns = [*[after[c].alias(c) for c in fitted], F.least("fit", "found").alias("fit"), path.alias("path"), fresh.alias("open")]
+        current = stored(stepped.select(*by_start, *columns))
     best = current.groupBy(*keys).agg(F.min("fit").alias("fit"))
     return stored(best.select(*keys, *[F.col(f"fit.{c}").alias(c) for c in fitted]))
 
