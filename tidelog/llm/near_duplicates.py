@@ -41,6 +41,8 @@ STARS = 2
 FEW = 4
 #: A pair whose signatures agree in fewer of the 192 places than this is no candidate: 5.5 standard errors below 0.75.
 LEAST_AGREEMENT = int(0.75 * BANDS * ROWS - 5.5 * (BANDS * ROWS * 0.75 * 0.25) ** 0.5)
+#: Tables of up to so many pairs or documents (a few numbers a row) are broadcast to the rows that they are joined with.
+SENT_PAIRS = 200_000
 #: Most sets that a rare shingle is in.
 RARE = 16
 #: Shingles hashed at once; bounds the memory of one long document.
@@ -137,10 +139,33 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _with_both(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
+def _few(rows: DataFrame) -> bool:
+    return rows.count() <= SENT_PAIRS
+
+
+def _sent(rows: DataFrame) -> DataFrame:
+    """A written table, marked for broadcast if it has at most ``SENT_PAIRS`` rows; a larger one is joined by Spark's choice."""
+    return F.broadcast(rows) if _few(rows) else rows
+
+
+def _with_both(pairs: DataFrame, values: DataFrame, column: str, few: bool) -> DataFrame:
+    """Written ``pairs`` with the values of both documents.
+
+    A ``few`` pairs go to the values, so that one join is made where the first value is, and only the pairs' values are moved.
+    Signatures, all of one size, then meet by the pair; a set is moved once for all pairs that it is the second of.
+    """
     one = values.select(F.col("doc_id").alias("a"), F.col(column).alias("one"))
     two = values.select(F.col("doc_id").alias("b"), F.col(column).alias("two"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two")
+    if few:
+        pairs = F.broadcast(pairs)
+        if column == "signature":
+            return one.join(pairs, "a").join(two.join(pairs, "b"), ["a", "b"]).select("a", "b", "one", "two")
+        two = two.join(pairs, "b", "left_semi")
+    return one.join(pairs, "a").join(two, "b").select("a", "b", "one", "two")
+
+
+def _ends(pairs: DataFrame, name: str) -> DataFrame:
+    return pairs.select(F.col("a").alias(name)).union(pairs.select(F.col("b").alias(name)))
 
 
 def _pairs(entries: DataFrame, left: str, right: str) -> DataFrame:
@@ -149,7 +174,7 @@ def _pairs(entries: DataFrame, left: str, right: str) -> DataFrame:
 
 def _labels(entries: DataFrame, links: DataFrame) -> DataFrame:
     """Bucket entries with the component of their document, from the links of a forest."""
-    found = links.select(F.col("a").alias("doc"), F.col("b").alias("component"))
+    found = _sent(links).select(F.col("a").alias("doc"), F.col("b").alias("component"))
     return entries.join(found, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
 
 
@@ -205,9 +230,10 @@ def _buckets(dealt: DataFrame) -> DataFrame:
 def _promising(entries: DataFrame, signatures: DataFrame) -> DataFrame:
     """``entries`` of large buckets, and of the documents that agree with another one in a bucket of ``FEW`` at most."""
     few = entries.where(F.col("n") <= FEW).groupBy("key").agg(F.collect_set("doc").alias("docs"))
-    pairs = few.select(F.explode("docs").alias("a"), "docs").select("a", F.explode("docs").alias("b")).where("a < b").distinct()
-    near = stored(_with_both(pairs, signatures, "signature").mapInArrow(_agreeing, "a bigint, b bigint"))
-    agreeing = near.select(F.col("a").alias("doc")).union(near.select(F.col("b").alias("doc"))).distinct()
+    pairs = stored(few.select(F.explode("docs").alias("a"), "docs").select("a", F.explode("docs").alias("b")).where("a < b").distinct())
+    near = stored(_with_both(pairs, signatures, "signature", _few(pairs)).mapInArrow(_agreeing, "a bigint, b bigint"))
+    agreeing = _ends(near, "doc")
+    agreeing = F.broadcast(agreeing) if _few(near) else agreeing.distinct()
     return stored(entries.where(F.col("n") > FEW).union(entries.where(F.col("n") <= FEW).join(agreeing, "doc", "left_semi").select(entries.columns)))
 
 
@@ -228,15 +254,15 @@ def links_between_classes(signed_docs: DataFrame, texts: DataFrame) -> DataFrame
     signatures = stored(reps.select("doc_id", "signature").join(met, "doc_id", "left_semi"))
     entries = _promising(entries, signatures)
     involved = stored(entries.groupBy("doc").agg(F.sum("n").alias("meets")))
-    sets = stored(texts.join(involved.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi").mapInArrow(_sets, "doc_id bigint, size bigint, set binary"))
+    sets = stored(texts.join(_sent(involved).select(F.col("doc").alias("doc_id")), "doc_id", "left_semi").mapInArrow(_sets, "doc_id bigint, size bigint, set binary"))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        near = stored(_with_both(pairs, signatures, "signature").mapInArrow(_agreeing, "a bigint, b bigint"))
-        needed = stored(near.select(F.col("a").alias("doc_id")).union(near.select(F.col("b").alias("doc_id"))).distinct())
-        own = sets.join(sent(needed), "doc_id", "left_semi")
-        return stored(_with_both(near, own, "set").mapInArrow(_linked, "a bigint, b bigint").distinct())
+        near = stored(_with_both(pairs, signatures, "signature", _few(pairs)).mapInArrow(_agreeing, "a bigint, b bigint"))
+        few = _few(near)
+        own = sets if few else sets.join(sent(stored(_ends(near, "doc_id").distinct())), "doc_id", "left_semi")
+        return stored(_with_both(near, own, "set", few).mapInArrow(_linked, "a bigint, b bigint"))
 
-    weighed = entries.join(involved, "doc")
+    weighed = stored(entries.join(_sent(involved), "doc"))
     links = spark.createDataFrame([], "a bigint, b bigint")
     tried = spark.createDataFrame([], "a bigint, b bigint")
     labelled = weighed.withColumn("component", F.col("doc"))
@@ -247,13 +273,13 @@ def links_between_classes(signed_docs: DataFrame, texts: DataFrame) -> DataFrame
             if "open" in labelled.columns
             else F.max_by(F.struct("doc", "component"), F.struct("meets", -F.col("doc"))).alias("centre")
         )
-        starred = labelled.join(centres, "key").where("component <> centre.component")
-        pairs = _pairs(starred.select("doc", F.col("centre.doc").alias("centre")), "doc", "centre")
-        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"))
+        starred = stored(labelled.join(centres, "key"))
+        apart = starred.where("component <> centre.component").select("doc", F.col("centre.doc").alias("centre"))
+        pairs = stored(_pairs(apart, "doc", "centre").join(_sent(tried), ["a", "b"], "left_anti"))
         tried = tried.union(pairs)
         links = forest(links.union(verified(pairs)))
         # A pair with the centre has been compared or needs no comparison, so the centre leaves its bucket.
-        weighed = stored(labelled.join(centres, "key").where("doc <> centre.doc").select(*weighed.columns))
+        weighed = starred.where("doc <> centre.doc").select(*weighed.columns)
         labelled = _labels(weighed, links)
         largest = labelled.groupBy("key", "component").count().groupBy("key").agg(
             F.max_by("component", F.struct("count", -F.col("component"))).alias("most"), F.count("*").alias("parts")
@@ -264,13 +290,13 @@ def links_between_classes(signed_docs: DataFrame, texts: DataFrame) -> DataFrame
     # What is left: an open member against every member of another component that it may still be near.
     # A pair counts in the first bucket that both are in; a document is in at most one bucket a band.
     buckets = labelled.groupBy("doc").agg(F.collect_set("key").alias("buckets"))
-    labelled = labelled.join(_profiles(labelled, sets), "doc", "left").join(buckets, "doc")
+    labelled = labelled.join(_sent(_profiles(labelled, sets)), "doc", "left").join(buckets, "doc")
     carried = ["doc", "component", "size", "common", "rare", "m0", "m1", "m2", "m3", "buckets"]
     one = labelled.where("open").select("key", *[F.col(c).alias(f"{c}_x") for c in carried])
     two = labelled.select("key", *[F.col(c).alias(f"{c}_y") for c in carried])
     first = F.array_min(F.array_intersect("buckets_x", "buckets_y")) == one.key
     met = one.join(two, (one.key == two.key) & (F.col("component_x") != F.col("component_y")) & _possible() & first)
-    rest = _pairs(met, "doc_x", "doc_y").join(tried, ["a", "b"], "left_anti")
+    rest = _pairs(met, "doc_x", "doc_y").join(_sent(tried), ["a", "b"], "left_anti")
     return links.union(verified(stored(rest)))
 
 
@@ -282,9 +308,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = signed_docs.where("set_id IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "set_id")
     least = classes.groupBy("set_id").agg(F.min("doc_id").alias("rep"))
     # Documents in several classes (rows that share a doc_id) tie these together.
-    repeated = classes.groupBy("doc_id").agg(F.count_distinct("set_id").alias("n")).where("n > 1").select("doc_id")
-    ties = classes.join(repeated, "doc_id").join(least, "set_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    found = forest(links.union(ties)).select(F.col("a").alias("rep"), F.col("b").alias("component"))
+    repeated = classes.groupBy("doc_id").agg(F.min("set_id").alias("one"), F.max("set_id").alias("other"))
+    repeated = stored(repeated.where("one <> other").select("doc_id"))
+    if not repeated.isEmpty():
+        ties = classes.join(_sent(repeated), "doc_id").join(least, "set_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+        links = links.union(ties)
+    found = _sent(forest(links)).select(F.col("a").alias("rep"), F.col("b").alias("component"))
     named = least.join(found, "rep", "left").select("set_id", F.coalesce("component", "rep").alias("component"))
     out = signed_docs.select("doc_id", "n_shingles", "set_id").join(named, "set_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
