@@ -3,8 +3,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tidelog.llm import mixing
 
 
 def documents(toxic):
@@ -31,3 +33,10 @@ def test_toxic_documents_go_and_clean_ones_stay(spark, tmp_path, toxic):
     assert len(kept) == len(set(kept)) and all(r.copies > 0 for r in mixed)
     assert sum(i < toxic for i in kept) <= 0.05 * toxic
     assert sum(i >= toxic for i in kept) >= 0.95 * (800 - toxic)
+
+
+def test_a_plan_holds_the_word_weights_once(spark):
+    model = ([0] * (mixing.BUCKETS - 1) + [1], [0.123456789, 1.5, 2.5])
+    means = mixing._evidence(mixing._buckets(F.col("text")), model).alias("means")
+    frame = spark.createDataFrame([("a b",)], "text string").select(means)
+    assert frame._jdf.queryExecution().optimizedPlan().toString().count("0.123456789") == 1

@@ -81,18 +81,22 @@ def _evidence(buckets: Column, model: tuple[list[int], list[float]]) -> Column:
     count = len(_NAMES)
     # Bytes, not an array: every task holds a copy of the plan, and numbers in a plan's array are objects.
     rows = F.lit(b"".join(row.to_bytes(PLACE_BYTES, "big") for row in place))
-    table = _constant(weights or [0.0])
 
     def row_of(bucket: Column) -> Column:
         return F.conv(F.hex(F.substring(rows, bucket * PLACE_BYTES + 1, F.lit(PLACE_BYTES))), 16, 10).cast("int")
 
     told = F.array_remove(F.transform(F.array_distinct(buckets), row_of), 0)
 
-    def add(total: Column, row: Column) -> Column:
-        return F.struct(*[(total[f"d{d}"] + F.element_at(table, (row - 1) * count + d + 1)).alias(f"d{d}") for d in range(count)])
-
     start = F.struct(*[F.lit(0.0).alias(f"d{d}") for d in range(count)])
-    return F.aggregate(told, start, add, lambda t: F.array(*[t[f"d{d}"] for d in range(count)]))
+
+    def summed(table: Column) -> Column:
+        def add(total: Column, row: Column) -> Column:
+            return F.struct(*[(total[f"d{d}"] + F.element_at(table, (row - 1) * count + d + 1)).alias(f"d{d}") for d in range(count)])
+
+        return F.aggregate(told, start, add, lambda t: F.array(*[t[f"d{d}"] for d in range(count)]))
+
+    # Named once, so that the plan and its texts hold the weights once.
+    return let(_constant(weights or [0.0]), summed)
 
 
 def _softmax(values: list[Column]) -> list[Column]:
@@ -146,7 +150,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> Membership:
     train, held = rows.where("pmod(hash, 5) <> 0"), rows.where("pmod(hash, 5) = 0")
     present = train.select("domain", F.explode(F.array_distinct("buckets")).alias("bucket"))
     # At most a row for each bucket and domain, whatever the input.
-    counts = present.groupBy("bucket").pivot("domain", _NAMES).count().fillna(0).collect()
+    counts = present.groupBy("bucket").pivot("domain", _NAMES).count().fillna(0)
+    # Buckets that count; the others need not go to the driver.
+    counts = counts.where(sum((F.col(name) for name in _NAMES[1:]), F.col(_NAMES[0])) >= LEAST_SEEN).collect()
     sizes = {r.domain: r["count"] for r in train.groupBy("domain").count().collect()}
     weights = _telling({r.bucket: [r[name] for name in _NAMES] for r in counts}, [sizes.get(name, 0) for name in _NAMES])
     known = sum(sizes.values())
