@@ -285,3 +285,9 @@ def test_group_continues_without_the_checkpoint(spark, root, tmp_path):
     assert group == {("hot", 0): 199, ("cold", 0): 49, ("cold", 1): 49}
     drain(stream(log, **{"auto.offset.reset": "largest"}), second)
     assert written(spark, second) == {("hot", 0): list(range(200, 205))}
+
+
+def test_a_batch_past_the_end_is_empty(spark, log):
+    register(spark)
+    source = spark.read.format("topiclog").option("topics", "hot,cold").option("group.id", "past")
+    assert source.load(log.root).where("_offset >= 100000").collect() == []

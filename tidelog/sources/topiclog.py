@@ -181,8 +181,9 @@ class TopicLogReader(_Planner, DataSourceReader):
                     ends.setdefault(topic, {})[partition] = stop
         return self._tasks(narrowed, ends)
 
-    def read(self, task: ScanTask) -> Iterator[pa.RecordBatch]:
-        return read_ranges(self.settings.path, task)
+    def read(self, task: ScanTask | None) -> Iterator[pa.RecordBatch]:
+        # Spark hands on no task where none was planned.
+        return iter(()) if task is None else read_ranges(self.settings.path, task)
 
 
 class TopicLogStreamReader(_Planner, DataSourceStreamReader):
