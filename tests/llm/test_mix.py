@@ -40,3 +40,23 @@ def test_a_plan_holds_the_word_weights_once(spark):
     means = mixing._evidence(mixing._buckets(F.col("text")), model).alias("means")
     frame = spark.createDataFrame([("a b",)], "text string").select(means)
     assert frame._jdf.queryExecution().optimizedPlan().toString().count("0.123456789") == 1
+
+
+def test_a_plan_has_no_row_number_of_every_bucket(spark):
+    rng = random.Random(2)
+    telling = sorted({0, 63, 64, 127, mixing.BUCKETS - 1, *rng.sample(range(mixing.BUCKETS), 600)})
+    place = [0] * mixing.BUCKETS
+    for row, bucket in enumerate(telling, 1):
+        place[bucket] = row
+    weights = [rng.uniform(-3, 3) for _ in range(len(telling) * len(mixing.DOMAINS))]
+    seen = [rng.sample(telling, 9) + rng.sample(range(mixing.BUCKETS), 300) + [0, 0, 63] for _ in range(20)] + [[], telling, [b for b in range(700) if not place[b]]]
+    rows = spark.createDataFrame(list(enumerate(seen)), "i int, buckets array<int>")
+    means = rows.select("i", mixing._evidence(F.col("buckets"), (place, weights)).alias("means"))
+    for row in means.collect():
+        total = [0.0] * len(mixing.DOMAINS)
+        for bucket in dict.fromkeys(seen[row.i]):
+            if place[bucket]:
+                at = (place[bucket] - 1) * len(total)
+                total = [t + w for t, w in zip(total, weights[at : at + len(total)])]
+        assert row.means == total
+    assert len(means._jdf.queryExecution().optimizedPlan().toString()) < 100_000

@@ -39,8 +39,8 @@ from tidelog.llm.common import let, smallest_hashes, stored
 DOMAINS = {"good": 0.90, "poor": 0.06, "toxic": 0.04}
 FIT_ROWS = 20_000
 BUCKETS = 1 << 16
-#: Bytes of a row number of the word weights.
-PLACE_BYTES = 3
+#: Buckets to a word of bits: 1 << 6.
+WORD = 64
 SMOOTHING = 0.5
 #: Chi-squared value from which a word bucket counts, and labelled documents it must be in.
 TELLING, LEAST_SEEN = 25.0, 5
@@ -70,22 +70,39 @@ def _domain() -> Column:
     return F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "poor").when(F.col("quality") == 1, "good")
 
 
-def _constant(values: list[float]) -> Column:
+def _constant(values: list, kind: str = "double") -> Column:
     """A constant array; written as text, so that the plan holds one literal and not thousands."""
-    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
+
+
+def _ranks(place: list[int]) -> tuple[list[int], list[int]]:
+    """A bit for each bucket that has a row, in signed words of ``WORD``, and the number of rows before each word."""
+    bits, before, rows = [], [], 0
+    for at in range(0, BUCKETS, WORD):
+        word = sum(1 << k for k, row in enumerate(place[at : at + WORD]) if row)
+        bits.append(word - (1 << WORD) if word >> (WORD - 1) else word)
+        before.append(rows)
+        rows += word.bit_count()
+    return bits, before
 
 
 def _evidence(buckets: Column, model: tuple[list[int], list[float]]) -> Column:
     """Summed log-odds of each domain over the distinct telling words of a text: an array in the order of the domains."""
     place, weights = model
     count = len(_NAMES)
-    # Bytes, not an array: every task holds a copy of the plan, and numbers in a plan's array are objects.
-    rows = F.lit(b"".join(row.to_bytes(PLACE_BYTES, "big") for row in place))
-
-    def row_of(bucket: Column) -> Column:
-        return F.conv(F.hex(F.substring(rows, bucket * PLACE_BYTES + 1, F.lit(PLACE_BYTES))), 16, 10).cast("int")
-
-    told = F.array_remove(F.transform(F.array_distinct(buckets), row_of), 0)
+    # Rows ascend with buckets, so a bucket's row is its rank among those that have one. A row number for each bucket would
+    # make each text of a plan, of which the driver makes several a query, half a megabyte.
+    bits, before = _ranks(place)
+    in_word = F.transform(
+        F.array_distinct(buckets),
+        lambda b: F.struct(
+            F.shiftright(b, 6).alias("at"),
+            # The bucket's own bit becomes the sign; those of later buckets leave the word.
+            F.call_function("shiftleft", F.get(_constant(bits, "bigint"), F.shiftright(b, 6)), F.lit(WORD - 1) - b % WORD).alias("upto"),
+        ),
+    )
+    telling = F.filter(in_word, lambda w: w["upto"] < 0)
+    told = F.transform(telling, lambda w: F.get(_constant(before, "int"), w["at"]) + F.bit_count(w["upto"]))
 
     start = F.struct(*[F.lit(0.0).alias(f"d{d}") for d in range(count)])
 
@@ -120,7 +137,7 @@ class Membership:
 
 
 def _telling(counts: dict[int, list[int]], sizes: list[int]) -> tuple[list[int], list[float]]:
-    """The buckets that tell domains apart: a row number for each bucket (0: none), and a row's log-odds by domain."""
+    """The buckets that tell domains apart: a row number for each bucket (0: none; they ascend), and a row's log-odds by domain."""
     place, weights, total = [0] * BUCKETS, [], sum(sizes)
     for bucket in sorted(counts):
         seen = sum(counts[bucket])
